@@ -89,8 +89,8 @@ def _sketch(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatc
                 key = blocks.mix(key * _U(0x9E3779B97F4A7C15) + sig[:, :, j])
             bands = key.view(np.int64)
         offsets = np.append(0, np.cumsum(np.where(n > 0, BANDS, 0))).astype(np.int32)
-        cols = [b.column(0), pa.array(n.astype(np.int64)), pa.array(d1), pa.array(d2), pa.ListArray.from_arrays(pa.array(offsets), pa.array(bands.ravel()))]
-        yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "n_shingles", "c1", "c2", "bands"])
+        cols = [b.column(0), b.column(2), pa.array(n.astype(np.int64)), pa.array(d1), pa.array(d2), pa.ListArray.from_arrays(pa.array(offsets), pa.array(bands.ravel()))]
+        yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "text_key", "n_shingles", "c1", "c2", "bands"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
@@ -162,11 +162,11 @@ def components(edges: DataFrame) -> DataFrame:
     return e.select("u", F.col("v").alias("root"))
 
 
-def near_duplicates(docs: DataFrame, percent: int = 85, k: int = 3) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept, for every row of docs."""
+def _groups(docs: DataFrame, percent: int, k: int) -> DataFrame:
+    """doc_id, xxhash64 of the text, n_shingles and component_id, for every row of docs."""
     store.import_path(docs.sparkSession)
-    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    sketch = store.cut(docs.mapInArrow(lambda it: _sketch(it, k), "doc_id bigint, n_shingles bigint, c1 bigint, c2 bigint, bands array<bigint>"), "sketch")
+    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.xxhash64("text").alias("text_key"))
+    sketch = store.cut(docs.mapInArrow(lambda it: _sketch(it, k), "doc_id bigint, text_key bigint, n_shingles bigint, c1 bigint, c2 bigint, bands array<bigint>"), "sketch")
     classes = store.cut(sketch.where("n_shingles > 0 and doc_id is not null").groupBy("c1", "c2").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")), "classes")
     rows = classes.select("c1", "c2", "n", F.explode("bands").alias("key"))
     shared = rows.groupBy("key").agg(F.count("*").alias("c"), F.sum("n").alias("n"), F.bit_xor(F.xxhash64("c1", "c2")).alias("m1"), F.bit_xor(F.xxhash64("c2", "c1")).alias("m2")).where("c > 1")
@@ -187,11 +187,17 @@ def near_duplicates(docs: DataFrame, percent: int = 85, k: int = 3) -> DataFrame
     least = labels.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     labels = store.cut(labels.join(least, "root").select("c1", "c2", "component_id"), "labels")
     own_id = F.when(F.col("doc_id").isNull(), None).otherwise(F.coalesce("component_id", "doc_id"))
-    out = sketch.drop("bands").join(labels, ["c1", "c2"], "left").select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, own_id).otherwise(F.col("doc_id")).alias("component_id"))
-    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    own_id = F.when(F.col("n_shingles") > 0, own_id).otherwise(F.col("doc_id"))
+    return sketch.drop("bands").join(labels, ["c1", "c2"], "left").select("doc_id", "text_key", "n_shingles", own_id.alias("component_id"))
+
+
+def near_duplicates(docs: DataFrame, percent: int = 85, k: int = 3) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept, for every row of docs."""
+    return _groups(docs, percent, k).drop("text_key").withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
 def dedup(docs: DataFrame, percent: int = 85, k: int = 3) -> DataFrame:
     """docs with one document of each group: the one with the smallest doc_id."""
-    gone = store.cut(near_duplicates(docs, percent, k).where(~F.col("kept")).select(F.col("doc_id").alias("__gone")).distinct(), "gone")
-    return docs.join(store.small(gone, 8), docs["doc_id"] == F.col("__gone"), "left_anti")
+    gone = _groups(docs, percent, k).where("doc_id <> component_id").select(F.col("doc_id").alias("__gone"), F.col("text_key").alias("__key")).distinct()
+    gone = store.small(store.cut(gone, "gone"), 16)
+    return docs.join(gone, (docs["doc_id"] == F.col("__gone")) & (F.xxhash64(docs["text"]) == F.col("__key")), "left_anti")
