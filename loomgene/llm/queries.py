@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomgene.llm import decontaminate, minmax_dedup, substring_dedup
+from loomgene.llm import decontaminate, langid, minmax_dedup, packing, substring_dedup, token_count, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,20 @@ def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return out.select("doc_id", "n_words", "n_hit", F.size(ids).cast("bigint").alias("n_items"), F.sha2(F.array_join(ids, ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def _bpe_file() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"), _bpe_file())
+
+
+def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(_table(spark, sf_dir, "pages"))
+
+
 def op7_minmax_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minmax_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -27,5 +41,27 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digest(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_benchmark_decontamination, op7_minmax_near_dedup, op8_substring_dedup)}
-SQL: dict[str, str] = {}
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_count.count_tokens(_table(spark, sf_dir, "documents"), _bpe_file()).withColumn("over_limit", F.col("n_tokens") > 512)
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    held_out = F.coalesce(langid.part_of() == 2, F.lit(False))
+    model = langid.train(docs.where(~held_out))
+    return langid.predict(docs.select("doc_id", held_out.alias("held_out"), "text"), model).drop("text")
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_benchmark_decontamination,
+        op4_best_fit_packing,
+        op5_url_filters,
+        op7_minmax_near_dedup,
+        op8_substring_dedup,
+        op9_token_counts,
+        op10_language_id,
+    )
+}
+SQL: dict[str, str] = {"op5_url_filters": url_filter.sql()}
