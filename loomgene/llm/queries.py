@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomgene.llm import decontaminate, langid, minmax_dedup, packing, substring_dedup, token_count, url_filter
+from loomgene.llm import cover_topk, decontaminate, hmm_lm, langid, minmax_dedup, packing, secret_scan, substring_dedup, token_count, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,14 @@ def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return out.select("doc_id", "n_words", "n_hit", F.size(ids).cast("bigint").alias("n_items"), F.sha2(F.array_join(ids, ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op2_cover_tree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_topk.top_k(_table(spark, sf_dir, "embeddings"))
+
+
+def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.report(_table(spark, sf_dir, "documents"))
+
+
 def _bpe_file() -> str:
     import public_tokenizers
 
@@ -33,6 +41,11 @@ def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(_table(spark, sf_dir, "pages"))
 
 
+def op6_hmm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return hmm_lm.score(docs.select("doc_id", F.coalesce(langid.part_of(parts=10) == 0, F.lit(False)).alias("held_out"), "text"))
+
+
 def op7_minmax_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minmax_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -56,12 +69,15 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_benchmark_decontamination,
+        op2_cover_tree_topk,
+        op3_secret_scans,
         op4_best_fit_packing,
         op5_url_filters,
+        op6_hmm_scoring,
         op7_minmax_near_dedup,
         op8_substring_dedup,
         op9_token_counts,
         op10_language_id,
     )
 }
-SQL: dict[str, str] = {"op5_url_filters": url_filter.sql()}
+SQL: dict[str, str] = {"op5_url_filters": url_filter.sql(), "op2_cover_tree_topk": cover_topk.SQL}
