@@ -50,11 +50,17 @@ def suffix_class(w: blocks.Words) -> np.ndarray:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Words of each block with their counts; a block is hashed part by part, so memory follows the parts."""
     for b in blocks.slices(batches, limit=8 * blocks.BLOCK_BYTES):
-        w = blocks.Words(b.column(0), blocks.SPACED, lower=True)
-        h, first, n = np.unique(w.hashes, return_index=True, return_counts=True)
-        s = suffix_class(w)[first]
-        yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(s), pa.array(n.astype(np.int64))], names=["h", "s", "n"])
+        parts = []
+        for part in blocks.slices([b]):
+            w = blocks.Words(part.column(0), blocks.SPACED, lower=True)
+            h, first, n = np.unique(w.hashes, return_index=True, return_counts=True)
+            parts.append((h, suffix_class(w)[first], n))
+        h, s, n = (np.concatenate(x) for x in zip(*parts, strict=True))
+        h, first, inv = np.unique(h, return_index=True, return_inverse=True)
+        n = np.bincount(inv, weights=n, minlength=len(h)).astype(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(s[first]), pa.array(n)], names=["h", "s", "n"])
 
 
 class Vocabulary:
