@@ -30,7 +30,7 @@ from loomgene.llm import blocks, store
 
 WINDOW = 13
 #: Text of one block; its windows are kept together while it is deduplicated.
-BLOCK = 16 << 20
+BLOCK = 8 << 20
 
 _DEALT = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("hashes", pa.binary()), ("gaps", pa.binary()), ("rows", pa.binary()), ("ids", pa.binary()), ("marks", pa.binary())])
 _MARKS = "block bigint, rows binary, ids binary, marks binary"
