@@ -15,7 +15,7 @@ UTRS = ("UTR", "five_prime_UTR", "three_prime_UTR", "5UTR", "3UTR")
 def repair_semicolons(lines: DataFrame) -> DataFrame:
     """Lines of a feature table with repaired attributes, and the flags trailing and glued."""
     f = F.split("line", "\t", -1)
-    fixed = A.repair(f[8])
+    fixed = A.repair(F.get(f, F.lit(8)))
     new = F.concat_ws("\t", F.slice(f, 1, 8), F.coalesce(fixed["text"], F.raise_error(F.concat(F.lit("attributes begin without a key: "), F.col("line"))).cast("string")))
     whole = (F.col("section") == "record") & (F.size(f) == 9)
     return lines.select("line_no", "section", F.when(whole, new).otherwise(F.col("line")).alias("line"), (whole & fixed["trailing"]).alias("trailing"), (whole & fixed["glued"]).alias("glued"))

@@ -22,5 +22,5 @@ def counts(events: DataFrame, every: str = "1 hour", late: str = "2 hours") -> D
 def repaired(lines: DataFrame) -> DataFrame:
     """Feature rows (value) as they arrive, their attributes repaired; no state."""
     f = F.split("value", "\t", -1)
-    fixed = A.repair(f[8])
-    return lines.select(F.when(F.size(f) == 9, F.concat_ws("\t", F.slice(f, 1, 8), F.coalesce(fixed["text"], f[8]))).otherwise(F.col("value")).alias("value"), F.coalesce(fixed["glued"], F.lit(False)).alias("glued"))
+    fixed = A.repair(F.get(f, F.lit(8)))
+    return lines.select(F.when(F.size(f) == 9, F.concat_ws("\t", F.slice(f, 1, 8), F.coalesce(fixed["text"], F.get(f, F.lit(8))))).otherwise(F.col("value")).alias("value"), F.coalesce(fixed["glued"], F.lit(False)).alias("glued"))

@@ -216,3 +216,21 @@ def test_checks_and_differences(spark, genome):
     assert got == {"repeated_sequence_id": 0, "empty_sequence": 0, "letters_outside_dna": 0, "inverted_coordinates": 0, "unknown_sequence": 0, "unknown_parent": 0}
     a, b = (spark.createDataFrame(x, "v string") for x in ([("x",), ("x",), ("y",)], [("x",), ("z",)]))
     assert rows(review.multiset_difference(a, b), "v") == [("x", 2, 1), ("y", 1, 0), ("z", 0, 1)]
+
+
+def test_semicolons_of_lines(spark):
+    lines = spark.createDataFrame([(0, "comment", "##gff-version 3"), (1, "record", "c\ts\tgene\t1\t9\t.\t+\t.\tID=a;Note=b;c;")], "line_no bigint, section string, line string")
+    got = rows(stages.repair_semicolons(lines).select("line", "trailing", "glued"), "line")
+    assert got == [("##gff-version 3", False, False), ("c\ts\tgene\t1\t9\t.\t+\t.\tID=a;Note=b.c", True, True)]
+
+
+def test_order_puts_parents_first(spark):
+    f = spark.createDataFrame([(1, "c", 1, "e", ["t"]), (2, "c", 1, "t", ["g"]), (3, "c", 1, "g", []), (4, "b", 9, None, [])], "row_no bigint, seqid string, start bigint, id string, parents array<string>")
+    assert [(r.row_no, r.depth) for r in stages.hierarchical_order(f).collect()] == [(4, 0), (3, 0), (2, 1), (1, 2)]
+
+
+def test_domains_and_redundant_mrna(spark):
+    d = spark.createDataFrame([("q", "Pkinase", "PF1", 100, 1e-9, 50.0, 1, 90, "Protein kinase domain", 1), ("q", "X", "PF2", 100, 1e-9, 60.0, 1, 90, "coiled coil", 2), ("r", "DUF12", "PF3", 100, 1e-9, 60.0, 1, 20, "DUF12", 3)], "query_id string, name string, accession string, hmm_length bigint, i_evalue double, bitscore double, hmm_from bigint, hmm_to bigint, description string, hit_no bigint")
+    assert [(r.qseqid, r["product"]) for r in evidence.domain_assignments(d).collect()] == [("q", "Protein kinase domain-containing protein")]
+    b = spark.createDataFrame([("e", 1, "mRNA", "1..9", "L1"), ("e", 2, "CDS", "1..9", "L1"), ("e", 3, "mRNA", "1..9", "L2"), ("e", 4, "CDS", "2..9", "L2")], "entry string, block_no bigint, feature string, location string, locus string")
+    assert rows(review.redundant_mrna(b), "block_no") == [("e", 1)]
