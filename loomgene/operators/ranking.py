@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from loomgene.shared import numbered
+
 
 def best(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """The first row of each key in this order; give the order a last column without ties."""
@@ -49,8 +51,7 @@ def duplicates(genes: DataFrame, key: list[str], criteria=CRITERIA) -> DataFrame
     rows = genes.withColumn("n", F.count("*").over(w)).where("n > 1").withColumn("first_row", F.min("row_no").over(w))
     ranked = rows.withColumn("score", F.array(*values)).withColumn("rank", F.row_number().over(w.orderBy(*(F.desc(v) for v in values))))
     kept = ranked.where("rank = 1").select(*key, "first_row", F.col("gene").alias("kept"), F.col("score").alias("kept_score"))
-    # one row a group: numbers come from a sort of the groups, not of the genes
-    groups = kept.select("first_row").distinct().withColumn("group_no", F.row_number().over(W.orderBy("first_row")))
+    groups = numbered(kept.select("first_row").distinct(), ["first_row"], "group_no")
     reason = None
     for i, (name, _) in enumerate(criteria):
         differs = ~F.col("kept_score")[i].eqNullSafe(F.col("score")[i])

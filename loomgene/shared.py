@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 #: A side of a join is marked for broadcast only if its rows are counted to be within this.
@@ -27,3 +28,15 @@ def cut(df: DataFrame, name: str) -> DataFrame:
 def few(df: DataFrame) -> DataFrame:
     """df, narrow and cheap to count, marked for broadcast if it has at most BROADCAST_ROWS rows."""
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
+def numbered(df: DataFrame, order: list[str], name: str) -> DataFrame:
+    """df with `name`: 1, 2, 3, ... in this order, which must have no ties.
+
+    Rows are dealt to ranges and numbered within them; only the ranges' counts, one row a range, are summed in one task.
+    """
+    placed = cut(df.repartitionByRange(*order).withColumn("__range", F.spark_partition_id()), "numbered")
+    counts = placed.groupBy("__range").agg(F.count("*").alias("__n"))
+    before = counts.select("__range", F.coalesce(F.sum("__n").over(W.orderBy("__range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("__before"))
+    own = F.row_number().over(W.partitionBy("__range").orderBy(*order))
+    return placed.join(F.broadcast(before), "__range").withColumn(name, own + F.col("__before")).drop("__range", "__before")
