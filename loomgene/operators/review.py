@@ -13,8 +13,12 @@ def blocks(rows: DataFrame) -> DataFrame:
     """One row a block: entry, block_no, feature, location, qualifiers (array<struct<key, value>> in order), locus."""
     pair = F.struct("line_no", F.col("qualifier").alias("key"), "value")
     out = rows.where("block_no is not null").groupBy("entry", "block_no").agg(F.first("feature", True).alias("feature"), F.first("location", True).alias("location"), F.array_sort(F.collect_list(pair)).alias("qualifiers"))
-    locus = F.try_element_at(F.filter("qualifiers", lambda q: q["key"] == "locus_tag"), F.lit(1))["value"]
-    return out.withColumn("locus", locus)
+    return with_locus(out)
+
+
+def with_locus(found: DataFrame) -> DataFrame:
+    """Blocks with their first locus_tag as locus."""
+    return found.withColumn("locus", F.try_element_at(F.filter("qualifiers", lambda q: q["key"] == "locus_tag"), F.lit(1))["value"])
 
 
 def segments(found: DataFrame) -> DataFrame:
@@ -26,7 +30,11 @@ def segments(found: DataFrame) -> DataFrame:
 
 def warnings(rows: DataFrame) -> DataFrame:
     """warning, entry, feature, locus and detail: short CDS, segments of one base, segments that loci share."""
-    found = blocks(rows)
+    return block_warnings(blocks(rows))
+
+
+def block_warnings(found: DataFrame) -> DataFrame:
+    """warnings() of blocks: entry, block_no, feature, location, qualifiers, locus."""
     value = lambda k: F.try_element_at(F.filter("qualifiers", lambda q: q["key"] == k), F.lit(1))["value"]
     pseudo = F.exists("qualifiers", lambda q: q["key"].isin("pseudo", "pseudogene"))
     cds = found.where((F.col("feature") == "CDS") & ~pseudo).select("entry", "block_no", F.coalesce(value("codon_start").try_cast("bigint"), F.lit(1)).alias("codon_start"))

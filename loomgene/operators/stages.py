@@ -117,10 +117,33 @@ def into_frame(features: DataFrame) -> DataFrame:
     return with_cds(features, cut(changed.select("transcript_id", "cds"), "frame"))
 
 
-def padded(features: DataFrame, sequences: DataFrame, code: int = 1) -> DataFrame:
+def padded_and_stops(features: DataFrame, sequences: DataFrame, code: int = 1) -> tuple[DataFrame, DataFrame]:
+    """Padded features, and the transcripts (transcript_id) that hold stops whatever the padding and so stayed as they were."""
     found = models.spliced(models.cds_models(features), sequences)
-    done = models.apply_padding(found, models.padding_decisions(found, code)).where("status = 'padded'")
-    return with_cds(features, cut(done.select("transcript_id", "cds"), "padding"))
+    done = cut(models.apply_padding(found, models.padding_decisions(found, code)).where("status <> 'unchanged'").select("transcript_id", "cds", "status"), "padding")
+    return with_cds(features, done.where("status = 'padded'").select("transcript_id", "cds")), done.where("status = 'stops'").select("transcript_id").distinct()
+
+
+def padded(features: DataFrame, sequences: DataFrame, code: int = 1) -> DataFrame:
+    return padded_and_stops(features, sequences, code)[0]
+
+
+def padded_loci(features: DataFrame, prefix: str, width: int) -> DataFrame:
+    """Features whose identifiers PREFIX_<n> have numbers of at least `width` digits."""
+    text = A.pad_loci(F.col("attributes_text"), prefix, width)
+    rows = features.withColumn("attributes_text", text)
+    text = F.col("attributes_text")
+    return rows.withColumns({"attributes": A.parse(text), "id": A.percent_decode(A.raw_value(text, "ID")), "parents": A.parents(text)}).select(features.columns)
+
+
+def replaced_products(annotation: DataFrame, patterns: list[str], replacement: str) -> DataFrame:
+    """Descriptions without returns, hard spaces, blanks around and 'Belongs to the ' before; those that a pattern fits whole (any case) become the replacement."""
+    if not any(patterns):
+        return annotation
+    clean = F.regexp_replace(F.translate("Description", "\r\u00a0", ""), r"^\s+|\s+$", "")
+    clean = F.regexp_replace(clean, "^Belongs to the ", "")
+    hit = clean.rlike(rf"(?i)\A(?:{'|'.join(p for p in patterns if p)})\n?\z")
+    return annotation.withColumn("Description", F.when(hit, F.lit(replacement)).otherwise(clean))
 
 
 def shift_gaps(features: DataFrame, edits: DataFrame) -> DataFrame:

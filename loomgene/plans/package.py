@@ -8,14 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomgene.functions import sequence as S
-from loomgene.operators import models, render, stages
-from loomgene.shared import cut
-from loomgene.sources import fasta, gff3
+from loomgene.operators import models, render, review, stages
+from loomgene.shared import cut, numbered
+from loomgene.sources import fasta, gff3, tables
 
 
 @dataclass(frozen=True)
 class Options:
     locus_prefix: str = "LOCUS"
+    locus_digits: int = 6
     code: int = 1
     gap_target: int | None = 100
     gap_least: int = 80
@@ -23,11 +24,18 @@ class Options:
     gap_feature_least: int = 50
     fix_frame: bool = True
     fix_padding: bool = True
+    replace_products: list[str] = field(default_factory=list)
+    replace_with: str = "hypothetical protein"
+    omit_redundant_mrna: bool = False
+    header: render.Header | None = None
     source: list[tuple[str, str]] = field(default_factory=lambda: [("organism", "unknown"), ("mol_type", "genomic DNA")])
 
 
 def run(sequences: DataFrame, features: DataFrame, options: Options = Options()) -> dict[str, DataFrame]:
-    """sequences, features, annotation, body lines and the count of each stage, as DataFrames; stages cut their lineage."""
+    """sequences, features, annotation, body lines, review and the count of each stage that may drop rows, as DataFrames; stages cut their lineage.
+
+    features come in the order of row_no, which puts parents before children. CDS that hold stops whatever the padding become misc_feature.
+    """
     o, counts = options, []
 
     def stage(name: str, df: DataFrame) -> DataFrame:
@@ -45,24 +53,44 @@ def run(sequences: DataFrame, features: DataFrame, options: Options = Options())
         sequences = cut(sequences.withColumn("sequence", S.normalise_gaps(F.col("sequence"), *limits)), "normalised")
     features = stage("drop_duplicates", stages.drop_coordinate_duplicates(features, sequences, o.code))
     features = stage("one_isoform", stages.one_isoform(features))
+    features = cut(stages.padded_loci(features, o.locus_prefix, o.locus_digits), "padded_loci")
     if o.fix_frame:
         features = stage("into_frame", stages.into_frame(features))
     if o.fix_padding:
-        features = stage("padding", stages.padded(features, sequences, o.code))
-    annotation = stages.annotation_table(features, o.locus_prefix)
+        features, stops = stages.padded_and_stops(features, sequences, o.code)
+        features = stage("padding", features)
+    order = ["seqid", "start", "depth", "row_no"]
+    placed = numbered(stages.hierarchical_order(features), order, "place")
+    features = cut(placed.withColumn("row_no", F.col("place").cast("bigint")).select(features.columns), "ordered")
+    annotation = stages.replaced_products(stages.annotation_table(features, o.locus_prefix), o.replace_products, o.replace_with)
     gaps = sequences.select(F.col("id").alias("seqid"), S.n_runs(F.col("sequence")).alias("gaps"))
     found = models.spliced(models.cds_models(features), sequences)
     blocks = render.cds_blocks(found, gaps, annotation.drop("row_no"), o.code).unionByName(render.gap_blocks(gaps, o.gap_feature_least)).unionByName(render.other_blocks(features))
+    # written, so that the numbers of blocks are the same wherever they are read
+    blocks = cut(review.with_locus(blocks).withColumn("block_no", F.monotonically_increasing_id()), "blocks")
+    if o.fix_padding:
+        loci = annotation.join(stops.withColumnRenamed("transcript_id", "ID"), "ID", "left_semi").select(F.col("Locus_tag").alias("locus"))
+        blocks = review.stops_to_misc(blocks, loci).drop("changed")
+    if o.omit_redundant_mrna:
+        blocks = blocks.join(review.redundant_mrna(blocks), ["entry", "block_no"], "left_anti")
+    blocks = cut(blocks, "final_blocks")
+    body = render.body(sequences, blocks.drop("locus", "block_no"), o.source)
     totals = counts[0]
     for c in counts[1:]:
         totals = totals.unionByName(c)
-    return {"sequences": sequences, "features": features, "annotation": annotation, "body": render.body(sequences, blocks, o.source), "counts": totals}
+    return {"sequences": sequences, "features": features, "annotation": annotation, "body": body, "review": review.block_warnings(blocks), "counts": totals}
 
 
 def package(spark: SparkSession, genome: str, table: str, out: str, options: Options = Options()) -> None:
-    """Reads the two files and writes sequences, features, annotation lines and counts below `out`."""
-    made = run(fasta.read(spark, genome), gff3.read(spark, table), options)
+    """Reads the two files, repairs semicolons, and writes sequences, features, annotation lines (the header first), review and counts below `out`."""
+    lines = cut(stages.repair_semicolons(gff3.lines(spark, table)), "repaired")
+    made = run(fasta.read(spark, genome), gff3.features(lines), options)
     fasta.write(made["sequences"], f"{out}/sequences", submission=True)
-    gff3.write(made["features"], f"{out}/features")
-    made["body"].orderBy("seq_no", "block", "line_in_block").select("value").write.text(f"{out}/annotation")
+    gff3.write(made["features"], f"{out}/features", lines)
+    body = made["body"].select(F.lit(1).alias("part"), F.col("seq_no").alias("at"), "block", "line_in_block", "value")
+    if options.header is not None:
+        head = render.header(spark, options.header)
+        body = body.unionByName(head.select(F.lit(0).alias("part"), F.col("line_no").alias("at"), F.lit(0).alias("block"), F.lit(0).alias("line_in_block"), "value"))
+    body.orderBy("part", "at", "block", "line_in_block").select("value").write.text(f"{out}/annotation")
+    tables.write_tsv(made["review"].orderBy("entry", "warning", "locus", "detail"), f"{out}/review")
     made["counts"].orderBy("step").write.json(f"{out}/counts")

@@ -166,6 +166,25 @@ def test_package(spark, genome, tmp_path):
     assert misc.feature == "misc_feature" and [q.key for q in misc.qualifiers] == ["locus_tag", "note", "note"]
 
 
+def test_package_runs_all_stages(spark, tmp_path):
+    (tmp_path / "g.fa").write_text(">c1\n" + "ATGTAATTAGTTGATTAGCTAACC" + "ATGAAACCCTAG" + "\n")
+    table = [("gene", 1, 24, "ID=AB_1;"), ("CDS", 1, 24, "ID=c1;Parent=AB_1.t1"), ("mRNA", 1, 24, "ID=AB_1.t1;Parent=AB_1;product=stop;ped"), ("mRNA", 25, 36, "ID=AB_2.t1;Parent=AB_2;product=Belongs to the X family"), ("CDS", 25, 36, "Parent=AB_2.t1"), ("gene", 25, 36, "ID=AB_2")]
+    (tmp_path / "g.gff3").write_text("##gff-version 3\n" + "".join(f"c1\ts\t{t}\t{a}\t{b}\t.\t+\t{'0' if t == 'CDS' else '.'}\t{x}\n" for t, a, b, x in table))
+    header = render.Header("PRJ1", "SAM1", ["A,B.", "C,D."], "c", "i", "d", "co", "s", "ci", "st", "z", "p", "e", "T", ["A,B."], 2026, hold_date="20270101", genome_coverage=" 30X")
+    options = package.Options(locus_prefix="AB", locus_digits=4, replace_products=["x (family|group)"], header=header)
+    package.package(spark, str(tmp_path / "g.fa"), str(tmp_path / "g.gff3"), str(tmp_path / "out"), options)
+    read = lambda name: [r.value for part in sorted((tmp_path / "out" / name).glob("part-*")) for r in spark.read.text(str(part)).collect()]
+    body = read("annotation")
+    assert body[:2] == ["COMMON\tDATE\t\thold_date\t20270101", "\tDATATYPE\t\ttype\tWGS"] and "\t\t\tGenome Coverage\t30x" in body and "\t\t\tab_name\tC,D." in body
+    at = body.index("c1\tsource\t1..36\torganism\tunknown")
+    assert body[at - 2 : at] == ["\tST_COMMENT\t\ttagset_id\tGenome-Assembly-Data", "\t\t\tGenome Coverage\t30x"]
+    assert [x.split("\t")[1:2] + x.split("\t")[3:] for x in body[at + 2 :]] == [["misc_feature", "locus_tag", "AB_0001"], ["", "note", "transcript_id:AB_0001.t1"], ["", "note", "stop.ped"], ["CDS", "locus_tag", "AB_0002"], ["", "note", "transcript_id:AB_0002.t1"], ["", "product", "hypothetical protein"], ["", "transl_table", "1"], ["", "codon_start", "1"]]
+    features = read("features")
+    assert features[0] == "##gff-version 3" and [x.split("\t")[2] for x in features[1:]] == ["gene", "mRNA", "CDS"] * 2 and features[1].endswith("ID=AB_0001")
+    review_rows = read("review")
+    assert "short_cds\tc1\tCDS\tAB_0002\t12" in review_rows
+
+
 def test_locations_and_gaps(spark):
     part = "array<struct<start:bigint,end:bigint>>"
     df = spark.createDataFrame([("+", [(1, 30)], [(10, 13)]), ("-", [(1, 30)], [(10, 13)]), ("+", [(5, 8)], [(1, 20)]), ("+", [(5, 20), (25, 25)], [(1, 6), (19, 22)])], f"strand string, parts {part}, gaps {part}")
