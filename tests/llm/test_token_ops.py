@@ -208,6 +208,29 @@ def test_secret_random_spans(spark):
     assert sum(r["text"] == "é🙂 <secret> and <secret> end" for r in redacted) >= 32 and all(r["n_chars"] in (7, len(r["text"])) for r in redacted)
 
 
+def test_secret_random_parts(spark):
+    """Tokens behind prefixes and in paths, where no encoding fits the whole candidate."""
+    rnd = random.Random(3)
+    b36, b62 = "0123456789abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    blob = lambda a, n: "".join(rnd.choice(a) for _ in range(n))
+    b64 = lambda: "aB1" + blob(b62, 9) + "/" + blob(b62, 12) + "+" + blob(b62, 12) + "/" + blob(b62, 9)
+    url64 = lambda: "aB1" + blob(b62, 12) + "-" + blob(b62, 12) + "_" + blob(b62, 12)
+    uuid = lambda: "-".join(blob("0123456789abcdef", n) for n in (8, 4, 4, 4, 12))
+    kinds = {
+        "prefix": lambda: ("sk_live_", "a1" + blob(b36, 30), ""), "path": lambda: ("user-data/", "aB1" + blob(b62, 37), "/raw"), "slash": lambda: ("key-", b64(), ""), "url": lambda: ("files/", url64(), ""),
+        "uuid": lambda: ("", uuid(), ""), "uuid_prefix": lambda: ("req_id-", uuid(), ""), "upper": lambda: ("", "A1" + "-".join(blob(b36.upper(), n) for n in (3, 5, 5, 5, 5, 5)), ""),
+    }
+    made = [(k, *f()) for k, f in kinds.items() for _ in range(40)]
+    docs = spark.createDataFrame([(i, f"é🙂 {a}{b}{c} end") for i, (_, a, b, c) in enumerate(made)] + [(10_000, "snake_case_names_of_several_words and a-long-slug/of-words/in-a-path-of-pages")], "doc_id bigint, text string")
+    spans = {r["doc_id"]: [tuple(map(int, x.split(":")[1:])) for x in r["spans"].split(",") if x] for r in secret_scan.report(docs).collect()}
+    hits = {k: 0 for k in kinds}
+    for i, (k, a, b, _) in enumerate(made):
+        hits[k] += any(x <= 3 + len(a) and y >= 3 + len(a) + len(b) for x, y in spans[i])
+    assert min(hits.values()) >= 34 and not spans[10_000], hits
+    clean = {r["doc_id"]: r["text"] for r in secret_scan.redact(docs).collect()}
+    assert sum(b in clean[i] for i, (_, _, b, _) in enumerate(made)) == len(made) - sum(hits.values())
+
+
 def test_secret_query(spark, sf):
     docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
     for r in queries.op3_secret_scans(spark, sf).collect():
