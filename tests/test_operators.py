@@ -41,6 +41,18 @@ def test_components_against_brute_force(spark):
     assert rows(none, "id") == [(0, 0), (1, 1)]
 
 
+def test_families_of_fixed_size(spark):
+    links = spark.createDataFrame([(1, 2), (2, 3), (7, 8)], "a bigint, b bigint")
+    got = graph.families(spark.range(1, 10), links, "FAM")
+    plan = got._jdf.queryExecution().toString()
+    assert "collect_list" not in plan and "collect_set" not in plan
+    by = {r.id: (r.family_id, r.members) for r in got.collect()}
+    assert [by[i][1] for i in range(1, 10)] == [3, 3, 3, 1, 1, 1, 2, 2, 1] and by[1] == by[2] == by[3] and len({v[0] for v in by.values()}) == 6
+    # the name depends on nothing but the members
+    other = {r.id: r.family_id for r in graph.families(spark.createDataFrame([(3,), (2,), (1,), (5,)], "id bigint").repartition(3), spark.createDataFrame([(3, 1), (1, 2)], "a bigint, b bigint"), "FAM").collect()}
+    assert other == {i: by[i][0] for i in (1, 2, 3, 5)} and all(v.startswith("FAM_") and len(v) == 16 for v in other.values())
+
+
 def test_ancestors(spark):
     chain = [(i, i + 1) for i in range(20)] + [(30, 31)]
     assert rows(graph.top_ancestors(spark.createDataFrame(chain, "child bigint, parent bigint")), "child") == [(i, 20) for i in range(20)] + [(30, 31)]
