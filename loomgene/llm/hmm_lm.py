@@ -79,11 +79,14 @@ class Vocabulary:
             room, self.least = room - n, k
         head = counts.where(level >= self.least).select("h", "n").toArrow()
         h, n = head.column(0).to_numpy().view(_U), head.column(1).to_numpy()
-        order = np.argsort(h)
-        self.h, self.n = h[order], n[order]
         self.tail = counts.where(level < self.least).select("h", "n")
         top = counts.orderBy(F.desc("n"), "h").limit(OWN_CLASSES).select("h", "s", "n").toArrow()  # a top-k of fixed size
         own = top.column(0).to_numpy().view(_U)
+        # words with a class of their own are looked up in the head even if it was cut above them: the tail would count them twice
+        apart = ~np.isin(own, h)
+        h, n = np.append(h, own[apart]), np.append(n, top.column(2).to_numpy()[apart])
+        order = np.argsort(h)
+        self.h, self.n = h[order], n[order]
         order = np.argsort(own)
         self.own, self.own_class = own[order], order.astype(np.int32)
         self.class_n = np.zeros(CLASSES)

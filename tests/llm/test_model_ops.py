@@ -95,6 +95,17 @@ def test_hmm_odd(spark, monkeypatch, head):
     assert nothing[44]["train_tokens"] == 0 and nothing[44]["base_score"] == pytest.approx(0)
 
 
+def test_hmm_scores_do_not_depend_on_the_head(spark, monkeypatch):
+    rnd = random.Random(4)
+    words = ["le", "chat", "Noir", "the", "cat", "é", "x1", "dog", "sun", "zw"]
+    docs = spark.createDataFrame([(i, " ".join(rnd.choice(words) for _ in range(20)), i % 5 == 4) for i in range(40)], "doc_id bigint, text string, held_out boolean").repartition(4)
+    found = []
+    for head in (hmm_lm.HEAD_WORDS, 1):
+        monkeypatch.setattr(hmm_lm, "HEAD_WORDS", head)
+        found.append({r["doc_id"]: r["score"] for r in hmm_lm.score(docs).collect()})
+    assert found[1] == pytest.approx(found[0], rel=1e-9)
+
+
 def slow_forward(m, obs):
     a, total = m.start * m.emit[obs[0]], 0.0
     for x in obs[1:]:
