@@ -2,7 +2,8 @@
 
 Every separator used here is ASCII, so a byte >= 0x80 always belongs to a word and
 UTF-8 need not be decoded. A block is a few rows whose texts hold about BLOCK_BYTES
-together; one longer text is a block of its own.
+together; one longer text is a block of its own, and is hashed in parts of PART bytes or
+words, so that a text of 100 MB takes about five bytes a byte (12 a word, and its bytes twice).
 """
 
 from __future__ import annotations
@@ -14,6 +15,8 @@ import numpy as np
 import pyarrow as pa
 
 BLOCK_BYTES = 2 << 20
+#: Bytes (or words) whose hashes are computed at once.
+PART = 1 << 20
 
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -64,19 +67,14 @@ def bytes_of(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return buf, offs - offs[0]
 
 
-@lru_cache(maxsize=8)
-def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+@lru_cache(maxsize=4)
+def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """base**i and its inverse modulo 2**64, for i below n."""
     one, inv = np.full(n, base, _U), np.full(n, pow(base, -1, 1 << 64), _U)
     one[:1] = inv[:1] = 1
     return np.multiply.accumulate(one), np.multiply.accumulate(inv)
 
 
-def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base**i and its inverse modulo 2**64, for i below n."""
-    a, b = _powers(base, max(1 << 16, 1 << max(n - 1, 1).bit_length()))
-    return a[:n], b[:n]
-
-
 def mix(h: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers that spreads all bits."""
     h = h ^ (h >> _U(33))
@@ -87,15 +85,23 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
+def _run_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int) -> np.ndarray:
+    """Sums of values[j] * base**(j - start) over each [start, end), from one prefix sum modulo 2**64; at most PART values and 2**16 more."""
+    pw, inv = powers(base, PART + (1 << 16))
+    sums = np.zeros(len(values) + 1, _U)
+    np.cumsum(values * pw[: len(values)], out=sums[1:])
+    return (sums[ends] - sums[starts]) * inv[starts]
+
+
 def rolling(values: np.ndarray, k: int, base: int = _GRAM) -> np.ndarray:
-    """Rabin-Karp hashes of all runs of k values, from one prefix sum modulo 2**64."""
-    n = len(values)
-    if n < k:
-        return np.zeros(0, _U)
-    pw, inv = powers(base, n)
-    sums = np.zeros(n + 1, _U)
-    np.cumsum(values * pw, out=sums[1:])
-    return mix((sums[k:] - sums[: n - k + 1]) * inv[: n - k + 1])
+    """Rabin-Karp hashes of all runs of k values."""
+    n = len(values) - k + 1
+    out = np.zeros(max(n, 0), _U)
+    for a in range(0, n, PART):
+        m = min(PART, n - a)
+        at = np.arange(m)
+        out[a : a + m] = mix(_run_hashes(values[a : a + m + k - 1], at, at + k, base))
+    return out
 
 
 class Words:
@@ -105,27 +111,51 @@ class Words:
         raw, self.offsets = bytes_of(arr)
         self.buf = LOWER[raw] if lower else raw
         n = len(raw)
-        inside = np.zeros(n + 2, bool)
-        inside[1:-1] = table[raw]
-        begin = inside[1:-1] & ~inside[:-2]
-        end = inside[1:-1] & ~inside[2:]
         cuts = self.offsets[1:-1]
-        cuts = cuts[(cuts > 0) & (cuts < n)]  # texts follow one another without a gap
-        begin[cuts] = inside[1:-1][cuts]
-        end[cuts - 1] = inside[1:-1][cuts - 1]
-        self.starts, self.ends = np.flatnonzero(begin), np.flatnonzero(end) + 1
+        cuts = np.unique(cuts[(cuts > 0) & (cuts < n)])  # texts follow one another without a gap
+        starts, ends = [], []
+        for a in range(0, n, PART):
+            z = min(a + PART, n)
+            inside = np.zeros(z - a + 2, bool)
+            inside[max(0, 1 - a) : z - a + 2 - (z == n)] = table[raw[max(a - 1, 0) : z + (z < n)]]
+            begin, end = inside[1:-1] & ~inside[:-2], inside[1:-1] & ~inside[2:]
+            own = cuts[slice(*np.searchsorted(cuts, [a, z]))] - a
+            begin[own] = inside[1:-1][own]
+            own = cuts[slice(*np.searchsorted(cuts, [a + 1, z + 1]))] - a - 1
+            end[own] = inside[1:-1][own]
+            starts.append(np.flatnonzero(begin) + a)
+            ends.append(np.flatnonzero(end) + a + 1)
+        kind = np.int32 if n < 1 << 31 else np.int64
+        self.starts, self.ends = (np.concatenate([np.zeros(0, kind), *(y.astype(kind) for y in x)]) for x in (starts, ends))
         self.first = np.searchsorted(self.starts, self.offsets)
         self.counts = np.diff(self.first)
-        self.doc = np.repeat(np.arange(len(arr)), self.counts)
-        pw, inv = powers(_BASE, n)
-        sums = np.zeros(n + 1, _U)
-        np.cumsum((self.buf.astype(_U) + _U(1)) * pw, out=sums[1:])
-        self.hashes = mix((sums[self.ends] - sums[self.starts]) * inv[self.starts] + (self.ends - self.starts).astype(_U)) if n else np.zeros(0, _U)
+        self.doc = np.repeat(np.arange(len(arr), dtype=np.int32), self.counts)
+        self.hashes = np.zeros(len(self.starts), _U)
+        at = 0
+        while at < len(self.starts):
+            a = int(self.starts[at])
+            to = int(np.searchsorted(self.ends, a + PART, side="right"))
+            if to <= at:  # one word longer than a part
+                self.hashes[at] = self._long(a, int(self.ends[at]))
+                at += 1
+                continue
+            s, e = self.starts[at:to] - a, self.ends[at:to] - a
+            self.hashes[at:to] = mix(_run_hashes(self.buf[a : a + int(e[-1])].astype(_U) + _U(1), s, e, _BASE) + (e - s).astype(_U))
+            at = to
+
+    def _long(self, a: int, z: int) -> int:
+        total = 0
+        for x in range(a, z, PART):
+            part = self.buf[x : min(x + PART, z)].astype(_U) + _U(1)
+            total += int(_run_hashes(part, np.zeros(1, int), np.array([len(part)]), _BASE)[0]) * pow(_BASE, x - a, 1 << 64)
+        return mix(np.array([(total + z - a) % (1 << 64)], _U))[0]
 
     def grams(self, k: int) -> tuple[np.ndarray, np.ndarray]:
         """First words of all runs of k words within one row, and their hashes."""
         h = rolling(self.hashes, k)
-        at = np.flatnonzero(self.doc[: len(h)] == self.doc[k - 1 :]) if len(h) else np.zeros(0, np.int64)
+        if len(self.counts) == 1 or not len(h):
+            return np.arange(len(h)), h
+        at = np.flatnonzero(self.doc[: len(h)] == self.doc[k - 1 :])
         return at, h[at]
 
 

@@ -10,10 +10,12 @@ words of a text come by a join.
 
 Baum-Welch runs over all training tokens in every iteration; texts are cut into sequences of
 at most SEQUENCE tokens for that. Scores come from the scaled forward recursion over whole
-texts. Base scores are add-ALPHA unigrams.
+texts; one of more than SEGMENT tokens goes through it in segments side by side, from every
+state at once, whose matrices are then multiplied in order. Base scores are add-ALPHA unigrams.
 
 Null text: empty, the end token alone. A null doc_id is not held out. Rows are scored one by
-one, whatever their doc_id. Without training texts every count is 0.
+one, whatever their doc_id. Without training texts every count is 0. A text of 100 MB takes
+about five bytes a byte while its words are hashed, and two bytes and 6 * 8 bytes / SEGMENT a token to score.
 """
 
 from __future__ import annotations
@@ -35,6 +37,7 @@ OWN_CLASSES, SUFFIX_CLASSES = 4095, 4096
 CLASSES = OWN_CLASSES + SUFFIX_CLASSES + 1
 END = CLASSES - 1
 HEAD_WORDS = 1 << 20
+SEGMENT = 4096
 _SUFFIX_BYTES = 3
 _U = np.uint64
 _CHUNK = 256
@@ -112,12 +115,12 @@ def _look_up(keys: np.ndarray, values: np.ndarray, want: np.ndarray, none) -> np
     return np.where(keys[at] == want, values[at], none)
 
 
-_ENCODED = "row bigint, doc_id bigint, held_out boolean, n_tokens bigint, base double, known bigint, rest double, classes binary, tail array<bigint>"
+_ENCODED = "row bigint, doc_id bigint, held_out boolean, n_tokens bigint, base double, known bigint, rest double, classes binary, tail array<struct<h:bigint,m:bigint>>"
 
 
 def _encode(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
     v, row = shared.value, TaskContext.get().partitionId() << 40
-    end = math.log10((v["ends"] + ALPHA) / v["norm"])
+    end, none = math.log10((v["ends"] + ALPHA) / v["norm"]), math.log10(ALPHA / v["norm"])
     for b in blocks.slices(batches):
         w = blocks.Words(b.column(2), blocks.SPACED, lower=True)
         h, inv = np.unique(w.hashes, return_inverse=True)  # each word of the block is looked up once
@@ -125,14 +128,18 @@ def _encode(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatc
         own = _look_up(v["own"], v["own_class"], h, -1)[inv]
         s = suffix_class(w)
         head = n > 0
-        base = blocks.sums_by(w.first, np.where(head, np.log10((n + ALPHA) / v["norm"]), 0.0)) + end
+        logs = np.where(head, np.log10((n + ALPHA) / v["norm"]), none)  # words outside the head as if they had no count
+        base = blocks.sums_by(w.first, logs) + end
         known = blocks.sums_by(w.first, head) + (v["ends"] > 0)
         # own classes give their word for certain; of other words the share in their class is due
-        rest = blocks.sums_by(w.first, np.where(own >= 0, 0.0, v["within"][s] + np.where(head, np.log10((n + ALPHA) / v["norm"]), 0.0)))
+        rest = blocks.sums_by(w.first, np.where(own >= 0, 0.0, v["within"][s] + logs))
         classes = np.where(own >= 0, own, OWN_CLASSES + s).astype(np.uint16)
         codes = [np.append(classes[a:z], np.uint16(END)).tobytes() for a, z in zip(w.first[:-1].tolist(), w.first[1:].tolist(), strict=True)]
-        offsets = np.append(0, np.cumsum(blocks.sums_by(w.first, ~head))).astype(np.int32)
-        tail = pa.ListArray.from_arrays(pa.array(offsets), pa.array(w.hashes[~head].view(np.int64)))
+        # of the other words each one once a row, with how often it is there
+        other = np.flatnonzero(~head)
+        pair, many = np.unique(np.stack([w.doc[other].astype(np.int64), inv[other]]), axis=1, return_counts=True) if len(other) else (np.zeros((2, 0), np.int64), np.zeros(0, np.int64))
+        offsets = np.append(0, np.cumsum(np.bincount(pair[0], minlength=b.num_rows))).astype(np.int32)
+        tail = pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays([pa.array(h[pair[1]].view(np.int64)), pa.array(many.astype(np.int64))], names=["h", "m"]))
         cols = [pa.array(np.arange(row, row + b.num_rows)), b.column(0), b.column(1), pa.array(w.counts.astype(np.int64) + 1), pa.array(base), pa.array(known.astype(np.int64)), pa.array(rest), pa.array(codes, pa.binary()), tail]
         row += b.num_rows
         yield pa.RecordBatch.from_arrays(cols, names=[x.split()[0] for x in _ENCODED.split(", ")])
@@ -166,21 +173,41 @@ def _sequences(codes: list[bytes], most: int | None) -> tuple[np.ndarray, np.nda
     return obs, starts[order], sizes[order]
 
 
-def log10_likelihood(m: Model, codes: list[bytes]) -> np.ndarray:
-    """Scaled forward recursion over whole sequences, in step over all of them."""
-    sizes = np.array([len(c) // 2 for c in codes], np.int64)
-    order = np.argsort(-sizes, kind="stable")
-    obs, starts, lengths = _sequences(codes, None)
-    active = np.searchsorted(-lengths, -np.arange(1, lengths[0] + 1), side="right") if len(lengths) else []
-    a, total = np.tile(m.start, (len(codes), 1)), np.zeros(len(codes))
+def _forward(m: Model, obs: np.ndarray, starts: np.ndarray, lengths: np.ndarray, a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The scaled recursion, in step over sequences (longest first), from the states `a` before the first emission: states after the last one, log10 of all scales."""
+    active = np.searchsorted(-lengths, -np.arange(1, lengths[0] + 1), side="right").tolist() if len(lengths) else []
+    a, total = a.copy(), np.zeros(len(lengths))
     for t, n in enumerate(active):
-        e = m.emit[obs[starts[:n] + t]]
-        a = (a[:n] @ m.move if t else a[:n]) * e
-        c = a.sum(1)
-        a /= c[:, None]
+        now = a[:n] @ m.move if t else a[:n]
+        now = now * m.emit[obs[starts[:n] + t]]
+        c = now.sum(1)
+        a[:n] = now / c[:, None]
         total[:n] += np.log10(c)
-    out = np.empty(len(codes))
-    out[order] = total
+    return a, total
+
+
+def log10_likelihood(m: Model, codes: list[bytes]) -> np.ndarray:
+    """log10 of the probability of each whole sequence."""
+    sizes = np.array([len(c) // 2 for c in codes], np.int64)
+    out, k = np.zeros(len(codes)), len(m.start)
+    short = np.flatnonzero(sizes <= SEGMENT)
+    order = short[np.argsort(-sizes[short], kind="stable")]
+    obs, starts, lengths = _sequences([codes[i] for i in short], None)
+    out[order] = _forward(m, obs, starts, lengths, np.tile(m.start, (len(order), 1)))[1]
+    for i in np.flatnonzero(sizes > SEGMENT):
+        obs, starts, lengths = _sequences([codes[i]], SEGMENT)
+        begin = np.tile(np.eye(k), (len(starts), 1))
+        first = np.repeat(starts == 0, k)
+        begin[~first] = begin[~first] @ m.move
+        ends, logs = _forward(m, obs, np.repeat(starts, k), np.repeat(lengths, k), begin)
+        order = np.argsort(starts, kind="stable")
+        ends, logs = ends.reshape(-1, k, k)[order], logs.reshape(-1, k)[order]
+        a = m.start
+        for step, scale in zip(ends, logs, strict=True):  # a row of step for each state at the beginning
+            most = scale.max()
+            a = (a * 10.0 ** (scale - most)) @ step
+            c = a.sum()
+            a, out[i] = a / c, out[i] + math.log10(c) + most
     return out
 
 
@@ -215,13 +242,9 @@ def expected_counts(m: Model, codes: list[bytes], most: int = SEQUENCE) -> tuple
     return firsts, moves, emits
 
 
-def _batches_of(batches: Iterator[pa.RecordBatch], col: str, limit: int) -> Iterator[pa.RecordBatch]:
-    yield from blocks.slices(batches, col, limit)
-
-
 def _expect(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatch]:
     m, total = model.value, None
-    for b in _batches_of(batches, "classes", 2 << 20):
+    for b in blocks.slices(batches, "classes", 2 << 20):
         got = expected_counts(m, b.column(0).to_pylist())
         total = got if total is None else [x + y for x, y in zip(total, got, strict=True)]
     if total is not None:
@@ -230,19 +253,14 @@ def _expect(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatch
             yield pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([task], pa.int32()), pa.array([table[at : at + _CHUNK].tobytes()], pa.binary())], names=["chunk", "task", "counts"])
 
 
-def _add(table: pa.Table) -> pa.Table:
-    own = sorted(zip(table.column("task").to_pylist(), table.column("counts").to_pylist(), strict=True))
-    total = np.sum([np.frombuffer(c) for _, c in own], axis=0)
-    return pa.table({"chunk": table.column("chunk")[:1], "task": pa.array([0], pa.int32()), "counts": pa.array([total.tobytes()], pa.binary())})
-
-
 def train(encoded: DataFrame, class_n: np.ndarray, states: int = STATES, iterations: int = ITERATIONS) -> Model:
     """Baum-Welch over the class sequences of all rows of encoded; what comes to the driver has the size of the model."""
     sc, m = encoded.sparkSession.sparkContext, first_model(class_n, states)
     u = ((class_n + ALPHA) / (class_n.sum() + ALPHA * CLASSES))[:, None]
     for _ in range(iterations):
         shared = sc.broadcast(m)
-        parts = encoded.select("classes").mapInArrow(lambda it, s=shared: _expect(it, s), "chunk int, task int, counts binary").groupBy("chunk").applyInArrow(_add, "chunk int, task int, counts binary").collect()
+        parts = encoded.select("classes").mapInArrow(lambda it, s=shared: _expect(it, s), "chunk int, task int, counts binary")
+        parts = store.summed(parts, ["chunk"], np.float64).select("chunk", "counts").collect()
         if not parts:
             break
         table = np.concatenate([np.frombuffer(r["counts"]) for r in sorted(parts)]).reshape(-1, states)
@@ -252,7 +270,7 @@ def train(encoded: DataFrame, class_n: np.ndarray, states: int = STATES, iterati
 
 
 def _score(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatch]:
-    for b in _batches_of(batches, "classes", 8 << 20):
+    for b in blocks.slices(batches, "classes", 8 << 20):
         at = b.schema.get_field_index("classes")
         yield b.set_column(at, "forward", pa.array(log10_likelihood(model.value, b.column(at).to_pylist())))
 
@@ -269,9 +287,9 @@ def score(docs: DataFrame, held_out: str = "held_out") -> DataFrame:
     encoded = store.cut(docs.mapInArrow(lambda it: _encode(it, shared), _ENCODED), "encoded")
     model = spark.sparkContext.broadcast(train(encoded.where("not held_out"), vocabulary.class_n))
     forward = encoded.drop("tail").mapInArrow(lambda it: _score(it, model), ", ".join(x.replace("classes binary", "forward double") for x in _ENCODED.split(", ")[:-1]))
-    c = F.coalesce("n", F.lit(0))
-    tail = encoded.select("row", F.explode("tail").alias("h")).join(vocabulary.tail, "h", "left")
-    tail = tail.groupBy("row").agg(F.sum(F.log10((c + ALPHA) / vocabulary.norm)).alias("tail_base"), F.sum((c > 0).cast("bigint")).alias("tail_known"))
+    # words outside the head are scored as if they had no count; where they have one, the difference is due for each of their places
+    tail = encoded.select("row", F.inline("tail")).join(vocabulary.tail, "h")
+    tail = tail.groupBy("row").agg(F.sum(F.col("m") * F.log10((F.col("n") + ALPHA) / ALPHA)).alias("tail_base"), F.sum("m").alias("tail_known"))
     zero = lambda name: F.coalesce(name, F.lit(0))
     return forward.join(tail, "row", "left").select(
         "doc_id",

@@ -2,12 +2,18 @@
 
 Training counts grams of every labelled row in its task, and Spark adds up the counts of
 each language; the model is a matrix of languages by BUCKETS log probabilities (plus the
-log priors), broadcast to score texts in batches. Characters are lower-cased; a text is
-bounded by a space on both sides.
+log priors), broadcast to score texts in batches. Characters up to U+FFFF are lower-cased
+one by one; a text is bounded by a space on both sides. Long texts are walked in parts of
+PART characters that overlap by a gram, so a text of 100 MB costs little more than itself.
+
+The language is the one of the greatest posterior; ties go to the name that sorts first.
+Its score is a posterior, too, but of EVIDENCE grams of average weight where a text has
+more: neighbouring grams depend on each other, and the plain product over a line of text
+would call every guess certain. One more hypothesis, with the weight NO_LANGUAGE, has all
+buckets equally likely: a text whose grams no language knows scores near 0.
 
 Null texts, and texts without any letter, are `und` with score 0, as are all if nothing is
-labelled. Otherwise the score is the posterior probability of the predicted language; ties
-go to the name that sorts first. Rows with a null or repeated doc_id are judged one by one.
+labelled. Rows with a null or repeated doc_id are judged one by one.
 """
 
 from __future__ import annotations
@@ -16,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,66 +30,83 @@ from loomgene.llm import blocks, store
 
 BUCKETS = 1 << 16
 UNDETERMINED = "und"
+EVIDENCE, NO_LANGUAGE = 32, 0.01
+PART = 1 << 20
 _CHUNK = 1024
 _SMOOTH = 0.5
 _U = np.uint64
+_TOP = 1 << 16
 
 
 def _tables() -> tuple[np.ndarray, np.ndarray]:
-    low = np.arange(0x250, dtype=np.uint32)
-    for c in range(0x250):
+    """Lower case and being a letter, of characters below _TOP."""
+    low = np.arange(_TOP, dtype=np.uint32)
+    for c in range(_TOP):
         if len(s := chr(c).lower()) == 1:
             low[c] = ord(s)
-    return low, np.array([chr(c).isalpha() for c in range(0x250)])
+    return low, np.array([chr(c).isalpha() for c in range(_TOP)])
 
 
 class Grams:
-    """Hashed grams of all rows of a block: bucket and, for each row, where its grams begin."""
+    """Hashed grams of some pieces of texts: parts (buckets of the bigrams, of the trigrams), each with its piece in owners; letters: which pieces have one."""
 
-    def __init__(self, arr: pa.Array, tables):
+    def __init__(self, pieces: list[str], final: list[bool], tables):
         low, alpha = tables
-        texts = [t or "" for t in arr.to_pylist()]
-        sizes = np.array([len(t) + 2 for t in texts], np.int64)
-        cp = np.frombuffer((" " + "  ".join(texts) + " ").encode("utf-32-le", "surrogatepass"), np.uint32)
-        known = cp < 0x250
+        sizes = np.array([len(t) for t in pieces], np.int64)
+        cp = np.frombuffer("".join(pieces).encode("utf-32-le", "surrogatepass"), np.uint32)
+        known = cp < _TOP
         small = np.where(known, cp, 0)
-        cp = np.where(known, low[small], cp).astype(_U)
         edge = np.append(0, np.cumsum(sizes))
-        doc = np.repeat(np.arange(len(texts)), sizes)
-        letters = blocks.sums_by(edge, alpha[small] & known) > 0
-        for i in np.flatnonzero(~letters & (sizes > 2)).tolist():
-            letters[i] = any(map(str.isalpha, texts[i]))
-        self.letters = letters
+        doc = np.repeat(np.arange(len(pieces), dtype=np.int32), sizes)
+        self.letters = blocks.sums_by(edge, alpha[small] & known) > 0
+        if not known.all():
+            for i in np.flatnonzero(~self.letters & (blocks.sums_by(edge, ~known) > 0)).tolist():
+                self.letters[i] = any(map(str.isalpha, pieces[i]))
+        cp = np.where(known, low[small], cp).astype(_U)
         two = cp[:-1] * _U(0x9E3779B1) + cp[1:]
         three = two[:-1] * _U(0x85EBCA77) + cp[2:] + _U(1)
-        parts, owners = [], []
+        self.parts, self.owners = [], []
         for g, k in ((two, 2), (three, 3)):
             keep = doc[: len(g)] == doc[k - 1 :]
-            parts.append(((g[keep] * _U(0x9E3779B97F4A7C15)) >> _U(48)).astype(np.int64))
-            owners.append(doc[: len(g)][keep])
-        self.parts, self.owners, self.rows = parts, owners, len(texts)
+            if k == 2:  # the last bigram of a piece that goes on is the first of the next one
+                keep[edge[1:][~np.array(final, bool)] - 2] = False
+            self.parts.append(((g[keep] * _U(0x9E3779B97F4A7C15)) >> _U(48)).astype(np.int32))
+            self.owners.append(doc[: len(g)][keep])
+
+
+def walk(arr: pa.Array, tables) -> Iterator[tuple[np.ndarray, Grams]]:
+    """The grams of all rows in parts of about PART characters, each with the rows of its pieces."""
+    rows, pieces, final, room = [], [], [], PART
+    for i, text in enumerate(arr.to_pylist()):
+        n = len(text or "") + 2
+        for a in range(0, n - 2 if n > 2 else 1, PART):
+            last = a + PART >= n - 2
+            piece = (text or "")[max(a - 1, 0) : a + PART + 1]
+            pieces.append((" " if a == 0 else "") + piece + (" " if last else ""))
+            rows.append(i)
+            final.append(last)
+            room -= len(piece) + 2
+            if room <= 0:
+                yield np.array(rows), Grams(pieces, final, tables)
+                rows, pieces, final, room = [], [], [], PART
+    if rows:
+        yield np.array(rows), Grams(pieces, final, tables)
 
 
 def _learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    tables, counts, rows = _tables(), {}, {}
+    tables, counts, task = _tables(), {}, TaskContext.get().partitionId()
     for b in blocks.slices(batches):
         langs = np.array(b.column(1).to_pylist(), object)
-        g = Grams(b.column(0), tables)
-        for name in set(langs.tolist()):
-            own = langs == name
-            rows[name] = rows.get(name, 0) + int(own.sum())
-            got = counts.setdefault(name, np.zeros(BUCKETS, np.int64))
-            for part, owner in zip(g.parts, g.owners, strict=True):
-                got += np.bincount(part[own[owner]], minlength=BUCKETS)
+        for name in set(langs.tolist()):  # the last number counts the rows
+            counts.setdefault(name, np.zeros(BUCKETS + 1, np.int64))[BUCKETS] += int((langs == name).sum())
+        for rows, g in walk(b.column(0), tables):
+            for name in set(langs[rows].tolist()):
+                own = langs[rows] == name
+                for part, owner in zip(g.parts, g.owners, strict=True):
+                    counts[name][:BUCKETS] += np.bincount(part[own[owner]], minlength=BUCKETS)
     for name, c in counts.items():
         for k in range(0, BUCKETS, _CHUNK):
-            yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([k], pa.int32()), pa.array([rows[name] if k == 0 else 0], pa.int64()), pa.array([c[k : k + _CHUNK].tobytes()], pa.binary())], names=["lang", "chunk", "n_rows", "counts"])
-
-
-def _add(table: pa.Table) -> pa.Table:
-    total = np.sum([np.frombuffer(c, np.int64) for c in table.column("counts").to_pylist()], axis=0)
-    n = sum(table.column("n_rows").to_pylist())
-    return pa.table({"lang": table.column("lang")[:1], "chunk": table.column("chunk")[:1], "n_rows": pa.array([n], pa.int64()), "counts": pa.array([total.tobytes()], pa.binary())})
+            yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([k], pa.int32()), pa.array([task], pa.int32()), pa.array([c[k : k + _CHUNK + (k + _CHUNK == BUCKETS)].tobytes()], pa.binary())], names=["lang", "chunk", "task", "counts"])
 
 
 class Model:
@@ -95,31 +119,36 @@ class Model:
 def train(rows: DataFrame) -> Model:
     """Learns from the columns text and lang of all rows that have a lang; the model has BUCKETS numbers a language."""
     store.import_path(rows.sparkSession)
-    schema = "lang string, chunk int, n_rows bigint, counts binary"
-    got = rows.where("lang is not null").select("text", "lang").mapInArrow(_learn, schema).groupBy("lang", "chunk").applyInArrow(_add, schema).toArrow()
+    parts = rows.where("lang is not null").select("text", "lang").mapInArrow(_learn, "lang string, chunk int, task int, counts binary")
+    got = store.summed(parts, ["lang", "chunk"], np.int64).toArrow()  # of the size of the model
     langs = sorted(set(got.column("lang").to_pylist()))
-    counts, n = np.zeros((len(langs), BUCKETS), np.int64), np.zeros(len(langs))
-    for name, k, rows_, raw in zip(*(got.column(c).to_pylist() for c in ("lang", "chunk", "n_rows", "counts")), strict=True):
-        counts[langs.index(name), k : k + _CHUNK] = np.frombuffer(raw, np.int64)
-        n[langs.index(name)] += rows_
-    return Model(langs, n, counts)
+    counts = np.zeros((len(langs), BUCKETS + 1), np.int64)
+    for name, k, raw in zip(*(got.column(c).to_pylist() for c in ("lang", "chunk", "counts")), strict=True):
+        own = np.frombuffer(raw, np.int64)
+        counts[langs.index(name), k : k + len(own)] = own
+    return Model(langs, counts[:, BUCKETS].astype(float), counts[:, :BUCKETS])
 
 
 def score(m: Model, arr: pa.Array, tables) -> tuple[list[str], np.ndarray]:
-    """Predicted language and posterior of each row."""
-    g = Grams(arr, tables)
+    """Predicted language and its score, of each row."""
     if not m.langs:
-        return [UNDETERMINED] * g.rows, np.zeros(g.rows)
-    total = np.tile(m.prior[:, None], (1, g.rows))
-    for part, owner in zip(g.parts, g.owners, strict=True):
-        first = np.searchsorted(owner, np.arange(g.rows))
-        full = np.flatnonzero(np.diff(np.append(first, len(owner))))
-        if len(full):
-            for i in range(len(m.langs)):
-                total[i, full] += np.add.reduceat(m.logs[i][part].astype(np.float64), first[full])
-    best = total.argmax(0)
-    post = 1 / np.exp(total - total.max(0)).sum(0)
-    return [m.langs[b] if ok else UNDETERMINED for b, ok in zip(best.tolist(), g.letters.tolist(), strict=True)], np.where(g.letters, post, 0.0)
+        return [UNDETERMINED] * len(arr), np.zeros(len(arr))
+    total, grams, letters = np.zeros((len(m.langs), len(arr))), np.zeros(len(arr)), np.zeros(len(arr), bool)
+    for rows, g in walk(arr, tables):
+        np.logical_or.at(letters, rows, g.letters)
+        for part, owner in zip(g.parts, g.owners, strict=True):
+            first = np.searchsorted(owner, np.arange(len(rows) + 1))
+            sizes = np.diff(first)
+            np.add.at(grams, rows, sizes)
+            full = np.flatnonzero(sizes)
+            if len(full):
+                for i in range(len(m.langs)):
+                    np.add.at(total[i], rows[full], np.add.reduceat(m.logs[i][part].astype(np.float64), first[full]))
+    best = (total + m.prior[:, None]).argmax(0)
+    total = np.vstack([total, grams * -np.log(BUCKETS)])
+    evidence = total * np.minimum(1, EVIDENCE / np.maximum(grams, 1)) + np.append(m.prior, np.log(NO_LANGUAGE))[:, None]
+    post = np.exp(evidence[best, np.arange(len(arr))] - np.logaddexp.reduce(evidence, axis=0))
+    return [m.langs[b] if ok else UNDETERMINED for b, ok in zip(best.tolist(), letters.tolist(), strict=True)], np.where(letters, np.minimum(post, 1.0), 0.0)
 
 
 def _predict(batches: Iterator[pa.RecordBatch], model, text: str, names: tuple[str, str]) -> Iterator[pa.RecordBatch]:
@@ -142,8 +171,14 @@ def part_of(doc_id: str = "doc_id", parts: int = 4):
     return F.pmod(F.crc32(F.col(doc_id).cast("string")), F.lit(parts))
 
 
-def keep_identified(docs: DataFrame, least: float = 0.5) -> DataFrame:
-    """docs without those that have no letter or no language of at least that posterior."""
+def keep_identified(docs: DataFrame, least: float = 0.6, languages: tuple[str, ...] | None = None) -> DataFrame:
+    """docs without those that have no letter, no language of at least that score, or (if languages are given) another language.
+
+    Learns from the rows with a lang whose part_of() is not 2; where no row has one, there is no language and nothing is kept.
+    """
     names = ("__lang_pred", "__lang_score")
     model = train(docs.where(F.coalesce(part_of() != 2, F.lit(True))))
-    return predict(docs, model, names=names).where((F.col(names[0]) != UNDETERMINED) & (F.col(names[1]) >= least)).select(*(f"`{c}`" for c in docs.columns))
+    kept = (F.col(names[0]) != UNDETERMINED) & (F.col(names[1]) >= least)
+    if languages is not None:
+        kept = kept & F.col(names[0]).isin(*languages)
+    return predict(docs, model, names=names).where(kept).select(*(f"`{c}`" for c in docs.columns))

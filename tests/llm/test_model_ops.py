@@ -138,6 +138,102 @@ def test_recursions():
     assert em[o[2], 1] == pytest.approx(sum(v * sum(s == 1 and x == o[2] for s, x in zip(p, o, strict=True)) for p, v in paths.items()) / total, rel=1e-3)
 
 
+def test_long_sequences_in_segments(monkeypatch):
+    rng = np.random.default_rng(3)
+    m = hmm_lm.first_model(rng.integers(1, 9, hmm_lm.CLASSES).astype(float), 4)
+    obs = [rng.integers(0, hmm_lm.CLASSES, n).astype(np.uint16) for n in (3, 700, 64, 65, 1, 129)]
+    monkeypatch.setattr(hmm_lm, "SEGMENT", 64)
+    assert hmm_lm.log10_likelihood(m, [o.tobytes() for o in obs]) == pytest.approx([slow_forward(m, o) for o in obs])
+
+
+def brute_scores(docs, held):
+    """The whole method in plain steps and logarithms: classes, Baum-Welch, forward, words within classes."""
+    import pyarrow as pa
+
+    tokens = {i: brute.SPACED.findall((t or "").translate(brute.LOWER)) for i, t in docs}
+    words = sorted({w for ws in tokens.values() for w in ws})
+    suffix = dict(zip(words, hmm_lm.suffix_class(blocks.Words(pa.array(words), blocks.SPACED, lower=False)).tolist(), strict=True))
+    hashes = dict(zip(words, blocks.Words(pa.array(words), blocks.SPACED, lower=False).hashes.view(np.int64).tolist(), strict=True))
+    c = Counter(w for i, ws in tokens.items() if not held[i] for w in ws)
+    ends = sum(not h for h in held.values())
+    own = {w: k for k, w in enumerate(sorted(c, key=lambda w: (-c[w], hashes[w]))[: hmm_lm.OWN_CLASSES])}
+    of = lambda w: own[w] if w in own else hmm_lm.OWN_CLASSES + suffix[w]
+    seqs = {i: [*(of(w) for w in ws), hmm_lm.END] for i, ws in tokens.items()}
+    n = np.zeros(hmm_lm.CLASSES)
+    kinds = Counter(of(w) for w in c if w not in own)
+    for w, k in c.items():
+        n[of(w)] += k
+    n[hmm_lm.END] = ends
+    m, u = hmm_lm.first_model(n, hmm_lm.STATES), (n + 0.1) / (n.sum() + 0.1 * hmm_lm.CLASSES)
+    for _ in range(hmm_lm.ITERATIONS):
+        firsts, moves, emits = np.ones(hmm_lm.STATES), np.ones((hmm_lm.STATES,) * 2), np.repeat(10 * u[:, None], hmm_lm.STATES, 1)
+        for o in (seqs[i][a : a + hmm_lm.SEQUENCE] for i in seqs if not held[i] for a in range(0, len(seqs[i]), hmm_lm.SEQUENCE)):
+            f, b = [np.log(m.start * m.emit[o[0]])], [np.zeros(hmm_lm.STATES)]
+            for x in o[1:]:
+                f.append(np.logaddexp.reduce(f[-1][:, None] + np.log(m.move), axis=0) + np.log(m.emit[x]))
+            for x in reversed(o[1:]):
+                b.insert(0, np.logaddexp.reduce(np.log(m.move) + np.log(m.emit[x])[None, :] + b[0][None, :], axis=1))
+            z = np.logaddexp.reduce(f[-1])
+            for t, x in enumerate(o):
+                emits[x] += np.exp(f[t] + b[t] - z)
+                if t:
+                    moves += np.exp(f[t - 1][:, None] + np.log(m.move) + np.log(m.emit[x])[None, :] + b[t][None, :] - z)
+            firsts += np.exp(f[0] + b[0] - z)
+        m = hmm_lm.Model(firsts / firsts.sum(), moves / moves.sum(1, keepdims=True), emits / emits.sum(0))
+    within = lambda w: 0.0 if w in own else math.log10((c[w] + 0.1) / (n[of(w)] + 0.1 * (kinds[of(w)] + 1)))
+    return {i: slow_forward(m, np.array(seqs[i])) + sum(map(within, tokens[i])) for i in seqs}
+
+
+def test_hmm_score_against_brute_force(spark, monkeypatch):
+    rnd = random.Random(8)
+    monkeypatch.setattr(hmm_lm, "OWN_CLASSES", 3)  # most words share classes
+    monkeypatch.setattr(hmm_lm, "CLASSES", 3 + hmm_lm.SUFFIX_CLASSES + 1)
+    monkeypatch.setattr(hmm_lm, "END", 3 + hmm_lm.SUFFIX_CLASSES)
+    words = ["le", "chat", "noir", "the", "cat", "é", "x1", "dog", "sun", "zw", "ion", "nation", "station"]
+    docs = [(i, " ".join(rnd.choice(words[i % 2 :: 2]) for _ in range(rnd.randint(0, 25)))) for i in range(24)] + [(24, None), (25, "never seen words here"), (26, "la " * 700)]
+    held = {i: i % 4 == 1 for i, _ in docs}
+    df = spark.createDataFrame([(i, t, held[i]) for i, t in docs], "doc_id bigint, text string, held_out boolean").repartition(3)
+    # workers get the constants with the functions only if they are not read from the module there, so one task's worth of rows runs here
+    batches = df.toArrow().to_batches()
+    got = local_scores(batches)
+    want = brute_scores(docs, held)
+    assert got == pytest.approx(want, rel=2e-4)
+
+
+def local_scores(batches):
+    """hmm_lm.score step by step in this process."""
+    import pyarrow as pa
+
+    table = pa.Table.from_batches(batches)
+    training = table.filter(pa.compute.invert(table["held_out"]))
+
+    class One:
+        def __init__(self, value):
+            self.value = value
+
+    counted = pa.Table.from_batches(hmm_lm._count(iter(training.select(["text"]).combine_chunks().to_batches()))).group_by("h").aggregate([("s", "min"), ("n", "sum")])
+    from pyspark.sql import SparkSession
+
+    spark = SparkSession.getActiveSession()
+    rows = list(zip(counted["h"].to_pylist(), counted["s_min"].to_pylist(), counted["n_sum"].to_pylist(), strict=True))
+    v = hmm_lm.Vocabulary(spark.createDataFrame(rows, "h bigint, s int, n bigint"), training.num_rows)
+    hmm_lm.TaskContext, keep = One(0), hmm_lm.TaskContext
+    hmm_lm.TaskContext.get = lambda: type("T", (), {"partitionId": lambda self: 0})()
+    try:
+        encoded = pa.Table.from_batches(hmm_lm._encode(iter(table.select(["doc_id", "held_out", "text"]).combine_chunks().to_batches()), One(v.shared())))
+    finally:
+        hmm_lm.TaskContext = keep
+    codes, held = encoded["classes"].to_pylist(), encoded["held_out"].to_pylist()
+    m = hmm_lm.first_model(v.class_n, hmm_lm.STATES)
+    u = ((v.class_n + 0.1) / (v.class_n.sum() + 0.1 * hmm_lm.CLASSES))[:, None]
+    for _ in range(hmm_lm.ITERATIONS):
+        f, mv, em = hmm_lm.expected_counts(m, [c for c, h in zip(codes, held, strict=True) if not h])
+        f, mv, em = f + 1, mv + 1, em + 10 * u
+        m = hmm_lm.Model(f / f.sum(), mv / mv.sum(1, keepdims=True), em / em.sum(0))
+    total = hmm_lm.log10_likelihood(m, codes) + encoded["rest"].to_numpy()
+    return dict(zip(encoded["doc_id"].to_pylist(), total.tolist(), strict=True))
+
+
 def test_training_raises_likelihood():
     rng = np.random.default_rng(5)
     obs = [(rng.integers(0, 40, 60) + 40 * (i % 3)).astype(np.uint16).tobytes() for i in range(60)]

@@ -158,6 +158,67 @@ def test_language_odd(spark, odd):
     assert langid.keep_identified(labelled).dtypes == labelled.dtypes
 
 
+def brute_language(train, texts):
+    """Naive Bayes over lower-cased grams in dictionaries; grams meet where their buckets do."""
+    from collections import Counter
+
+    mask = (1 << 64) - 1
+
+    def grams(t):
+        p = " " + "".join(c.lower() if len(c.lower()) == 1 and ord(c) < 1 << 16 else c for c in t or "") + " "
+        two = [(ord(a) * 0x9E3779B1 + ord(b)) & mask for a, b in zip(p, p[1:], strict=False)]
+        three = [(x * 0x85EBCA77 + ord(c) + 1) & mask for x, c in zip(two, p[2:], strict=False)]
+        return [(x * 0x9E3779B97F4A7C15 & mask) >> 48 for x in two + three]
+
+    counts, rows = {}, Counter()
+    for t, lang in train:
+        if lang is not None:
+            counts.setdefault(lang, Counter()).update(grams(t))
+            rows[lang] += 1
+    total, out = {k: sum(c.values()) for k, c in counts.items()}, []
+    for t in texts:
+        g = grams(t)
+        logs = {k: sum(np.log((c[x] + 0.5) / (total[k] + 0.5 * langid.BUCKETS)) for x in g) for k, c in sorted(counts.items())}
+        prior = {k: np.log(rows[k] / sum(rows.values())) for k in logs}
+        best = max(sorted(logs), key=lambda k: logs[k] + prior[k])
+        share = min(1, langid.EVIDENCE / len(g))
+        all_ = [logs[k] * share + prior[k] for k in logs] + [-len(g) * np.log(langid.BUCKETS) * share + np.log(langid.NO_LANGUAGE)]
+        letter = any(c.isalpha() for c in t or "")
+        out.append((best if letter else "und", float(np.exp(logs[best] * share + prior[best] - np.logaddexp.reduce(all_))) if letter else 0.0))
+    return out
+
+
+@pytest.mark.parametrize("part", [1 << 20, 3])
+def test_language_against_brute_force(monkeypatch, part):
+    import pyarrow as pa
+
+    monkeypatch.setattr(langid, "PART", part)
+    monkeypatch.setattr(langid, "TaskContext", type("T", (), {"get": staticmethod(lambda: type("P", (), {"partitionId": lambda self: 0})())}))
+    train = [("The cat and THE dog", "en"), ("Der Hund und die Katze", "de"), ("ÉTÉ à la plage", "fr"), (None, "en"), ("кот И СОБАКА", "ru"), ("a", "de")]
+    got = list(langid._learn(iter(pa.table({"text": [t for t, _ in train], "lang": [x for _, x in train]}).to_batches())))
+    counts, langs = {}, sorted({x for _, x in train})
+    for b in got:
+        counts.setdefault(b["lang"][0].as_py(), {})[b["chunk"][0].as_py()] = np.frombuffer(b["counts"][0].as_py(), np.int64)
+    table = np.stack([np.concatenate([c for _, c in sorted(counts[x].items())]) for x in langs])
+    model = langid.Model(langs, table[:, -1].astype(float), table[:, :-1])
+    texts = [*TEXTS, "the katze", "ДВЕ собаки", "Été", "a", "zzxxqqvv wwkk"]
+    names, scores = langid.score(model, pa.array(texts), langid._tables())
+    want = brute_language(train, texts)
+    assert names == [w[0] for w in want] and scores.tolist() == pytest.approx([w[1] for w in want], abs=1e-4)
+
+
+def test_language_stage_drops_what_no_language_fits(spark):
+    rnd = random.Random(6)
+    en, de = "the of and house water people with from this that".split(), "der und nicht haus wasser leute mit von diese das".split()
+    docs = [(i, " ".join(rnd.choice(en if i % 2 else de) for _ in range(40)), "en" if i % 2 else "de") for i in range(60)]
+    docs += [(100, "Ωμέγα και άλφα και βήτα", None), (101, "жук и дом и вода", None), (102, "12345 !!", None), (103, None, None), (104, "".join(rnd.choice("qxzjkvw") for _ in range(200)), None)]
+    kept = langid.keep_identified(spark.createDataFrame(docs, "doc_id bigint, text string, lang string"))
+    assert sorted(r["doc_id"] for r in kept.collect()) == list(range(60))
+    only = langid.keep_identified(spark.createDataFrame(docs, "doc_id bigint, text string, lang string"), languages=("de",))
+    assert sorted(r["doc_id"] for r in only.collect()) == list(range(0, 60, 2))
+    assert langid.keep_identified(kept.limit(0)).count() == 0
+
+
 PATTERNS = {"assign": r"((?:[pP][aA][sS][sS][wW][oO][rR][dD])|(?:[pP][aA][sS][sS][wW][dD])|(?:[sS][eE][cC][rR][eE][tT])|(?:[tT][oO][kK][eE][nN])|(?:[aA][pP][iI]_?[kK][eE][yY]))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", "access": r"AKIA[A-Z0-9]+", "hex": r"[0-9a-f]+"}
 
 
