@@ -8,12 +8,15 @@ binary search; hits on one diagonal join to the longest verbatim matches, whose
 in item and document are kept.
 
 The benchmark is taken in blocks of at most BENCHMARK_BYTES of text (a longer item is a
-block of its own); each block is broadcast and the documents pass it in the same stage,
-so a large benchmark costs more passes in a task and no shuffle. Texts are never shuffled.
+block of its own); each block is broadcast, PASS_BLOCKS of them meet the documents in one
+pass, and the passes are cut by writing. Texts are never shuffled. Equal windows of several
+items are searched once; the list of matches is made for as many rows at a time as have
+PAIRS (window, place) pairs together, and one row's list has the size of its result.
 
 Null or empty texts: no words, nothing hit. Rows with equal doc_id are judged one by one.
 An item with a null id hits words but is not among the listed items. An empty benchmark
-hits nothing. Documents may have any further columns.
+hits nothing. Documents may have any further columns; those with the names of the new ones
+are replaced. A text of 100 MB is a shard of its own and takes about six bytes a byte.
 """
 
 from __future__ import annotations
@@ -27,7 +30,8 @@ from pyspark.sql import functions as F
 
 from loomgene.llm import blocks, store
 
-BENCHMARK_BYTES = 8 << 20
+BENCHMARK_BYTES, PASS_BLOCKS = 8 << 20, 4
+PAIRS = 1 << 21
 WINDOW = 10
 
 _MATCH = "array<struct<item_id:bigint,item_start:int,doc_start:int,length:int>>"
@@ -49,15 +53,25 @@ class Tests:
         codes = np.searchsorted(self.vocab, w.hashes) + 1
         length = np.minimum(w.counts, window)
         n = np.where(w.counts > 0, w.counts - length + 1, 0)
-        self.item = np.repeat(np.arange(len(ids)), n)
-        self.pos = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        self.length = length[self.item]
+        item = np.repeat(np.arange(len(ids)), n)
+        pos = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        size = length[item]
         self.depth = int(length.max()) if len(length) else 0
         self.seed = int(min(2, length[length > 0].min())) if (length > 0).any() else 0
-        at = w.first[:-1][self.item] + self.pos
-        cols = [np.where(j < self.length, codes[np.minimum(at + j, len(codes) - 1)], 0) for j in range(self.depth)]
+        at = w.first[:-1][item] + pos
+        cols = [np.where(j < size, codes[np.minimum(at + j, len(codes) - 1)], 0) for j in range(self.depth)]
+        low = pack(cols, self.bits)
+        # equal windows, which have equal keys, are one test with several (item, pos)
+        order = np.lexsort([pos, item, *low[::-1]]) if len(item) else np.zeros(0, int)
+        new = np.ones(len(order), bool)
+        new[1:] = np.any([k[order][1:] != k[order][:-1] for k in low], axis=0) if low else False
+        head = order[new]
+        self.item, self.pos = item[order], pos[order]
+        self.edge = np.append(np.flatnonzero(new), len(order))  # where the (item, pos) of each test begin
+        self.length = size[head]
         top = (1 << self.bits) - 1
-        self.low = pack(cols, self.bits)
+        cols = [c[head] for c in cols]
+        self.low = [k[head] for k in low]
         self.high = pack([np.where(j < self.length, c, top) for j, c in enumerate(cols)], self.bits)
         self.seeds = np.unique(cols[0] * (len(self.vocab) + 1) + cols[1]) if self.seed == 2 else np.unique(cols[0]) if self.seed else np.zeros(0, np.int64)
         self.ids = np.array([0 if i is None else i for i in ids], np.int64)
@@ -102,9 +116,9 @@ def bound(array: list[np.ndarray], query: list[np.ndarray], upper: bool) -> np.n
     return lo
 
 
-def shard_matches(w: blocks.Words, t: Tests) -> tuple[np.ndarray, ...]:
-    """Row, item, start in item, start in row and length of the longest matches, by row."""
-    none = (np.zeros(0, np.int64),) * 5
+def occurrences(w: blocks.Words, t: Tests) -> tuple[np.ndarray, np.ndarray]:
+    """First words of all places where tests occur in the shard, in order, and the tests."""
+    none = (np.zeros(0, np.int64),) * 2
     if not t.depth or not len(w.hashes):
         return none
     codes = t.codes(w.hashes)
@@ -123,61 +137,86 @@ def shard_matches(w: blocks.Words, t: Tests) -> tuple[np.ndarray, ...]:
     order = np.lexsort(keys[::-1])
     suffixes, keys = at[order], [k[order] for k in keys]
     lo, hi = bound(keys, t.low, False), bound(keys, t.high, True)
-    n = np.maximum(hi - lo, 0)
-    test = np.repeat(np.arange(len(n)), n)
-    word = suffixes[np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
-    if not len(word):
-        return none
-    doc, item, pos, length = w.doc[word], t.item[test], t.pos[test], t.length[test]
+    test, spot = _expand(lo, np.maximum(hi - lo, 0))
+    word = suffixes[spot]
+    order = np.argsort(word, kind="stable")
+    return word[order], test[order]
+
+
+def _expand(starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of [start, start + size), each with the range it is of."""
+    of = np.repeat(np.arange(len(sizes)), sizes)
+    return of, np.repeat(starts - np.cumsum(sizes) + sizes, sizes) + np.arange(len(of))
+
+
+def longest(w: blocks.Words, t: Tests, word: np.ndarray, test: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Row, item, start in item, start in row and length of the longest matches, by row: hits of one item on one diagonal that touch are one."""
+    of, at = _expand(t.edge[test], t.edge[test + 1] - t.edge[test])
+    word, length, item, pos = word[of], t.length[test[of]], t.item[at], t.pos[at]
+    doc = w.doc[word].astype(np.int64)
     start = word - w.first[doc]
     order = np.lexsort((pos, start - pos, item, doc))
     doc, item, pos, start, length = (x[order] for x in (doc, item, pos, start, length))
     new = np.ones(len(doc), bool)
     new[1:] = (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]) | (start[1:] - pos[1:] != start[:-1] - pos[:-1]) | (pos[1:] > pos[:-1] + length[:-1])
     head = np.flatnonzero(new)
-    tail = np.append(head[1:], len(doc)) - 1
+    tail = np.append(head[1:], len(doc)) - 1 if len(head) else head
     return doc[head], item[head], pos[head], start[head], pos[tail] + length[tail] - pos[head]
 
 
-def _pass(batches: Iterator[pa.RecordBatch], tests, text: str, names: tuple[str, str, str], later: bool) -> Iterator[pa.RecordBatch]:
-    t = tests.value
-    words_at, hit_at, match_at = names
+def _pass(batches: Iterator[pa.RecordBatch], tests: list, text: str, names: tuple[str, str, str], later: bool) -> Iterator[pa.RecordBatch]:
     for b in blocks.slices(batches, text):
         w = blocks.Words(b.column(b.schema.get_field_index(text)), blocks.ALNUM, lower=True)
-        doc, item, pos, start, length = shard_matches(w, t)
-        found = [t.ids[item], pos, start, length, t.named[item]]
-        if later:  # what earlier blocks of the benchmark found stays
-            old = b.column(b.schema.get_field_index(match_at))
-            at = np.diff(blocks.offsets_of(old))
-            s = old.flatten()
-            ids = s.field("item_id")
-            doc = np.concatenate([np.repeat(np.arange(len(at)), at), doc])
-            was = [ids.fill_null(0).to_numpy(), *(s.field(k).to_numpy() for k in ("item_start", "doc_start", "length")), ids.is_valid().to_numpy(zero_copy_only=False)]
-            found = [np.concatenate(x) for x in zip(was, found, strict=True)]
-            order = np.argsort(doc, kind="stable")
-            doc, found = doc[order], [x[order] for x in found]
-            b = b.select([c for c in b.schema.names if c not in names])
-        hit = blocks.sums_by(w.first, blocks.covered(len(w.hashes), w.first[doc] + found[2], found[3]))
-        structs = pa.StructArray.from_arrays([pa.array(found[0], pa.int64(), mask=~found[4]), *(pa.array(x.astype(np.int32)) for x in found[1:4])], fields=list(_MATCH_ARROW))
-        offsets = np.zeros(b.num_rows + 1, np.int32)
-        np.cumsum(np.bincount(doc, minlength=b.num_rows), out=offsets[1:])
-        new = [pa.array(w.counts.astype(np.int64)), pa.array(hit.astype(np.int64)), pa.ListArray.from_arrays(pa.array(offsets), structs)]
-        yield pa.RecordBatch.from_arrays([*b.columns, *new], names=[*b.schema.names, words_at, hit_at, match_at])
+        hits = [occurrences(w, t.value) for t in tests]
+        pairs = np.zeros(b.num_rows + 1, np.int64)
+        for t, (word, test) in zip(tests, hits, strict=True):
+            np.add.at(pairs, w.doc[word] + 1, np.diff(t.value.edge)[test])
+        pairs = np.cumsum(pairs)
+        a = 0
+        while a < b.num_rows:  # rows a to z
+            z = max(a + 1, int(np.searchsorted(pairs, pairs[a] + PAIRS, side="right")) - 1)
+            yield _rows(b, w, a, min(z, b.num_rows), tests, hits, names, later)
+            a = z
+
+
+def _rows(b: pa.RecordBatch, w: blocks.Words, a: int, z: int, tests: list, hits: list, names: tuple[str, str, str], later: bool) -> pa.RecordBatch:
+    """Rows a to z of a shard with their new columns."""
+    part, found = b.slice(a, z - a), []
+    if later:  # what earlier passes found stays
+        old = part.column(part.schema.get_field_index(names[2]))
+        s, at = old.flatten(), np.diff(blocks.offsets_of(old))
+        ids = s.field("item_id")
+        found.append((np.repeat(np.arange(a, z), at), ids.fill_null(0).to_numpy(), *(s.field(k).to_numpy() for k in ("item_start", "doc_start", "length")), ids.is_valid().to_numpy(zero_copy_only=False)))
+    for t, (word, test) in zip(tests, hits, strict=True):
+        own = slice(*np.searchsorted(word, w.first[[a, z]]))
+        doc, item, *rest = longest(w, t.value, word[own], test[own])
+        found.append((doc, t.value.ids[item], *rest, t.value.named[item]))
+    doc, ids, pos, start, length, named = (np.concatenate(x) for x in zip(*found, strict=True))
+    order = np.argsort(doc, kind="stable")
+    doc, ids, pos, start, length, named = (x[order] for x in (doc, ids, pos, start, length, named))
+    first = w.first[a : z + 1] - w.first[a]
+    hit = blocks.sums_by(first, blocks.covered(int(first[-1]), first[doc - a] + start, length))
+    structs = pa.StructArray.from_arrays([pa.array(ids, pa.int64(), mask=~named), *(pa.array(x.astype(np.int32)) for x in (pos, start, length))], fields=list(_MATCH_ARROW))
+    offsets = np.append(0, np.cumsum(np.bincount(doc - a, minlength=z - a))).astype(np.int32)
+    new = [pa.array(w.counts[a:z].astype(np.int64)), pa.array(hit.astype(np.int64)), pa.ListArray.from_arrays(pa.array(offsets), structs)]
+    part = part.select([c for c in part.schema.names if c not in names])
+    return pa.RecordBatch.from_arrays([*part.columns, *new], names=[*part.schema.names, *names])
 
 
 def annotate(docs: DataFrame, benchmark: DataFrame, text: str = "text", window: int = WINDOW, names: tuple[str, str, str] = ("n_words", "n_hit", "matches")) -> DataFrame:
-    """docs with three more columns: words, words hit, and all longest matches (item, places, length)."""
+    """docs with three more columns (that replace those of the same names): words, words hit, and all longest matches (item, places, length)."""
     spark = docs.sparkSession
     store.import_path(spark)
+    docs = docs.drop(*names)
     items = benchmark.select("item_id", F.coalesce("text", F.lit("")).alias("text"))
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, -(-size // BENCHMARK_BYTES))
-    for k in range(n):
-        table = items.where(F.pmod(F.xxhash64("text"), F.lit(n)) == k).toArrow()
-        tests = spark.sparkContext.broadcast(Tests(table, window))
-        kept = [c for c in docs.columns if c not in names] if k else docs.columns
-        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name in kept)
-        docs = docs.mapInArrow(lambda it, t=tests, later=k > 0: _pass(it, t, text, names, later), f"{schema}, `{names[0]}` bigint, `{names[1]}` bigint, `{names[2]}` {_MATCH}")
+    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    schema = f"{kept}, `{names[0]}` bigint, `{names[1]}` bigint, `{names[2]}` {_MATCH}"
+    for a in range(0, n, PASS_BLOCKS):
+        tables = (items.where(F.pmod(F.xxhash64("text"), F.lit(n)) == k).toArrow() for k in range(a, min(a + PASS_BLOCKS, n)))  # BENCHMARK_BYTES each
+        tests = [spark.sparkContext.broadcast(Tests(t, window)) for t in tables]
+        docs = (store.cut(docs, "decontaminated") if a else docs).mapInArrow(lambda it, own=tests, later=a > 0: _pass(it, own, text, names, later), schema)
     return docs
 
 

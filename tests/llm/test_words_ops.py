@@ -59,7 +59,27 @@ def test_decontaminate_long_matches(spark):
     assert sorted(got) == [(9, 3, 1, 27), (9, 5, 29, 15)]
 
 
+def test_decontaminate_shared_passage(monkeypatch):
+    """A passage in many items, in parts of few pairs: as the brute force, which knows no parts."""
+    import pyarrow as pa
+
+    passage = " ".join(f"p{i}" for i in range(25))
+    items = [(i, f"x{i} {passage} y{i}") for i in range(50)]
+    docs = [(i, f"{'z ' * i}{passage} end {passage if i % 3 else ''}") for i in range(8)] + [(8, None), (9, "none of it")]
+    tests = decontaminate.Tests(pa.table({"item_id": [i for i, _ in items], "text": [t for _, t in items]}), 10)
+    assert len(tests.low[0]) < 50 * 2 + 20  # the passage's own windows are searched once
+    shared = type("B", (), {"value": tests})
+    for limit in (1 << 21, 1500, 1):
+        monkeypatch.setattr(decontaminate, "PAIRS", limit)
+        table = pa.table({"doc_id": [i for i, _ in docs], "text": [t for _, t in docs]})
+        out = pa.Table.from_batches(decontaminate._pass(iter(table.to_batches()), [shared], "text", ("w", "h", "m"), False)).to_pylist()
+        assert [(r["doc_id"], r["w"], r["h"], len({m["item_id"] for m in r["m"]})) for r in out] == [x[:4] for x in brute.decontaminate(docs, items)]
+        assert all(m["length"] == 25 for r in out for m in r["m"]) and len(out[1]["m"]) == 100
+
+
 def test_decontaminate_empty(spark, odd):
+    clash = decontaminate.annotate(odd, spark.createDataFrame(ITEMS, "item_id bigint, text string"))
+    assert sorted(clash.columns) == ["doc_id", "matches", "n_hit", "n_words", "text"] and clash.schema["n_words"].dataType.simpleString() == "bigint"
     none = spark.createDataFrame([], "item_id bigint, text string")
     assert {r[3] for r in decontaminate.annotate(odd.select("doc_id", "text"), none).collect()} == {0}
     assert decontaminate.annotate(odd.limit(0).select("doc_id", "text"), none).count() == 0
