@@ -7,15 +7,22 @@ at least one of 20 with 1 - 4e-7.
 
 1. Documents with equal sets form a class (copies are never compared with each other).
 2. Classes that share a band meet in a bucket. Buckets of equal membership are kept once.
-   A bucket with more than CELL_SHINGLES shingles is dealt as a grid of chunk pairs.
+   A bucket with more than CELL_SHINGLES shingles is dealt to cells, each set to one of them.
 3. In a cell, one set at a time is compared with all that are not yet connected to it,
    beginning with the most typical one and leaving out what has joined its component, so
    pairs inside a connected group are not enumerated, yet no link that connects is lost.
-4. Components come from the confirmed links by rounds of joins (large star, small star).
-
+4. The most typical set of each cell stands for it: those of FAN cells meet in the next
+   round, until one is left of a bucket. So a large group of near copies is connected with
+   each of its sets read once.
+5. Components come from the confirmed links by rounds of joins (large star, small star).
+6. Only buckets of several cells whose sets aren't all of one component by then are compared
+   in full: their sets meet in cells for pairs of chunks, where only pairs of different
+   components are looked at, and step 5 is repeated with the new links.
 A set of fewer than three words is that whole sequence. Null and empty texts: n_shingles 0,
 linked with nothing. A null doc_id takes part in no group: component_id null, kept. Rows
-that share a doc_id are linked by their own texts only. Ties: the smallest doc_id stays.
+that share a doc_id are linked by their own texts only. Ties: the smallest doc_id stays, in
+all of its rows if there are several. A text of 100 MB is sketched by itself and takes about
+ten bytes a byte.
 """
 
 from __future__ import annotations
@@ -30,7 +37,8 @@ from pyspark.sql import functions as F
 from loomgene.llm import blocks, store
 
 PERMUTATIONS, BANDS = 40, 20
-CELL_SHINGLES = 2_000_000
+CELL_SHINGLES, GRID_SHINGLES = 100_000, 2_000_000
+FAN = 64
 _U = np.uint64
 _MULT = blocks.mix(np.arange(1, PERMUTATIONS + 1, dtype=_U) * _U(0x9E3779B97F4A7C15)) | _U(1)
 _XOR = blocks.mix(_MULT + _U(17))
@@ -102,18 +110,23 @@ def _sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]
             yield pa.RecordBatch.from_arrays([pa.array(d1), pa.array(d2), pa.array([h[first[i] : first[i + 1]].tobytes() for i in full], pa.binary())], names=["c1", "c2", "hashes"])
 
 
-def connect(sets: list[np.ndarray], percent: int) -> np.ndarray:
-    """Component of each set under links of at least percent similarity: equal numbers, equal component."""
+def connect(sets: list[np.ndarray], percent: int, comp: np.ndarray | None = None) -> tuple[np.ndarray, int]:
+    """Component of each set under links of at least percent similarity (equal numbers, equal component), and the most typical set.
+
+    comp: components known before; pairs within one are not compared.
+    """
     m = len(sets)
     n = np.array([len(s) for s in sets])
-    comp = np.arange(m)
+    comp = np.arange(m) if comp is None else comp.copy()
+    if m == 1:
+        return comp, 0
     if m == 2:
         a, b = sets
-        if 100 * min(n) >= percent * max(n):
+        if comp[0] != comp[1] and 100 * min(n) >= percent * max(n):
             both = np.intersect1d(a, b, assume_unique=True).size
             if 100 * both >= percent * (n.sum() - both):
-                comp[1] = 0
-        return comp
+                comp[1] = comp[0]
+        return comp, 0
     _, inv = np.unique(np.concatenate(sets), return_inverse=True)
     starts = np.append(0, np.cumsum(n))[:-1]
     common = np.bincount(inv)
@@ -130,17 +143,41 @@ def connect(sets: list[np.ndarray], percent: int) -> np.ndarray:
                 comp[comp == c] = comp[x]
         if (comp == comp[hub]).all():
             break
-    return comp
+    return comp, hub
 
 
-def _links(table: pa.Table, percent: int) -> pa.Table:
-    """One link from each set of a cell to the first of its component there."""
-    c1, c2 = (table.column(c).to_numpy() for c in ("c1", "c2"))
-    comp = connect([np.frombuffer(x, _U) for x in table.column("hashes").to_pylist()], percent)
+def _spanning(c1: np.ndarray, c2: np.ndarray, comp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which rows are linked, each to the first row of its component."""
     _, first, inv = np.unique(comp, return_index=True, return_inverse=True)
     root = first[inv]
     far = np.flatnonzero(root != np.arange(len(root)))
-    return pa.table({"a1": c1[far], "a2": c2[far], "b1": c1[root[far]], "b2": c2[root[far]]})
+    return far, root[far]
+
+
+_LINKS = "a1 bigint, a2 bigint, b1 bigint, b2 bigint"
+_CELL = "key bigint, chunks bigint, i bigint, c1 bigint, c2 bigint, hashes binary"
+
+
+def _links(table: pa.Table, percent: int) -> pa.Table:
+    """The links of one cell; and, if it is one of several of a bucket, its most typical set for the next round."""
+    c1, c2, sets = table.column("c1").to_numpy(), table.column("c2").to_numpy(), table.column("hashes").to_pylist()
+    comp, hub = connect([np.frombuffer(x, _U) for x in sets], percent)
+    far, root = _spanning(c1, c2, comp)
+    key, chunks, i = (table.column(c)[0].as_py() for c in ("key", "chunks", "i"))
+    n = len(far) + (chunks > 1)
+    up = lambda value: [None] * len(far) + [value] * (n - len(far))
+    out = {"a1": [*c1[far].tolist(), None], "a2": [*c2[far].tolist(), None], "b1": [*c1[root].tolist(), None], "b2": [*c2[root].tolist(), None]}
+    out = {k: v[:n] for k, v in out.items()} | {"key": up(key), "chunks": up(-(-chunks // FAN)), "i": up(i // FAN), "c1": up(int(c1[hub])), "c2": up(int(c2[hub]))}
+    return pa.table({k: pa.array(v, pa.int64()) for k, v in out.items()} | {"hashes": pa.array(up(sets[hub]), pa.binary())})
+
+
+def _late_links(table: pa.Table, percent: int) -> pa.Table:
+    """Links of one pair of chunks between sets of different components (r1, r2)."""
+    c1, c2 = table.column("c1").to_numpy(), table.column("c2").to_numpy()
+    _, known = np.unique(np.stack([table.column("r1").to_numpy(), table.column("r2").to_numpy()]), axis=1, return_inverse=True)
+    comp, _ = connect([np.frombuffer(x, _U) for x in table.column("hashes").to_pylist()], percent, known.ravel())
+    far, root = _spanning(c1, c2, comp)
+    return pa.table({"a1": c1[far], "a2": c2[far], "b1": c1[root], "b2": c2[root]})
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -171,18 +208,34 @@ def _groups(docs: DataFrame, percent: int, k: int) -> DataFrame:
     rows = classes.select("c1", "c2", "n", F.explode("bands").alias("key"))
     shared = rows.groupBy("key").agg(F.count("*").alias("c"), F.sum("n").alias("n"), F.bit_xor(F.xxhash64("c1", "c2")).alias("m1"), F.bit_xor(F.xxhash64("c2", "c1")).alias("m2")).where("c > 1")
     shared = store.cut(shared.groupBy("c", "m1", "m2").agg(F.min("key").alias("key"), F.min("n").alias("n")), "buckets")
-    chunks = F.ceil(F.col("n") / CELL_SHINGLES).cast("int").alias("chunks")
-    members = store.cut(rows.drop("n").join(store.small(shared.select("key", chunks), 12), "key"), "members")
+    members = store.cut(rows.drop("n").join(store.small(shared.select("key", F.ceil(F.col("n") / CELL_SHINGLES).alias("chunks"), F.ceil(F.col("n") / GRID_SHINGLES).alias("grid")), 24), "key"), "members")
     wanted = members.select("c1", "c2").distinct().join(classes.select("c1", "c2", "doc_id"), ["c1", "c2"]).select("doc_id").distinct()
     wanted = store.small(store.cut(wanted, "wanted"), 8)
     sets = docs.join(wanted, "doc_id", "left_semi").select("text").mapInArrow(lambda it: _sets(it, k), "c1 bigint, c2 bigint, hashes binary").dropDuplicates(["c1", "c2"])
-    own = F.pmod(F.xxhash64("c1", "c2"), F.col("chunks")).cast("int")
-    cells = members.join(sets, ["c1", "c2"]).withColumn("own", own).withColumn("other", F.explode(F.expr("sequence(0, chunks - 1)")))
-    cells = cells.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "c1", "c2", "hashes")
-    links = cells.groupBy("key", "i", "j").applyInArrow(lambda t: _links(t, percent), "a1 bigint, a2 bigint, b1 bigint, b2 bigint")
+    chunk = lambda n: F.pmod(F.xxhash64("c1", "c2"), F.col(n))
+    cells = members.join(sets, ["c1", "c2"]).select("key", "chunks", chunk("chunks").alias("i"), "c1", "c2", "hashes")
+    most = shared.agg(F.coalesce(F.max(F.ceil(F.col("n") / CELL_SHINGLES)), F.lit(0))).first()[0]
+    links = None
+    while most:  # once for each factor of FAN in the largest bucket's number of cells
+        out = store.cut(cells.groupBy("key", "i").applyInArrow(lambda t: _links(t, percent), f"{_LINKS}, {_CELL}"), "links")
+        own = out.where("a1 is not null").select("a1", "a2", "b1", "b2")
+        links = own if links is None else links.unionByName(own)
+        cells, most = out.where("a1 is null").select("key", "chunks", "i", "c1", "c2", "hashes"), -(-most // FAN) if most > 1 else 0
     a, b = F.struct(F.col("a1").alias("c1"), F.col("a2").alias("c2")), F.struct(F.col("b1").alias("c1"), F.col("b2").alias("c2"))
-    roots = components(links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")))
-    labels = classes.select("c1", "c2", "doc_id").join(roots.select("u.c1", "u.c2", "root"), ["c1", "c2"], "left")
+    pairs = lambda found: found.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
+    roots = components(pairs(links)) if links is not None else None
+    split = members.where("chunks > 1") if links is not None else None
+    if split is not None and not split.isEmpty():
+        root = F.coalesce("root", F.struct("c1", "c2"))
+        split = split.join(roots.select("u.c1", "u.c2", "root"), ["c1", "c2"], "left").select("key", "grid", "c1", "c2", root["c1"].alias("r1"), root["c2"].alias("r2"))
+        torn = store.cut(split.groupBy("key").agg(F.min(F.struct("r1", "r2")).alias("lo"), F.max(F.struct("r1", "r2")).alias("hi")).where("lo <> hi").select("key"), "torn")
+        if not torn.isEmpty():
+            split = store.cut(split.join(store.small(torn, 8), "key"), "split").withColumn("own", chunk("grid")).withColumn("other", F.explode(F.expr("sequence(0, grid - 1)")))
+            late = split.join(sets, ["c1", "c2"]).select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "c1", "c2", "r1", "r2", "hashes")
+            late = store.cut(late.groupBy("key", "i", "j").applyInArrow(lambda t: _late_links(t, percent), _LINKS), "late")
+            roots = components(pairs(late).unionByName(roots.select("u", F.col("root").alias("v"))))
+    labels = classes.select("c1", "c2", "doc_id")
+    labels = labels.join(roots.select("u.c1", "u.c2", "root"), ["c1", "c2"], "left") if roots is not None else labels.withColumn("root", F.lit(None).cast("struct<c1:bigint,c2:bigint>"))
     labels = labels.withColumn("root", F.coalesce("root", F.struct("c1", "c2")))
     least = labels.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     labels = store.cut(labels.join(least, "root").select("c1", "c2", "component_id"), "labels")

@@ -4,13 +4,15 @@
    documents of the block, all but those of the smallest doc_id lose it at once; the
    occurrences in the smallest go on. So one window leaves a block for one document only,
    and a passage that a third of all rows share stays small in the shuffle.
-2. Hashes are dealt by value to buckets (packed: 8 bytes a hash and 2 of position), where
-   equal hashes of different blocks meet; all but those of the smallest doc_id are marked.
+2. Hashes are dealt by value to buckets (packed: 8 bytes a hash and 2 of position), as many
+   as the measured bytes of text ask for, where equal hashes of different blocks meet; all
+   but those of the smallest doc_id are marked.
 3. Marks return to their block, become maximal intervals of words for each document, and
-   are joined to the documents: by broadcast if they are measured to be few, else by a
-   shuffle on doc_id.
+   are joined to the documents: by broadcast if their bytes are measured to be few, else by
+   a shuffle on doc_id.
 
-Windows are equal if their 64-bit hashes are. Null or empty text: no words. Rows without a
+Windows are equal if their 64-bit hashes are: at 30 GB (about 5e9 windows) 0.7 false pairs are
+expected, and they grow with the square of the text. A text of 100 MB is a block of its own and takes about twelve bytes a byte. Null or empty text: no words. Rows without a
 doc_id lose nothing and take nothing. Rows that share a doc_id count as one document: a
 window does not repeat through another row of the same doc_id. Documents may have any further columns.
 """
@@ -31,6 +33,8 @@ from loomgene.llm import blocks, store
 WINDOW = 13
 #: Text of one block; its windows are kept together while it is deduplicated.
 BLOCK = 8 << 20
+#: Text whose hashes share a bucket; about twice as many bytes are held for it at once.
+BUCKET_TEXT = 24 << 20
 
 _DEALT = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("hashes", pa.binary()), ("gaps", pa.binary()), ("rows", pa.binary()), ("ids", pa.binary()), ("marks", pa.binary())])
 _MARKS = "block bigint, rows binary, ids binary, marks binary"
@@ -71,21 +75,21 @@ def _hash(batches: Iterator[pa.RecordBatch], buckets: int, window: int) -> Itera
         own, lost = _smallest(h, owner)
         local = at[lost].astype(np.uint32)
         at, h = at[own], h[own]
-        bucket = (h % np.uint64(buckets)).astype(np.uint16)
-        order = np.argsort(bucket, kind="stable")  # radix: by bucket, then place
+        bucket = (h % np.uint64(buckets)).astype(np.uint16 if buckets <= 1 << 16 else np.int64)
+        order = np.argsort(bucket, kind="stable")  # by bucket, then place
         at, h, owner, bucket = at[order], h[order], owner[own][order], bucket[order]
-        edges = np.searchsorted(bucket, np.arange(buckets + 1))
+        full = np.unique(bucket)
+        edges = np.append(np.searchsorted(bucket, full), len(bucket))
         turn = np.ones(len(at), bool)  # where a run of one document's windows in one bucket begins
         turn[1:] = (owner[1:] != owner[:-1]) | (bucket[1:] != bucket[:-1])
         runs = np.flatnonzero(turn)
         spots = np.searchsorted(runs, edges)
         # the block's own marks travel with its directory of rows
         out = [(seq, int(seq % buckets), b"", b"", rows.tobytes(), np.concatenate([ids, b.column(2).to_numpy()]).astype(np.int64).tobytes(), local.tobytes())]
-        for k in range(buckets):
+        for k, name in enumerate(full.tolist()):
             a, z = edges[k], edges[k + 1]
-            if a < z:
-                own_runs = runs[spots[k] : spots[k + 1]]
-                out.append((seq, k, h[a:z].tobytes(), _gaps(at[a:z]), np.diff(own_runs, append=z).astype(np.uint32).tobytes(), np.diff(owner[own_runs], prepend=0).astype(np.int64).tobytes(), None))
+            own_runs = runs[spots[k] : spots[k + 1]]
+            out.append((seq, name, h[a:z].tobytes(), _gaps(at[a:z]), np.diff(own_runs, append=z).astype(np.uint32).tobytes(), np.diff(owner[own_runs], prepend=0).astype(np.int64).tobytes(), None))
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), _DEALT, strict=True)], schema=_DEALT)
         seq += 1
 
@@ -152,7 +156,8 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """doc_id, xxhash64 of the text and the maximal intervals of words [start, stop) to remove; documents that have some."""
     spark = docs.sparkSession
     store.import_path(spark)
-    buckets = min(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), 60_000)
+    text = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-text // BUCKET_TEXT))
     schema = "block bigint, bucket int, hashes binary, gaps binary, rows binary, ids binary, marks binary"
     dealt = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.xxhash64("text")).mapInArrow(lambda it: _hash(it, buckets, window), schema)
     marks = dealt.groupBy("bucket").applyInArrow(_meet, _MARKS)
@@ -183,7 +188,7 @@ def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _with_spans(docs: DataFrame, window: int) -> DataFrame:
     spans = repeated_spans(docs, window)
-    few = store.small(store.cut(spans.dropDuplicates(["doc_id", "text_key"]), "repeats"), 64)
+    few = store.small(store.cut(spans.dropDuplicates(["doc_id", "text_key"]), "repeats"), "48 + 40 * size(spans)")
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.xxhash64("text").alias("text_key"))
     return docs.join(few, ["doc_id", "text_key"], "left").select("doc_id", "text", "spans")
 

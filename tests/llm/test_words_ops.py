@@ -88,12 +88,33 @@ def test_decontaminate_empty(spark, odd):
 def test_near_odd(spark, odd, monkeypatch):
     want = sorted(brute.near([d[:2] for d in odd_docs()]), key=key)
     assert rows(minmax_dedup.near_duplicates(odd)) == want
-    monkeypatch.setattr(minmax_dedup, "CELL_SHINGLES", 500)  # grids of cells
+    monkeypatch.setattr(minmax_dedup, "CELL_SHINGLES", 150)  # many cells
+    monkeypatch.setattr(minmax_dedup, "GRID_SHINGLES", 500)
+    monkeypatch.setattr(minmax_dedup, "FAN", 3)
     assert rows(minmax_dedup.near_duplicates(odd)) == want
     kept = minmax_dedup.dedup(odd)
     assert kept.schema == odd.schema and kept.count() == sum(r[3] for r in want)
 
 
+def test_near_torn_bucket(spark, monkeypatch):
+    """Sets that share buckets but fall into several components: no link is lost between cells."""
+    rnd = random.Random(7)
+    base = [f"w{i}" for i in range(80)]
+    docs = []
+    for i in range(120):  # a few edits near the end: many share bands, few pairs are similar enough
+        w = list(base)
+        for j in rnd.sample(range(60, 80), rnd.choice([1, 2, 4])):
+            w[j] = f"e{rnd.randint(0, 3)}"
+        docs.append((i, " ".join(w)))
+    want = sorted(brute.near(docs), key=key)
+    assert 1 < len({r[2] for r in want}) < 120
+    df = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(4)
+    for cell, grid in ((100_000, 2_000_000), (200, 1000)):
+        monkeypatch.setattr(minmax_dedup, "CELL_SHINGLES", cell)
+        monkeypatch.setattr(minmax_dedup, "GRID_SHINGLES", grid)
+        assert rows(minmax_dedup.near_duplicates(df)) == want
+
+
 def test_near_empty(spark):
     assert minmax_dedup.near_duplicates(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
 
@@ -104,6 +125,9 @@ def test_substrings_odd(spark, odd, monkeypatch):
     assert rows(substring_dedup.digest(odd)) == want
     monkeypatch.setattr(substring_dedup, "BLOCK", 3000)
     assert rows(substring_dedup.digest(odd)) == want
+    monkeypatch.setattr(substring_dedup, "BUCKET_TEXT", 3)  # more buckets than 16 bits
+    monkeypatch.setattr(substring_dedup.store, "BROADCAST_BYTES", 0)
+    assert rows(substring_dedup.digest(odd)) == want
     assert substring_dedup.digest(odd.limit(0)).count() == 0
 
 
