@@ -1,18 +1,23 @@
-"""Exact top-k inner products by a dual-tree search over one cover tree for queries and data.
-
-The tree's points come from a bounded sample (SAMPLE rows, the same ones in every run): by
-farthest-point traversal each new point is the farthest from those before it, and it hangs
-below the nearest point of the level above, levels halving their radius. Every row, query
-or not, is indexed: it belongs to the nearest leaf, and Spark computes the largest distance
-of a query and of a row to its leaf point; inner nodes cover what their children cover.
-
-Queries are taken in blocks of QUERY_BLOCK rows. Their scores against the sample bound each
-query's kth score from below; a pair of nodes is pruned when the largest inner product its
-radii allow, <q, r> <= <cq, cr> + |cq| rr + |cr| rq + rq rr, is below the worst kth score of
-its queries. What is left is a table of leaf pairs of fixed size. Tasks score the rows of a
-leaf only against the query leaves paired with it, keep the k best of each query over their
-whole partition, prune again by the kth scores found so far, and Spark merges the partial
-results. Data are never shuffled.
+"""Exact top-k inner products by a dual-tree search over cover trees of queries and data.
+
+1. The shared top of all trees comes from a bounded sample (SAMPLE rows, the same ones in
+   every run): by farthest-point traversal each new point is the farthest from those before
+   it, and it hangs below the nearest point of the level above, levels halving their radius.
+2. Every row, query or not, is indexed in one pass: it belongs to the nearest leaf of the
+   top, and a query learns a lower bound of its kth score from the sample's rows. Spark
+   computes for each leaf how many rows and queries it has, how far they reach, and the
+   worst kth score; a row a leaf comes to the driver, nothing else.
+3. A pair of nodes is pruned when the largest inner product that its radii allow,
+   <q, r> <= <cq, cr> + |cq| rr + |cr| rq + rq rr, is below the worst kth score of its
+   queries. Of the leaf pairs that are left, queries are dealt to groups of about QUERY_GROUP
+   rows and data to blocks of about DATA_BLOCK, along the tree; a large leaf is split by a
+   hash. A cell is a group and a block with a pair between them.
+4. In a cell, both sides get a cover tree of their own, down to LEAF rows. Query nodes are
+   visited from the root with the data nodes that are still possible for them; a query leaf
+   scores data leaves in the order of their bounds, and its worst kth score rises as it goes.
+5. Spark merges the k best of each query over its cells.
+
+Neither side is collected: each row travels once for each group or block it may matter to.
 
 Components become floor(256 x). Vectors that are null, empty, or hold null or non-finite
 components take no part, nor do rows without a vec_id; shorter vectors count as if filled up
@@ -33,7 +38,10 @@ from pyspark.sql import functions as F
 from loomgene.llm import store
 
 SAMPLE, LEAVES = 4096, 128
-QUERY_BLOCK = 20_000
+QUERY_GROUP, DATA_BLOCK = 16_384, 8_192
+LEAF, FAN = 64, 8
+#: Rows scored at once for a query leaf.
+BATCH = 512
 _SLACK = 1e-9
 
 
@@ -97,6 +105,93 @@ def bound(cq: np.ndarray, cd: np.ndarray, rq: np.ndarray, rd: np.ndarray) -> np.
     return top + _SLACK * (1 + (nq + rq) * (nd + rd))
 
 
+class Tree:
+    """A cover tree of the rows of one side of a cell. Nodes in order of their making: centre, radius, kids, and the rows order[first:last]."""
+
+    def __init__(self, rows: np.ndarray, leaf: int, fan: int):
+        self.order = np.arange(len(rows))
+        self.first, self.last, self.kids, centres, radii = [], [], [], [], []
+        todo = [(0, len(rows), int(np.argmin(np.linalg.norm(rows - rows.mean(0), axis=1))), -1)]
+        while todo:
+            a, z, centre, parent = todo.pop()
+            own = self.order[a:z]
+            near = np.linalg.norm(rows[own] - rows[centre], axis=1)
+            node, radius = len(self.first), float(near.max())
+            self.first.append(a)
+            self.last.append(z)
+            self.kids.append([])
+            centres.append(centre)
+            radii.append(radius)
+            if parent >= 0:
+                self.kids[parent].append(node)
+            if z - a <= leaf or radius == 0:
+                continue
+            points, to = [centre], np.zeros(z - a, int)
+            while len(points) < fan and near.max() > 0:  # each new point is the farthest from those before it
+                far = int(near.argmax())
+                dist = np.linalg.norm(rows[own] - rows[own[far]], axis=1)
+                to[dist < near] = len(points)
+                points.append(int(own[far]))
+                near = np.minimum(near, dist)
+            by = np.argsort(to, kind="stable")
+            self.order[a:z] = own[by]
+            edge = a + np.searchsorted(to[by], np.arange(len(points) + 1))
+            todo += [(edge[i], edge[i + 1], c, node) for i, c in enumerate(points) if edge[i] < edge[i + 1]]
+        self.centre, self.radius = rows[centres], np.array(radii)
+        self.inner = np.array([bool(k) for k in self.kids])
+
+    def below(self, nodes: np.ndarray) -> np.ndarray:
+        """The kids of inner nodes, and the leaves."""
+        inner = self.inner[nodes]
+        return np.concatenate([nodes[~inner], *(np.array(self.kids[n]) for n in nodes[inner].tolist())]).astype(int)
+
+
+def search(q_ids: np.ndarray, q: np.ndarray, worst: np.ndarray, d_ids: np.ndarray, d: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """The k best scores and ids of each query, empty places with the score -inf, and how many pairs were scored.
+
+    worst: lower bounds of the kth scores; what is below them may be left out.
+    """
+    best, who = np.full((len(q), k), -np.inf), np.full((len(q), k), np.iinfo(np.int64).max)
+    if not len(q) or not len(d):
+        return best, who, 0
+    tq, td, worst, scored = Tree(q, LEAF, FAN), Tree(d, LEAF, FAN), worst.copy(), 0
+    todo = [(0, np.zeros(1, int))]
+    while todo:
+        node, near = todo.pop()
+        rows = tq.order[tq.first[node] : tq.last[node]]
+
+        def kept(near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            top = bound(tq.centre[[node]], td.centre[near], tq.radius[node], td.radius[near])
+            ok = top >= worst[rows].min()
+            return near[ok], top[ok]
+
+        near, top = kept(near)
+        if tq.kids[node]:
+            if len(near):
+                todo += [(kid, td.below(near)) for kid in tq.kids[node]]
+            continue
+        while td.inner[near].any():
+            near, top = kept(td.below(near))
+        by = np.argsort(-top, kind="stable")
+        near, top, at = near[by], top[by], 0
+        size = np.cumsum([td.last[n] - td.first[n] for n in near.tolist()])
+        while at < len(near) and top[at] >= worst[rows].min():
+            to = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + BATCH, side="right")))
+            own = np.concatenate([td.order[td.first[n] : td.last[n]] for n in near[at:to].tolist()])
+            score = q[rows] @ d[own].T
+            scored += score.size
+            score[q_ids[rows][:, None] == d_ids[own][None, :]] = -np.inf
+            hit = np.flatnonzero((score >= worst[rows][:, None]).any(1))
+            if len(hit):
+                r = rows[hit]
+                s = np.concatenate([best[r], score[hit]], 1)
+                i = np.concatenate([who[r], np.broadcast_to(d_ids[own], (len(hit), len(own)))], 1)
+                best[r], who[r] = _best(s, i, k)
+                worst[r] = np.maximum(worst[r], best[r, -1])
+            at = to
+    return best, who, scored
+
+
 def nearest(rows: np.ndarray, points: np.ndarray) -> np.ndarray:
     return ((points * points).sum(1)[None, :] - 2 * rows @ points.T).argmin(1) if len(rows) else np.zeros(0, int)
 
@@ -114,11 +209,11 @@ def matrix(arr: pa.Array, width: int) -> np.ndarray:
 
 
 def quantized(table: DataFrame, embedding: str = "embedding", scale: int = 256) -> DataFrame:
-    """vec_id and code (array of bigint) of the rows that take part, once each."""
+    """vec_id and code (array of bigint) of the rows that take part."""
     e = F.col(embedding)
     finite = F.forall(e, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     code = F.transform(e, lambda x: F.floor(x.cast("double") * scale).cast("bigint"))
-    return table.where(F.col("vec_id").isNotNull() & e.isNotNull() & (F.size(e) > 0) & finite).select(F.col("vec_id").cast("bigint").alias("vec_id"), code.alias("code")).distinct()
+    return table.where(F.col("vec_id").isNotNull() & e.isNotNull() & (F.size(e) > 0) & finite).select(F.col("vec_id").cast("bigint").alias("vec_id"), code.alias("code"))
 
 
 def _best(score: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -135,100 +230,111 @@ def _best(score: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.nd
     return np.take_along_axis(score, order, 1), np.take_along_axis(ids, order, 1)
 
 
-class Block:
-    """A block of queries, grouped by leaf, with a lower bound of each kth score."""
-
-    def __init__(self, ids, codes, leaf, worst, k):
-        order = np.argsort(leaf, kind="stable")
-        self.ids, self.codes, self.leaf, self.worst, self.k = ids[order], codes[order], leaf[order], worst[order], k
-
-
-def _search(batches: Iterator[pa.RecordBatch], block, tree, pairs) -> Iterator[pa.RecordBatch]:
-    q, points, pairs = block.value, tree.value, pairs.value
-    best, who, worst = np.full((len(q.ids), q.k), -np.inf), np.full((len(q.ids), q.k), np.iinfo(np.int64).max), q.worst.copy()
+def _index(batches: Iterator[pa.RecordBatch], shared, divisor: int, k: int) -> Iterator[pa.RecordBatch]:
+    """Each row with its leaf of the top, its distance to it, and for queries a lower bound of the kth score."""
+    points, sample_ids, sample = shared.value
     for b in batches:
         ids, codes = b.column(0).to_numpy(), matrix(b.column(1), points.shape[1])
         leaf = nearest(codes, points)
-        order = np.argsort(leaf, kind="stable")
-        ids, codes, leaf = ids[order], codes[order], leaf[order]
-        edge = np.searchsorted(leaf, np.arange(len(points) + 1))
-        todo = [(d, edge[d], edge[d + 1]) for d in np.unique(leaf).tolist()]
-        for kind in np.unique(q.leaf).tolist():
-            rows = slice(*np.searchsorted(q.leaf, [kind, kind + 1]))
-            own = [np.arange(a, z) for d, a, z in todo if pairs[kind, d]]
-            if not own:
-                continue
-            own = np.concatenate(own)
-            for a in range(0, len(own), 2048):
-                at = own[a : a + 2048]
-                score = q.codes[rows] @ codes[at].T
-                score[q.ids[rows][:, None] == ids[at][None, :]] = -np.inf
-                hit = np.flatnonzero((score >= worst[rows][:, None]).any(1))
-                if not len(hit):
-                    continue
-                to = np.arange(rows.start, rows.stop)[hit]
-                s = np.concatenate([best[to], score[hit]], 1)
-                i = np.concatenate([who[to], np.broadcast_to(ids[at], (len(hit), len(at)))], 1)
-                best[to], who[to] = _best(s, i, q.k)
-                worst[to] = np.maximum(worst[to], best[to, -1])
+        kth, query = np.full(len(ids), np.nan), np.flatnonzero(ids % divisor == 0)
+        for a in range(0, len(query), 512):
+            own = query[a : a + 512]
+            s = codes[own] @ sample.T
+            s[ids[own][:, None] == sample_ids[None, :]] = -np.inf
+            kth[own] = np.partition(s, s.shape[1] - k, axis=1)[:, -k] if s.shape[1] >= k else -np.inf
+        yield pa.RecordBatch.from_arrays([*b.columns, pa.array(leaf, pa.int32()), pa.array(np.linalg.norm(codes - points[leaf], axis=1)), pa.array(kth, mask=np.isnan(kth))], names=["vec_id", "code", "leaf", "dist", "kth"])
+
+
+def _numbered(sizes: list[int], least: int) -> list[tuple[int, int]]:
+    """(first number, parts) of each leaf: small neighbours share a number until they have `least` rows, a large one has several."""
+    out, number, filled = [], 0, 0
+    for n in sizes:
+        if n > least or filled + n > least:
+            number, filled = number + (filled > 0), 0
+        parts = max(1, -(-n // least))
+        out.append((number, parts))
+        number, filled = (number + parts, 0) if parts > 1 else (number, filled + n)
+    return out
+
+
+def _ranges(places: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Runs (first, last) of the numbers in use."""
+    out = []
+    for first, parts in sorted(set(places)):
+        if out and first <= out[-1][1] + 1:
+            out[-1] = (out[-1][0], max(out[-1][1], first + parts - 1))
+        else:
+            out.append((first, first + parts - 1))
+    return out
+
+
+def deal(tree: CoverTree, asked: list[int], held: list[int], pairs: np.ndarray) -> list[tuple]:
+    """For each leaf: group of its queries (first, parts), the blocks they meet (runs), block of its data (first, parts), the groups these meet (runs)."""
+    order = np.arange(len(asked))
+    keys = [order]
+    for parent in reversed(tree.parents):  # leaves of one subtree next to each other
+        keys.append(parent[keys[-1]])
+    order = np.lexsort(keys).tolist()
+    group, block = [None] * len(order), [None] * len(order)
+    for places, sizes, least in ((group, asked, QUERY_GROUP), (block, held, DATA_BLOCK)):
+        for leaf, place in zip(order, _numbered([sizes[i] for i in order], least), strict=True):
+            places[leaf] = place
+    out = []
+    for leaf in range(len(order)):
+        mates = [i for i in order if asked[i] and group[i] == group[leaf]]
+        meets = [block[j] for j in order if held[j] and any(pairs[i, j] for i in mates)]
+        wanted = [group[i] for i in order if asked[i] and pairs[i, leaf]]
+        out.append((leaf, *group[leaf], _ranges(meets), *block[leaf], _ranges(wanted)))
+    return out
+
+
+def _cell(q: pa.Table, d: pa.Table, width: int, k: int) -> pa.Table:
+    q, d = q.combine_chunks(), d.combine_chunks()
+    ids = q.column("query_id").to_numpy()
+    best, who, _ = search(ids, matrix(_one(q, "query"), width), q.column("kth").to_numpy(), d.column("vec_id").to_numpy(), matrix(_one(d, "code"), width), k)
     full = best > -np.inf
-    yield pa.RecordBatch.from_arrays([pa.array(np.repeat(q.ids, full.sum(1))), pa.array(who[full]), pa.array(best[full].astype(np.int64))], names=["query_id", "vec_id", "score"])
+    return pa.table({"query_id": np.repeat(ids, full.sum(1)), "vec_id": who[full], "score": best[full].astype(np.int64)})
 
 
-def _radii(batches: Iterator[pa.RecordBatch], tree, divisor: int) -> Iterator[pa.RecordBatch]:
-    points = tree.value
-    far, asked = np.full(len(points), -1.0), np.full(len(points), -1.0)
-    for b in batches:
-        codes = matrix(b.column(1), points.shape[1])
-        leaf = nearest(codes, points)
-        dist = np.linalg.norm(codes - points[leaf], axis=1)
-        np.maximum.at(far, leaf, dist)
-        query = b.column(0).to_numpy() % divisor == 0
-        np.maximum.at(asked, leaf[query], dist[query])
-    yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(points), dtype=np.int32)), pa.array(far), pa.array(asked)], names=["leaf", "far", "asked"])
+def _one(t: pa.Table, column: str) -> pa.Array:
+    return pa.concat_arrays(t.column(column).chunks) if t.num_rows else pa.array([], t.schema.field(column).type)
 
 
 def top_k(table: DataFrame, divisor: int = 50, k: int = 5, leaves: int = LEAVES) -> DataFrame:
     """query_id, rank, vec_id and score of the k best candidates of each row whose vec_id is divisible by divisor."""
     spark = table.sparkSession
     store.import_path(spark)
-    rows = store.cut(quantized(table), "codes")
-    width = rows.agg(F.max(F.size("code"))).first()[0]
-    schema = "query_id bigint, vec_id bigint, score bigint"
-    if not width:
-        return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score bigint")
+    rows = quantized(table)
+    none = spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score bigint")
     sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).toArrow().combine_chunks()
-    arr = lambda t, c: pa.concat_arrays(t.column(c).chunks) if t.num_rows else pa.array([], t.schema.field(c).type)
-    near_ids, near_codes = sample.column(0).to_numpy(), matrix(arr(sample, 1), width)
-    tree = CoverTree(near_codes, leaves)
-    points = spark.sparkContext.broadcast(tree.points)
-    radii = rows.mapInArrow(lambda it: _radii(it, points, divisor), "leaf int, far double, asked double").groupBy("leaf").agg(F.max("far"), F.max("asked")).orderBy("leaf").collect()  # a row a leaf
-    far, asked = np.array([r[1] for r in radii]), np.array([r[2] for r in radii])
-    asking = rows.where(F.col("vec_id") % divisor == 0)
-    n = max(1, -(-asking.count() // QUERY_BLOCK))
-    parts = []
-    for i in range(n):
-        own = asking.where(F.pmod(F.xxhash64("vec_id"), F.lit(n)) == i).toArrow().combine_chunks()
-        if not own.num_rows:
-            continue
-        ids, codes = own.column(0).to_numpy(), matrix(arr(own, 1), width)
-        worst = np.full(len(ids), -np.inf)
-        for a in range(0, len(ids), 512):  # the sample's rows are candidates, too
-            s = codes[a : a + 512] @ near_codes.T
-            s[ids[a : a + 512, None] == near_ids[None, :]] = -np.inf
-            if s.shape[1] >= k:
-                worst[a : a + 512] = np.partition(s, s.shape[1] - k, axis=1)[:, -k]
-        leaf = nearest(codes, tree.points)
-        low = np.full(len(tree.points), np.inf)
-        np.minimum.at(low, leaf, worst)
-        pairs = spark.sparkContext.broadcast(tree.pairs(asked, far, low))
-        block = spark.sparkContext.broadcast(Block(ids, codes, leaf, worst, k))
-        parts.append(rows.mapInArrow(lambda it, b=block, p=pairs: _search(it, b, points, p), schema))
-    if not parts:
-        return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score bigint")
-    found = parts[0]
-    for p in parts[1:]:
-        found = found.unionAll(p)
+    if not sample.num_rows:
+        return none
+    width = rows.agg(F.max(F.size("code"))).first()[0]
+    ids, codes = sample.column(0).to_numpy(), matrix(_one(sample, "code"), width)
+    _, once = np.unique(np.column_stack([ids, codes]), axis=0, return_index=True)  # a row twice would count twice in the kth scores
+    ids, codes = ids[once], codes[once]
+    tree = CoverTree(codes, leaves)
+    shared = spark.sparkContext.broadcast((tree.points, ids, codes))
+    indexed = rows.mapInArrow(lambda it: _index(it, shared, divisor, k), "vec_id bigint, code array<bigint>, leaf int, dist double, kth double")
+    indexed = store.cut(indexed.distinct(), "indexed")
+    asks = F.col("kth").isNotNull()
+    stats = indexed.groupBy("leaf").agg(F.count("*"), F.count_if(asks), F.max("dist"), F.max(F.when(asks, F.col("dist"))), F.min("kth")).collect()  # a row a leaf
+    n = len(tree.points)
+    held, asked, far, reach, worst = [0] * n, [0] * n, np.full(n, -1.0), np.full(n, -1.0), np.full(n, np.inf)
+    for leaf, rows_, queries, f, r, w in stats:
+        held[leaf], asked[leaf], far[leaf] = rows_, queries, f
+        if queries:
+            reach[leaf], worst[leaf] = r, w
+    if not sum(asked):
+        return none
+    run = "array<struct<a:int,z:int>>"
+    dealt = spark.createDataFrame(deal(tree, asked, held, tree.pairs(reach, far, worst)), f"leaf int, g int, g_parts int, blocks {run}, b int, b_parts int, groups {run}")
+    rows = indexed.join(F.broadcast(dealt), "leaf")  # a row a leaf
+    part = lambda first, parts: (F.col(first) + F.pmod(F.xxhash64("vec_id"), F.col(parts))).cast("int")
+    each = lambda runs: F.explode(F.flatten(F.transform(runs, lambda r: F.sequence(r["a"], r["z"]))))
+    q = rows.where("kth is not null").select(F.col("vec_id").alias("query_id"), F.col("code").alias("query"), "kth", part("g", "g_parts").alias("grp"), each("blocks").alias("blk"))
+    d = rows.select("vec_id", "code", each("groups").alias("grp"), part("b", "b_parts").alias("blk"))
+    found = q.groupBy("grp", "blk").cogroup(d.groupBy("grp", "blk")).applyInArrow(lambda a, z: _cell(a, z, width, k), "query_id bigint, vec_id bigint, score bigint")
     rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")).alias("rank")
     return found.select("query_id", rank, "vec_id", "score").where(F.col("rank") <= k)
 

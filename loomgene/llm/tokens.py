@@ -15,19 +15,64 @@ import unicodedata
 import numpy as np
 
 _SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-_PLAIN = [*range(0x20, 0x7F), *range(0xA1, 0x250), *range(0x2010, 0x2028)]
 #: Characters on which the libraries' tables of letters, numbers and spaces can differ.
 _ODD = re.compile(r"[^\t\n\x20-\x7E¡-ɏ‐-‧]")
-
-
-def _class(kind: str) -> str:
-    return "".join(re.escape(chr(c)) for c in _PLAIN if unicodedata.category(chr(c))[0] == kind)
-
-
-def plain_pattern() -> re.Pattern:
-    """The pre-tokenizer's pattern for texts without odd characters, for the re module."""
-    letter, number = _class("L"), _class("N")
-    return re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{letter}]+| ?[{number}]+| ?[^\s{letter}{number}]+|\s+(?!\S)|\s+")
+_TOP = 1 << 16
+_ASTRAL = re.compile("[\U00010000-\U0010ffff]")
+#: For each kind of character (letter, number, sign, space) one of the Basic Multilingual Plane that stands for it.
+_KINDS = {"letter": "a", "number": "1", "sign": "!", "space": "\n"}
+
+
+class Splitter:
+    """Pre-tokens of any text, by the kinds that the library itself gives to characters.
+
+    The library splits a few long strings in which each character of the plane stands behind
+    a letter, a number and a sign; which one it joins is its kind. From these ranges comes one
+    pattern for the re module. Characters beyond the plane are replaced by one of their kind
+    before the text is split; they are asked for one by one.
+    """
+
+    def __init__(self, library):
+        self.split = library.pre_tokenizer.pre_tokenize_str
+        points = [c for c in range(_TOP) if not 0xD800 <= c < 0xE000]
+        kinds = np.full(_TOP, "space", object)
+        for kind in ("letter", "number", "sign"):
+            kinds[self._joined(points, _KINDS[kind])] = kind
+        ranges = {k: _ranges(np.flatnonzero(kinds == k)) for k in ("letter", "number", "space")}
+        letter, number, space = ranges["letter"], ranges["number"], ranges["space"]
+        self.pattern = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{letter}]+| ?[{number}]+| ?[^{space}{letter}{number}]+|[{space}]+(?![^{space}])|[{space}]+")
+        self.kind: dict[int, str] = {}
+
+    def _joined(self, points: list[int], before: str) -> list[int]:
+        """The characters that are one pre-token with this one before them."""
+        out = []
+        for a in range(0, len(points), 8192):
+            own = points[a : a + 8192]
+            text = "".join(f"{before}{chr(c)}\n" for c in own)
+            spans = {x for _, x in self.split(text)}
+            out += [c for i, c in enumerate(own) if (3 * i, 3 * i + 2) in spans]
+        return out
+
+    def _stand_in(self, c: str) -> str:
+        if ord(c) not in self.kind:
+            joined = [k for k in ("letter", "number", "sign") if len(self.split(_KINDS[k] + c)) == 1]
+            self.kind[ord(c)] = _KINDS[joined[0] if joined else "space"]
+        return self.kind[ord(c)]
+
+    def __call__(self, text: str) -> list[str]:
+        if not _ASTRAL.search(text):
+            return self.pattern.findall(text)
+        plain = _ASTRAL.sub(lambda m: self._stand_in(m[0]), text)
+        return [text[m.start() : m.end()] for m in self.pattern.finditer(plain)]
+
+
+def _ranges(points: np.ndarray) -> str:
+    """Code points as ranges of a character class."""
+    if not len(points):
+        return ""
+    last = np.append(np.flatnonzero(np.diff(points) > 1), len(points) - 1)
+    first = np.append(0, last[:-1] + 1)
+    return "".join(f"\\u{a:04x}-\\u{z:04x}" for a, z in zip(points[first].tolist(), points[last].tolist(), strict=True))
 
 
 def byte_chars() -> dict[str, int]:

@@ -23,7 +23,8 @@ def brute_topk(rows, divisor=50, k=5):
 
 @pytest.mark.parametrize("block", [20_000, 3])
 def test_topk_query(spark, sf, monkeypatch, block):
-    monkeypatch.setattr(cover_topk, "QUERY_BLOCK", block)
+    monkeypatch.setattr(cover_topk, "QUERY_GROUP", block)
+    monkeypatch.setattr(cover_topk, "DATA_BLOCK", 30 * block)
     rows = [(r["vec_id"], r["embedding"]) for r in spark.read.parquet(f"{sf}/embeddings.parquet").collect()]
     assert sorted(map(tuple, queries.op2_cover_tree_topk(spark, sf).collect())) == brute_topk(rows)
 
@@ -58,6 +59,54 @@ def test_dual_tree_prunes_and_never_wrongly():
     assert pairs.mean() < 0.6
 
 
+def test_cell_search_prunes_clusters(monkeypatch):
+    rng = np.random.default_rng(2)
+    centres = rng.normal(0, 60, (12, 8))
+    data = np.floor(np.concatenate([rng.normal(c, 1, (300, 8)) for c in centres]) * 16)
+    data[5] = data[6]
+    ids = rng.permutation(len(data)).astype(np.int64)
+    score = data @ data.T
+    score[ids[:, None] == ids[None, :]] = -np.inf
+    for leaf in (64, 8):
+        monkeypatch.setattr(cover_topk, "LEAF", leaf)
+        best, who, scored = cover_topk.search(ids, data, np.full(len(ids), -np.inf), ids, data, 5)
+        order = np.lexsort((np.broadcast_to(ids, score.shape), -score), axis=1)[:, :5]
+        assert (best == np.take_along_axis(score, order, 1)).all() and (who == ids[order]).all()
+        assert scored < 0.3 * score.size  # most pairs of clusters are pruned
+
+
+def test_cell_search_on_the_real_table(sf):
+    """Exact whatever the bounds prune; on isotropic unit vectors of 64 dimensions they prune next to nothing."""
+    import pyarrow.parquet as pq
+
+    e = pq.read_table(f"{sf}/embeddings.parquet")
+    d, ids = np.floor(256 * np.stack(e["embedding"].to_numpy()).astype(float)), e["vec_id"].to_numpy()
+    q = ids % 50 == 0
+    best, who, scored = cover_topk.search(ids[q], d[q], np.full(q.sum(), -np.inf), ids, d, 5)
+    score = d[q] @ d.T
+    score[ids[q][:, None] == ids[None, :]] = -np.inf
+    assert (best == -np.sort(-score, axis=1)[:, :5]).all() and 0 < scored <= score.size
+
+
+def test_dealing_meets_every_pair():
+    rng = np.random.default_rng(4)
+    for trial in range(20):
+        points = rng.normal(0, 5, (60, 3))
+        tree = cover_topk.CoverTree(points, 25)
+        n = len(tree.points)
+        asked, held, pairs = rng.integers(0, 9, n).tolist(), rng.integers(0, 60, n).tolist(), rng.random((n, n)) < 0.3
+        cover_topk.QUERY_GROUP, cover_topk.DATA_BLOCK, keep = 6, 25, (cover_topk.QUERY_GROUP, cover_topk.DATA_BLOCK)
+        try:
+            dealt = cover_topk.deal(tree, asked, held, pairs)
+        finally:
+            cover_topk.QUERY_GROUP, cover_topk.DATA_BLOCK = keep
+        within = lambda x, runs: any(a <= x <= z for a, z in runs)
+        for i, g, g_parts, blocks_, _, _, _ in dealt:
+            for j, _, _, _, b, b_parts, groups in dealt:
+                if asked[i] and held[j] and pairs[i, j]:
+                    assert all(within(x, groups) for x in range(g, g + g_parts)) and all(within(x, blocks_) for x in range(b, b + b_parts))
+
+
 def base(docs, held):
     toks = {i: [*brute.SPACED.findall((t or "").translate(brute.LOWER)), None] for i, t in docs}
     c = Counter(w for i, ws in toks.items() if not held[i] for w in ws)

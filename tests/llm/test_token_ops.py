@@ -45,6 +45,26 @@ def test_counts_query(spark, sf, library):
     assert {r["doc_id"]: r["n_tokens"] for r in got} == want and all(r["over_limit"] == (r["n_tokens"] > 512) for r in got)
 
 
+def test_splitter_is_the_library_s(library):
+    """Random strings over all planes, with pre-tokens and counts compared with the library's."""
+    rnd = random.Random(12)
+    bpe = tokens.Bpe(tokens.read_spec(FILE))
+    split, pools = tokens.Splitter(bpe.library), ["abcXYZ'std ", "été ñ ß", "кот ДВА", "日本語テキスト、", "١٢٣ عربي", "ⅷ²½ ", "🙂👍🏽 𝒳𝟘", " \t\n\r\u00a0\u2003\u3000\x1c\x85", "!?—…«»", "ก็ हिन्दी", "\u200b\u200d\ufeff\u00ad"]
+    lengths = token_count._Lengths(token_count.whole_tokens(bpe), bpe.fast)
+    for i in range(3000):
+        t = "".join(rnd.choice(rnd.choice(pools)) if rnd.random() < 0.9 else chr(rnd.choice([rnd.randrange(0xD800), rnd.randrange(0xE000, 0x10000), rnd.randrange(0x10000, 0x20000)])) for _ in range(rnd.randint(1, 25)))
+        assert [t[a:z] for _, (a, z) in bpe.library.pre_tokenizer.pre_tokenize_str(t)] == split(t), ascii(t)
+        assert sum(map(lengths.__getitem__, split(t))) == len(ids_of(library, t)), ascii(t)
+
+
+def test_counts_in_parts(monkeypatch, library):
+    monkeypatch.setattr(token_count, "PART", 7)
+    split = tokens.Splitter(library)
+    for t in [*TEXTS, "it's a  b c\n d e f", "aa bb  cc dd ee ff gg"]:
+        if t:
+            assert [x for p in token_count.parts(t) for x in split(p)] == split(t)
+
+
 def test_whole_tokens_are_proven(library):
     whole = token_count.whole_tokens(tokens.Bpe(tokens.read_spec(FILE)))
     assert len(whole) > 30_000 and " the" in whole and all(len(ids_of(library, w)) == 1 for w in random.Random(1).sample(sorted(whole), 300))
