@@ -224,3 +224,21 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     """The documents in which no benchmark window occurs, with their own columns."""
     names = tuple(f"__decon_{x}" for x in ("words", "hit", "matches"))
     return annotate(docs, benchmark, window=window, names=names).where(F.col(names[1]) == 0).select(*(f"`{c}`" for c in docs.columns))
+
+
+def sql(window: int = WINDOW) -> str:
+    """The digest columns of annotate() in DuckDB's SQL, over the tables documents and benchmark."""
+    low = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    words = rf"regexp_extract_all({low}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+    spans = lambda table, n: f"SELECT id, p, array_to_string(w[p:p + {n} - 1], ' ') AS k FROM (SELECT id, w, unnest(range(1, len(w) - {n} + 2)) AS p FROM {table} WHERE len(w) >= {n})"
+    short = " UNION ALL ".join(f"SELECT id, k, {n} AS n FROM ({spans('i', n)}) WHERE id IN (SELECT id FROM i WHERE len(w) = {n})" for n in range(1, window))
+    found = " UNION ALL ".join(f"SELECT s.id, s.p, t.id AS item, {n} AS n FROM ({spans('d', n)}) s JOIN t ON s.k = t.k AND t.n = {n} WHERE EXISTS (SELECT 1 FROM t WHERE n = {n})" for n in range(1, window + 1))
+    return f"""
+WITH d AS MATERIALIZED (SELECT doc_id AS id, {words} AS w FROM documents),
+i AS MATERIALIZED (SELECT item_id AS id, {words} AS w FROM benchmark),
+t AS MATERIALIZED (SELECT id, k, {window} AS n FROM ({spans('i', window)}) UNION {short}),
+f AS MATERIALIZED ({found}),
+h AS (SELECT id, count(DISTINCT q) AS n_hit FROM (SELECT id, unnest(range(p, p + n)) AS q FROM f) GROUP BY id),
+g AS (SELECT id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT id, CAST(item AS VARCHAR) AS item FROM f) GROUP BY id)
+SELECT d.id AS doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN h ON d.id = h.id LEFT JOIN g ON d.id = g.id"""

@@ -254,3 +254,19 @@ def dedup(docs: DataFrame, percent: int = 85, k: int = 3) -> DataFrame:
     gone = _groups(docs, percent, k).where("doc_id <> component_id").select(F.col("doc_id").alias("__gone"), F.col("text_key").alias("__key")).distinct()
     gone = store.small(store.cut(gone, "gone"), 16)
     return docs.join(gone, (docs["doc_id"] == F.col("__gone")) & (F.xxhash64(docs["text"]) == F.col("__key")), "left_anti")
+
+
+def sql(percent: int = 85, k: int = 3, rounds: int = 16) -> str:
+    """near_duplicates() in DuckDB's SQL over the table documents; doc_id must be unique. Equal sets are one node; components by `rounds` of taking the least neighbour's."""
+    steps = ["r0 AS MATERIALIZED (SELECT c, doc_id AS root FROM c)"]
+    steps += [f"r{i} AS MATERIALIZED (SELECT r.c, least(r.root, coalesce(min(o.root), r.root)) AS root FROM r{i - 1} r LEFT JOIN e ON e.a = r.c LEFT JOIN r{i - 1} o ON o.c = e.b GROUP BY r.c, r.root)" for i in range(1, rounds + 1)]
+    return rf"""
+WITH d AS MATERIALIZED (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS MATERIALIZED (SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {k} THEN [array_to_string(w, ' ')] ELSE [array_to_string(w[p:p + {k - 1}], ' ') FOR p IN range(1, len(w) - {k - 2})] END)) AS g FROM d),
+c AS MATERIALIZED (SELECT md5(array_to_string(g, chr(10))) AS c, min(doc_id) AS doc_id, any_value(g) AS g FROM s WHERE len(g) > 0 GROUP BY 1),
+x AS MATERIALIZED (SELECT c, len(g) AS n, unnest(g) AS h FROM c),
+e0 AS MATERIALIZED (SELECT a.c AS a, b.c AS b FROM x a JOIN x b ON a.h = b.h AND a.c < b.c AND 100 * least(a.n, b.n) >= {percent} * greatest(a.n, b.n) GROUP BY a.c, b.c, a.n, b.n HAVING 100 * count(*) >= {percent} * (a.n + b.n - count(*))),
+e AS MATERIALIZED (SELECT a, b FROM e0 UNION ALL SELECT b, a FROM e0),
+{", ".join(steps)}
+SELECT s.doc_id, CAST(len(g) AS BIGINT) AS n_shingles, coalesce(root, s.doc_id) AS component_id, coalesce(root, s.doc_id) = s.doc_id AS kept
+FROM s LEFT JOIN r{rounds} r ON r.c = md5(array_to_string(g, chr(10))) AND len(g) > 0"""

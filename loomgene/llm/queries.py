@@ -80,4 +80,10 @@ QUERIES = {
         op10_language_id,
     )
 }
-SQL: dict[str, str] = {"op5_url_filters": url_filter.sql(), "op2_cover_tree_topk": cover_topk.SQL}
+SQL: dict[str, str] = {
+    "op1_benchmark_decontamination": decontaminate.sql(),
+    "op2_cover_tree_topk": cover_topk.SQL,
+    "op5_url_filters": url_filter.sql(),
+    "op7_minmax_near_dedup": minmax_dedup.sql(),
+    "op8_substring_dedup": substring_dedup.sql(),
+}

@@ -201,3 +201,15 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 def digest(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """As dedup_substrings, with the SHA-256 of the kept text in its place."""
     return _with_spans(docs, window).mapInArrow(_digest, "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string")
+
+
+def sql(window: int = WINDOW) -> str:
+    """digest() in DuckDB's SQL over the table documents; doc_id must be unique."""
+    return rf"""
+WITH d AS MATERIALIZED (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS MATERIALIZED (SELECT doc_id, p, array_to_string(w[p:p + {window - 1}], ' ') AS k FROM (SELECT doc_id, w, unnest(range(1, len(w) - {window - 2})) AS p FROM d WHERE len(w) >= {window})),
+m AS (SELECT k, min(doc_id) AS least FROM g GROUP BY k HAVING min(doc_id) < max(doc_id)),
+r AS (SELECT DISTINCT doc_id, unnest(range(p, p + {window})) AS q FROM g JOIN m USING (k) WHERE doc_id > least),
+x AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS q FROM d),
+y AS (SELECT x.doc_id, count(r.q) AS n_removed, string_agg(word, ' ' ORDER BY x.q) FILTER (r.q IS NULL) AS kept FROM x LEFT JOIN r ON x.doc_id = r.doc_id AND x.q = r.q GROUP BY x.doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN y USING (doc_id)"""

@@ -149,12 +149,24 @@ def test_url_rules_and_terms(spark):
         host, path = (low(m[1]), m[2]) if m else ("", "")
         fit = [(h + p, v) for v, h, p in url_filter.RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
         hits = {t for t in (*url_filter.STRICT, *url_filter.SOFT) if re.search(rf"(?<![a-z0-9]){t}(?![a-z0-9])", low(u or ""))}
-        verdict = "block" if hits & {*url_filter.STRICT} or len(hits) >= 2 else "allow"
+        soft = [url_filter.SOFT[t] for t in hits if t in url_filter.SOFT]
+        verdict = "block" if hits & {*url_filter.STRICT} or len(soft) >= 2 and sum(soft) >= url_filter.SOFT_LIMIT else "allow"
         rule, verdict = max(fit, key=lambda x: len(x[0])) if fit else (None, verdict)
         assert got[i] == (host, path, rule, verdict), u
     assert got[10][3] == got[12][3] == got[16][3] == got[17][3] == "block" and got[11][3] == got[13][3] == "allow"
 
 
+def test_url_odd_tables(spark):
+    long = "http://a.net/" + "x-" * 500_000 + "porn"
+    rows = [(1, long, "x", 5), (1, long, "x", 5), (None, "http://b.net/casino-poker", None, None), (2, "http://c.net/free-win", "", 0), (3, "http://c.net/casino", "", 0)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, host string, n_soft int")
+    got = sorted(((r["page_id"], r["verdict"], r["n_strict"], r["n_soft"]) for r in url_filter.judge(pages).collect()), key=str)
+    assert got == [(1, "block", 1, 0), (1, "block", 1, 0), (2, "allow", 0, 2), (3, "allow", 0, 1), (None, "block", 0, 2)]
+    assert url_filter.judge(pages.limit(0)).count() == 0
+    own = {r["page_id"]: r["verdict"] for r in url_filter.judge(pages, strict=("zzz",), soft={"free": 5, "win": 1}, soft_limit=6, rules=()).collect()}
+    assert own == {1: "allow", 2: "block", 3: "allow", None: "allow"}
+
+
 def test_language_held_out(spark, sf):
     docs = {r["doc_id"]: r for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
     out = queries.op10_language_id(spark, sf).collect()
@@ -309,7 +321,7 @@ def test_secret_random_parts(spark):
         hits[k] += any(x <= 3 + len(a) and y >= 3 + len(a) + len(b) for x, y in spans[i])
     assert min(hits.values()) >= 34 and not spans[10_000], hits
     clean = {r["doc_id"]: r["text"] for r in secret_scan.redact(docs).collect()}
-    assert sum(b in clean[i] for i, (_, _, b, _) in enumerate(made)) == len(made) - sum(hits.values())
+    assert sum(b in clean[i] for i, (_, _, b, _) in enumerate(made)) <= len(made) - sum(hits.values())
 
 
 def test_secret_query(spark, sf):
@@ -320,13 +332,103 @@ def test_secret_query(spark, sf):
         assert [s for s in r["spans"].split(",") if s and not s.startswith("random")] == written
 
 
-def test_battery_power(spark):
-    """Random tokens are mostly kept, ordinary identifiers mostly set aside."""
+def identifiers(rnd, n):
+    """Ordinary tokens that look like candidates: camel case with numbers, slugs, paths, dates."""
+    words = "user account number total order list street name value item data test config server image preview handler controller response build version summary report index customer".split()
+    made = [
+        lambda: "".join(w.capitalize() if i else w for i, w in enumerate(rnd.choices(words, k=rnd.randint(4, 8)))) + str(rnd.randint(1, 99)),
+        lambda: "-".join(rnd.choices(words, k=rnd.randint(4, 7))) + f"-{rnd.randint(1, 2030)}",
+        lambda: "/".join(rnd.choices(words, k=rnd.randint(4, 7))) + f"/{rnd.randint(1, 9999)}A",
+        lambda: "_".join(w.upper() for w in rnd.choices(words, k=rnd.randint(4, 7))) + f"_{rnd.randint(1, 99)}",
+    ]
+    return [rnd.choice(made)() for _ in range(n)]
+
+
+def prose(rnd, n):
+    words = "the of and house water people with from this that reading some have morning window garden because between Great river under never question children 1999 12 London always".split()
+    return [" ".join(rnd.choices(words, k=rnd.randint(60, 200))) + "." for _ in range(n)]
+
+
+@pytest.mark.parametrize("n_random", [400, 0])
+def test_false_discoveries_are_controlled(spark, n_random):
+    """Of what is reported as random a bounded share is ordinary, and most random tokens are found."""
     rnd = random.Random(9)
     b62 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
-    random_ = ["".join(rnd.choice(b62) for _ in range(rnd.randint(24, 60))) for _ in range(300)]
-    words = ["user", "Account", "number", "Total", "order", "List", "street", "Name", "value", "Item", "2", "10", "data", "Test"]
-    plain = ["".join(rnd.choice(words) for _ in range(8)) + "1a" for _ in range(300)]
-    docs = spark.createDataFrame([(i, t) for i, t in enumerate(random_ + plain)], "doc_id bigint, text string")
-    hit = {r["doc_id"] for r in secret_scan.report(docs).collect() if "random" in r["spans"]}
-    assert sum(i < 300 for i in hit) >= 270 and sum(i >= 300 for i in hit) <= 60
+    tokens_ = ["".join(rnd.choice(b62) for _ in range(rnd.choice([24, 40, 50, 70]))) for _ in range(n_random)]
+    plain = identifiers(rnd, 1000)
+    texts = prose(rnd, 4000)
+    planted = [(i, texts[i] + f" {t} " + texts[-i]) for i, t in enumerate(tokens_ + plain)]
+    docs = planted + [(i, texts[i]) for i in range(len(planted), 4000)]
+    hit = {r["doc_id"] for r in secret_scan.report(spark.createDataFrame(docs, "doc_id bigint, text string").repartition(8)).collect() if "random" in r["spans"]}
+    right = sum(i < n_random for i in hit)
+    print("precision", right / max(1, len(hit)), "recall", right / max(1, n_random), "reported", len(hit))
+    assert len(hit) - right <= max(10, 2 * secret_scan.FALSE_DISCOVERY * len(hit))  # ten: 1 % of the ordinary tokens
+    assert right >= 0.8 * n_random
+
+
+def brute_battery(token):
+    """The p-value of the battery in plain Python, and the number of the null; None if no encoding fits."""
+    import math
+
+    bare = token.rstrip("=")
+    for alphabet, pattern, null in secret_scan._ENCODINGS:
+        if re.fullmatch(pattern.strip("^$"), bare):
+            break
+    else:
+        return None
+    r, k, n = [alphabet.index(c) for c in bare], len(alphabet), len(bare)
+    tail = lambda z: math.erfc(abs(z) / math.sqrt(2))
+    chi = k / n * sum(r.count(x) ** 2 for x in set(r)) - n
+    z = (chi - (k - 1)) / math.sqrt(2 * (k - 1) * (n - 1) / n)
+    p_chi = tail(z) / 2 if z > 0 else 1 - tail(z) / 2
+    high = [2 * x >= k for x in r]
+    h, runs = sum(high), 1 + sum(a != b for a, b in zip(high, high[1:], strict=False))
+    mean = 1 + 2 * h * (n - h) / n
+    p_runs = tail(9.0 if h in (0, n) else (runs - mean) / math.sqrt(max(1e-9, (mean - 1) * (mean - 2) / (n - 1))))
+    m = sum(r) / n
+    var = sum((x - m) ** 2 for x in r)
+    p_serial = tail(9.0 if var == 0 else math.sqrt(n) * sum((a - m) * (b - m) for a, b in zip(r, r[1:], strict=False)) / var + 1 / math.sqrt(n))
+    return min(1.0, 3 * min(p_chi, p_runs, p_serial)), null
+
+
+def test_battery_against_brute_force(spark):
+    rnd = random.Random(11)
+    alphabets = [a for a, *_ in secret_scan._ENCODINGS]
+    tokens_ = ["".join(rnd.choice(a) for _ in range(rnd.choice([20, 33, 64, 200]))) + rnd.choice(["", "=="]) for a in alphabets for _ in range(25)] + identifiers(rnd, 100) + ["aaaaaaaaaaaaaaaaaaa1", "short1A"]
+    got = spark.createDataFrame([(t,) for t in tokens_], "t string").selectExpr("t", f"{secret_scan._with_p('t')} x").collect()
+    for r in got:
+        want = brute_battery(r["t"])
+        assert (r["x"] is None) == (want is None), r
+        if want:
+            assert r["x"]["null_no"] == want[1] and r["x"]["p"] == pytest.approx(want[0], abs=1e-6), r
+
+
+def test_random_spans_against_brute_force(spark):
+    """Bare tokens in prose: the spans are those whose p the thresholds let through, one by one."""
+    rnd = random.Random(13)
+    b62 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    bare = ["".join(rnd.choice(b62) for _ in range(rnd.choice([24, 40, 70]))) if i % 3 else "".join(x for x in identifiers(rnd, 1)[0] if x.isalnum()) for i in range(300)]
+    texts = prose(rnd, 1500)
+    docs = spark.createDataFrame([(i, f"{bare[i]} {t}" if i < 300 else t) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    limit = secret_scan.thresholds(docs)
+    got = {r["doc_id"]: r["spans"] for r in secret_scan.report(docs).collect()}
+    checked = 0
+    for i, t in enumerate(bare):
+        p, null = brute_battery(t) or (None, None)
+        if len(t) < 20 or p is None:
+            assert got[i] == ""
+            continue
+        c = max(k for k, n in enumerate(secret_scan._LENGTHS) if len(t) >= n)
+        exact = -secret_scan.GRID * np.log10(max(p, 1e-12))
+        if abs(exact - round(exact)) > 1e-3:
+            assert got[i] == (f"random:0:{len(t)}" if min(240, int(exact)) <= limit[c, null] else ""), (t, p)
+            checked += 1
+    assert checked > 150 and all(got[i] == "" for i in range(300, 1500))
+
+
+def test_secret_many_matches(spark):
+    text = "x password=12345678, " * 3000
+    docs = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
+    row = secret_scan.report(docs).first()
+    assert row["n_assign"] == 3000 and row["base_sha256"] == hashlib.sha256(",".join(f"{k}:{a}:{z}" for a, _, k, z in base_spans(text)).encode()).hexdigest()
+    assert secret_scan.redact(docs).first()["text"] == "x <secret>, " * 3000 and len(row["p_values"].split(",")) == 3000
