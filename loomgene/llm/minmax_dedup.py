@@ -187,8 +187,9 @@ def components(edges: DataFrame) -> DataFrame:
     was = check(e)
     while was[0]:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        # written first: the join then has two plain sides, so Spark broadcasts a small one or splits a hub's many rows
+        least = store.cut(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
+        large = store.cut(both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large")
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         star = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v")))
         e = store.cut(star.distinct(), "edges")
