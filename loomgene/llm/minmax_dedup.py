@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from loomgene.llm import blocks, store
 
 PERMUTATIONS, BANDS = 40, 20
-CELL_SHINGLES, GRID_SHINGLES = 100_000, 2_000_000
+CELL_SHINGLES, GRID_SHINGLES = 40_000, 2_000_000
 FAN = 64
 _U = np.uint64
 _MULT = blocks.mix(np.arange(1, PERMUTATIONS + 1, dtype=_U) * _U(0x9E3779B97F4A7C15)) | _U(1)
