@@ -17,12 +17,12 @@ def best(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
 def isoforms(parts: DataFrame) -> DataFrame:
     """The transcript that stands for each gene.
 
-    parts: gene, transcript, kind (CDS, UTR or other), start, end, one row a part. The longest CDS wins, then the longest
-    UTR, then the least (start, end, transcript). Gives gene, transcript, cds_length, utr_length, candidates, changed.
+    parts: gene, transcript, kind (CDS, UTR, transcript or other), start, end, one row a part. The longest CDS wins, then the
+    longest UTR, then the least (start, end, transcript) of the rows of the kind transcript, else of all parts. Gives gene, transcript, cds_length, utr_length, candidates, changed.
     """
-    length = F.abs(F.col("end") - F.col("start")) + 1
+    length, place = F.abs(F.col("end") - F.col("start")) + 1, F.struct("start", "end")
     of = lambda kind: F.sum(F.when(F.col("kind") == kind, length).otherwise(0)).cast("bigint")
-    models = parts.groupBy("gene", "transcript").agg(of("CDS").alias("cds_length"), of("UTR").alias("utr_length"), F.min(F.struct("start", "end")).alias("at"))
+    models = parts.groupBy("gene", "transcript").agg(of("CDS").alias("cds_length"), of("UTR").alias("utr_length"), F.coalesce(F.min(F.when(F.col("kind") == "transcript", place)), F.min(place)).alias("at"))
     models = models.withColumn("candidates", F.count("*").over(W.partitionBy("gene")))
     won = best(models, ["gene"], [F.desc("cds_length"), F.desc("utr_length"), F.asc_nulls_last("at.start"), F.asc_nulls_last("at.end"), F.asc("transcript")])
     return won.select("gene", "transcript", "cds_length", "utr_length", "candidates", (F.col("candidates") > 1).alias("changed"))

@@ -35,29 +35,35 @@ def without_subtrees(features: DataFrame, seeds: DataFrame) -> DataFrame:
     edges = features.where("id is not null").select(F.col("id").alias("child"), F.explode("parents").alias("parent"))
     gone = cut(graph.removed(edges, seeds), "gone")
     lost = features.select("row_no", F.explode("parents").alias("id")).join(gone, "id", "left_semi").groupBy("row_no").agg(F.collect_set("id").alias("lost"))
-    rows = features.join(gone, "id", "left_anti").join(lost, "row_no", "left")
-    lost_ids = F.coalesce("lost", F.array().cast("array<string>"))
-    left = F.array_except("parents", lost_ids)
-    rows = rows.where((F.size("parents") == 0) | (F.size(left) > 0))
-    touched = F.col("lost").isNotNull()
-    text = F.when(touched, A.without_parents(F.col("attributes_text"), lost_ids)).otherwise(F.col("attributes_text"))
-    return rows.withColumns({"attributes_text": text, "parents": F.when(touched, left).otherwise(F.col("parents"))}).select(features.columns)
+    return _without_links(features.join(gone, "id", "left_anti"), lost)
 
 
 def isoform_parts(features: DataFrame) -> DataFrame:
-    """gene, transcript, kind, start, end of all coding and untranslated parts."""
-    transcripts = features.where(F.col("type").isin(*models.TRANSCRIPTS)).select(F.col("id").alias("transcript"), F.explode("parents").alias("gene"))
-    kind = F.when(F.col("type") == "CDS", "CDS").when(F.col("type").isin(*UTRS), "UTR")
+    """gene, transcript, kind, start, end: all transcripts of genes and their coding and untranslated parts."""
+    rows = features.where(F.col("type").isin(*models.TRANSCRIPTS) & F.col("id").isNotNull()).select(F.col("id").alias("transcript"), F.explode("parents").alias("gene"), F.lit("transcript").alias("kind"), "start", "end")
+    kind = F.when(F.col("type") == "CDS", "CDS").when(F.col("type").isin("five_prime_UTR", "three_prime_UTR"), "UTR")
     parts = features.select(F.explode("parents").alias("transcript"), kind.alias("kind"), "start", "end").where("kind is not null")
-    return transcripts.join(parts, "transcript", "left")
+    return rows.unionByName(rows.select("gene", "transcript").distinct().join(parts, "transcript"))
 
 
 def one_isoform(features: DataFrame) -> DataFrame:
-    """Features with one transcript a gene; a transcript stays if any of its genes chose it."""
+    """Features with one transcript a gene. A transcript stays if any of its genes chose it, with those genes alone as its parents."""
     parts = isoform_parts(features)
-    chosen = ranking.isoforms(parts).select("transcript")
+    chosen = cut(ranking.isoforms(parts).select("gene", "transcript"), "chosen")
     seeds = parts.select("transcript").distinct().join(chosen, "transcript", "left_anti").select(F.col("transcript").alias("id"))
-    return without_subtrees(features, seeds)
+    links = features.where(F.col("type").isin(*models.TRANSCRIPTS)).select("row_no", F.col("id").alias("transcript"), F.explode("parents").alias("gene"))
+    others = links.join(chosen, ["gene", "transcript"], "left_anti").join(chosen.select("transcript"), "transcript", "left_semi")
+    return without_subtrees(_without_links(features, others.groupBy("row_no").agg(F.collect_set("gene").alias("lost"))), seeds)
+
+
+def _without_links(features: DataFrame, lost: DataFrame) -> DataFrame:
+    """Features whose listed parents (row_no, lost) are struck out; rows that lose all of them go."""
+    rows = features.join(lost, "row_no", "left")
+    ids = F.coalesce("lost", F.array().cast("array<string>"))
+    left, touched = F.array_except("parents", ids), F.col("lost").isNotNull()
+    rows = rows.where((F.size("parents") == 0) | (F.size(left) > 0))
+    text = F.when(touched, A.without_parents(F.col("attributes_text"), ids)).otherwise(F.col("attributes_text"))
+    return rows.withColumns({"attributes_text": text, "parents": F.when(touched, left).otherwise(F.col("parents"))}).select(features.columns)
 
 
 def coordinate_duplicates(features: DataFrame, sequences: DataFrame, code: int = 1) -> DataFrame:

@@ -70,7 +70,7 @@ def hits(spark: SparkSession, sf_dir: str) -> DataFrame:
             (F.lit(100.0) - F.col("l_quantity") / 2).alias("scovhsp"),
             F.lit(1e-20).alias("evalue"),
             (F.col("l_extendedprice") / 100).alias("bitscore"),
-            F.col("p_name").alias("description"),
+            F.when(F.col("p_size") % 7 == 0, "hypothetical protein").when(F.col("p_size") % 11 == 0, "").otherwise(F.col("p_name")).alias("description"),
         )
     )
 
@@ -82,7 +82,7 @@ HITS = """hits AS (
     CASE WHEN l_linestatus = 'F' THEN 'same_family' ELSE 'unknown' END AS relation,
     CASE WHEN l_linestatus = 'F' THEN 1.25::DOUBLE ELSE 0.9::DOUBLE END AS taxonomy_weight,
     30.0::DOUBLE + l_quantity AS pident, 60.0::DOUBLE + l_quantity / 2 AS qcov, 100.0::DOUBLE - l_quantity / 2 AS scov,
-    l_extendedprice / 100 AS bitscore, p_name AS description
+    l_extendedprice / 100 AS bitscore, CASE WHEN p_size % 7 = 0 THEN 'hypothetical protein' WHEN p_size % 11 = 0 THEN '' ELSE p_name END AS description
   FROM lineitem JOIN part ON l_partkey = p_partkey)"""
 
 
@@ -100,7 +100,7 @@ NAMED = r"""named AS (
     CASE p_size % 4 WHEN 0 THEN p_name || ' protein 2' WHEN 1 THEN upper(left(split_part(p_name, ' ', 1), 1)) || substr(split_part(p_name, ' ', 1), 2) || ' ' || upper(left(split_part(p_name, ' ', 2), 1)) || substr(split_part(p_name, ' ', 2), 2) || ' 3' ELSE p_name END AS name,
     CASE p_size % 5 WHEN 0 THEN 'none' WHEN 1 THEN 'swissprot' WHEN 2 THEN 'uniref90' WHEN 3 THEN 'pfam' ELSE 'existing' END AS source
   FROM part),
-tok AS (SELECT id, surface, name, source, CASE WHEN source = 'none' THEN NULL ELSE list_sort(list_distinct(list_filter(string_split(surface, ' '), lambda x: x <> '' AND x <> 'protein'))) END AS tokens FROM named)"""
+tok AS MATERIALIZED (SELECT id, surface, name, source, CASE WHEN source = 'none' THEN NULL ELSE list_sort(list_distinct(list_filter(string_split(surface, ' '), lambda x: x <> '' AND x <> 'protein'))) END AS tokens FROM named)"""
 
 
 def similar(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,8 +117,8 @@ def similar(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-LINKS = """raw AS (
+LINKS = """raw AS MATERIALIZED (
   SELECT least(l_partkey, l_suppkey * 20 + l_linenumber) AS a, greatest(l_partkey, l_suppkey * 20 + l_linenumber) AS b, l_quantity * 2 AS pident,
     100.0::DOUBLE - round(l_discount * 100) * 2 AS qcov, 100.0::DOUBLE - round(l_tax * 100) * 2 AS scov, l_extendedprice AS bitscore, l_orderkey * 10 + l_linenumber AS hit_no
   FROM lineitem),
-links AS (SELECT * FROM raw WHERE a <> b QUALIFY row_number() OVER (PARTITION BY a, b ORDER BY bitscore DESC, hit_no, pident) = 1)"""
+links AS MATERIALIZED (SELECT * FROM raw WHERE a <> b QUALIFY row_number() OVER (PARTITION BY a, b ORDER BY bitscore DESC, hit_no, pident) = 1)"""

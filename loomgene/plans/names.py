@@ -11,10 +11,10 @@ from loomgene.plans.registry import query
 
 _STOP = ", ".join(f"'{w}'" for w in N.STOPWORDS)
 _CONSENSUS = f"""WITH {T.HITS},
-p AS (SELECT *, max(bitscore) OVER (PARTITION BY qseqid) AS best FROM hits WHERE bitscore >= 50 AND pident >= 35 AND qcov >= 70 AND scov >= 70),
+p AS (SELECT *, max(bitscore) OVER (PARTITION BY qseqid) AS best FROM hits WHERE description <> '' AND bitscore >= 50 AND pident >= 35 AND qcov >= 70 AND scov >= 70),
 a AS (SELECT *, greatest(0.0::DOUBLE, weight * taxonomy_weight * bitscore / best * sqrt(qcov / 100 * scov / 100)) AS evidence,
     list_distinct(list_filter(regexp_extract_all(lower(description), '[a-z0-9]+'), lambda x: length(x) > 1 AND x NOT IN ({_STOP}))) AS tokens
-  FROM p WHERE bitscore >= 0.9 * best),
+  FROM p WHERE bitscore >= 0.9 * best AND description <> 'hypothetical protein'),
 h AS (SELECT * FROM a WHERE len(tokens) > 0),
 w AS (SELECT qseqid, hit_no, evidence, unnest(tokens) AS token FROM h),
 s AS (SELECT qseqid, token, sum(evidence) AS share FROM w GROUP BY ALL),
@@ -49,7 +49,7 @@ def q_unassigned(spark, sf_dir):
     return evidence.unassigned(q, evidence.consensus(evidence.accepted_hits(T.hits(spark, sf_dir))))
 
 
-_IDF = "idf AS (SELECT token, count(*) AS df, ln(((SELECT count(*) FROM tok WHERE tokens IS NOT NULL) + 1) / (count(*) + 1)) + 1 AS idf FROM (SELECT unnest(tokens) AS token FROM tok WHERE tokens IS NOT NULL) GROUP BY 1)"
+_IDF = "idf AS MATERIALIZED (SELECT token, count(*) AS df, ln(((SELECT count(*) FROM tok WHERE tokens IS NOT NULL) + 1) / (count(*) + 1)) + 1 AS idf FROM (SELECT unnest(tokens) AS token FROM tok WHERE tokens IS NOT NULL) GROUP BY 1)"
 
 
 @query(f"WITH {T.NAMED}, {_IDF} SELECT token, round(idf, 6) AS idf FROM idf")
@@ -59,14 +59,15 @@ def q_idf(spark, sf_dir):
 
 
 _PAIRS = f"""WITH {T.NAMED}, {_IDF}, {T.LINKS},
-j AS (SELECT l.a, l.b, pident, qcov, scov, x.source AS source_a, y.source AS source_b, x.surface AS sa, y.surface AS sb, x.tokens AS ta, y.tokens AS tb, x.name AS name_a, y.name AS name_b
+j AS MATERIALIZED (SELECT l.a, l.b, pident, qcov, scov, x.source AS source_a, y.source AS source_b, x.surface AS sa, y.surface AS sb, x.tokens AS ta, y.tokens AS tb, x.name AS name_a, y.name AS name_b
   FROM links l JOIN tok x ON l.a = x.id JOIN tok y ON l.b = y.id),
 u AS (SELECT a, b, unnest(list_distinct(list_concat(ta, tb))) AS token, ta, tb FROM j WHERE ta IS NOT NULL AND tb IS NOT NULL),
-k AS (SELECT a, b, count(*) FILTER (list_contains(ta, token) AND list_contains(tb, token)) AS n_both, coalesce(sum(idf) FILTER (list_contains(ta, token) AND list_contains(tb, token)), 0) / sum(idf) AS similarity FROM u JOIN idf USING (token) GROUP BY ALL),
-m AS (SELECT j.*, similarity, n_both, list_filter(ta, lambda t: regexp_full_match(t, '[0-9]+|[a-z]+[0-9]+[a-z]*')) AS ma, list_filter(tb, lambda t: regexp_full_match(t, '[0-9]+|[a-z]+[0-9]+[a-z]*')) AS mb FROM j LEFT JOIN k USING (a, b)),
-pairs AS (SELECT *, CASE WHEN ta IS NULL OR tb IS NULL THEN 'not_evaluable' WHEN sa = sb THEN 'exact' WHEN len(ta) > 0 AND ta = tb THEN 'canonical_equivalent' WHEN len(ma) > 0 AND len(mb) > 0 AND ma <> mb THEN 'review'
-    WHEN n_both > 0 AND similarity >= 0.5 THEN 'compatible_granularity' ELSE 'review' END AS relation,
-  CASE WHEN ta IS NULL OR tb IS NULL OR sa = sb OR (len(ta) > 0 AND ta = tb) THEN '' WHEN len(ma) > 0 AND len(mb) > 0 AND ma <> mb THEN 'specific_modifier_conflict' WHEN n_both > 0 AND similarity >= 0.5 THEN '' ELSE 'incompatible_family_name_tokens' END AS reason FROM m)"""
+k AS MATERIALIZED (SELECT a, b, count(*) FILTER (list_contains(ta, token) AND list_contains(tb, token)) AS n_both, coalesce(sum(idf) FILTER (list_contains(ta, token) AND list_contains(tb, token)), 0) / sum(idf) AS similarity FROM u JOIN idf USING (token) GROUP BY ALL),
+m AS MATERIALIZED (SELECT j.*, similarity, n_both, list_filter(ta, lambda t: regexp_full_match(t, '[0-9]+|[a-z]+[0-9]+[a-z]*')) AS ma, list_filter(tb, lambda t: regexp_full_match(t, '[0-9]+|[a-z]+[0-9]+[a-z]*')) AS mb FROM j LEFT JOIN k USING (a, b)),
+pairs AS MATERIALIZED (SELECT *, CASE WHEN ta IS NULL OR tb IS NULL THEN 'not_evaluable' WHEN sa = sb THEN 'exact' WHEN len(ta) > 0 AND ta = tb THEN 'canonical_equivalent' WHEN len(ma) > 0 AND len(mb) > 0 AND ma <> mb THEN 'review'
+    WHEN n_both > 0 AND similarity >= 0.45 THEN 'compatible_granularity' ELSE 'review' END AS relation,
+  CASE WHEN ta IS NULL OR tb IS NULL THEN '' WHEN sa = sb THEN 'normalized_text_match' WHEN len(ta) > 0 AND ta = tb THEN 'approved_alias_or_safe_formatting_difference' WHEN len(ma) > 0 AND len(mb) > 0 AND ma <> mb THEN 'specific_modifier_conflict'
+    WHEN n_both > 0 AND similarity >= 0.45 THEN 'shared_family_name_with_granularity_difference' ELSE 'incompatible_family_name_tokens' END AS reason FROM m)"""
 
 
 def _links(spark, sf_dir):
@@ -124,15 +125,41 @@ def q_components(spark, sf_dir):
     return graph.components(nodes, known)
 
 
-@query()
-def q_family_status(spark, sf_dir):
+def _families_sql(rounds: int = 40) -> str:
+    steps = ["e AS MATERIALIZED (SELECT a, b FROM near UNION SELECT b, a FROM near)", "r0 AS MATERIALIZED (SELECT id, id AS root FROM named)"]
+    steps += [f"r{i} AS MATERIALIZED (SELECT r.id, least(r.root, coalesce(min(o.root), r.root)) AS root FROM r{i - 1} r LEFT JOIN e ON e.a = r.id LEFT JOIN r{i - 1} o ON o.id = e.b GROUP BY r.id, r.root)" for i in range(1, rounds + 1)]
+    count = lambda r: f"coalesce(count(*) FILTER (relation = '{r}'), 0) AS {r}"
+    return f"""{_PAIRS}, {_NEAR}, {", ".join(steps)},
+s AS (SELECT root AS first_member, count(*) AS members, CAST(count(*) FILTER (source <> 'none') AS BIGINT) AS annotated FROM r{rounds} JOIN named USING (id) GROUP BY root),
+c AS (SELECT root AS first_member, {", ".join(map(count, ("review", "compatible_granularity", "canonical_equivalent", "exact", "not_evaluable")))},
+  round(min(CASE WHEN relation IN ('exact', 'canonical_equivalent') THEN 1 WHEN relation <> 'not_evaluable' THEN similarity END), 6) AS least_similarity FROM near JOIN r{rounds} ON a = id GROUP BY root),
+f AS (SELECT s.*, coalesce(review, 0) AS review, coalesce(compatible_granularity, 0) AS compatible_granularity, coalesce(canonical_equivalent, 0) AS canonical_equivalent, coalesce(exact, 0) AS exact, coalesce(not_evaluable, 0) AS not_evaluable, least_similarity
+  FROM s LEFT JOIN c USING (first_member)),
+families AS (SELECT *, CASE WHEN annotated = 0 THEN 'all_unannotated' WHEN annotated = 1 THEN 'one_annotated' WHEN review + compatible_granularity + canonical_equivalent + exact = 0 THEN 'not_evaluable' WHEN review > 0 THEN 'review'
+  WHEN compatible_granularity > 0 THEN 'compatible_granularity' WHEN canonical_equivalent > 0 THEN 'canonical_equivalent' ELSE 'exact' END AS status FROM f)"""
+
+
+def _families(spark, sf_dir):
     own, genes = _near(spark, sf_dir), T.named(spark, sf_dir)
-    return audit.family_rows(own, graph.families(genes.select("id"), own.select("a", "b"), "NID"), genes)
+    members = graph.families(genes.select("id"), own.select("a", "b"), "NID")
+    first = members.groupBy("family_id").agg(F.min("id").alias("first_member"))  # the digits of family_id are no SQL's
+    return audit.family_rows(own, members, genes).join(first, "family_id")
+
+
+@query(_families_sql() + " SELECT * FROM families")
+def q_family_status(spark, sf_dir):
+    return _families(spark, sf_dir).drop("family_id").withColumn("least_similarity", F.round("least_similarity", 6))
 
 
-@query()
+@query(_families_sql() + """
+SELECT 'near_identical' AS tier, count(*) AS total_clusters, count(*) FILTER (status IN ('review', 'compatible_granularity', 'canonical_equivalent', 'exact')) AS evaluable,
+  count(*) FILTER (status IN ('canonical_equivalent', 'exact')) AS strict, count(*) FILTER (status IN ('compatible_granularity', 'canonical_equivalent', 'exact')) AS compatible,
+  coalesce(round(count(*) FILTER (status IN ('canonical_equivalent', 'exact')) / nullif(count(*) FILTER (status IN ('review', 'compatible_granularity', 'canonical_equivalent', 'exact')), 0), 6), 0) AS strict_rate,
+  coalesce(round(count(*) FILTER (status IN ('compatible_granularity', 'canonical_equivalent', 'exact')) / nullif(count(*) FILTER (status IN ('review', 'compatible_granularity', 'canonical_equivalent', 'exact')), 0), 6), 0) AS compatible_rate
+FROM families""")
 def q_tier_summary(spark, sf_dir):
-    return audit.tier_summary(q_family_status(spark, sf_dir).withColumn("tier", F.lit("near_identical")))
+    rates = {c: F.round(c, 6) for c in ("strict_rate", "compatible_rate")}
+    return audit.tier_summary(_families(spark, sf_dir).withColumn("tier", F.lit("near_identical"))).withColumns(rates)
 
 
 @query(_PAIRS + f""", e AS (SELECT a AS id, relation FROM pairs WHERE pident >= 70 AND qcov >= 80 AND scov >= 80 UNION ALL SELECT b, relation FROM pairs WHERE pident >= 70 AND qcov >= 80 AND scov >= 80),
@@ -143,21 +170,54 @@ def q_gene_status(spark, sf_dir):
 
 
 @query("""
-SELECT c_custkey, CASE WHEN c_custkey = 7 THEN 'same_species' WHEN c_nationkey = 3 THEN 'same_family' WHEN n_regionkey = 2 THEN 'same_kingdom' WHEN n_regionkey < 4 THEN 'cross_kingdom' ELSE 'cross_domain' END AS relation,
-  CASE WHEN c_custkey = 7 THEN 1.35::DOUBLE WHEN c_nationkey = 3 THEN 1.25::DOUBLE WHEN n_regionkey = 2 THEN 1.0::DOUBLE WHEN n_regionkey < 4 THEN 0.72::DOUBLE ELSE 0.45::DOUBLE END AS weight
+SELECT c_custkey, CASE WHEN c_custkey = 7 THEN 'same_species' WHEN c_nationkey = 3 THEN 'same_family' WHEN n_regionkey = 2 THEN 'same_kingdom' WHEN n_regionkey < 2 THEN 'cross_kingdom' WHEN n_regionkey = 3 THEN 'cross_domain' ELSE 'unknown' END AS relation,
+  CASE WHEN c_custkey = 7 THEN 1.35::DOUBLE WHEN c_nationkey = 3 THEN 1.25::DOUBLE WHEN n_regionkey = 2 THEN 1.0::DOUBLE WHEN n_regionkey < 2 THEN 0.72::DOUBLE WHEN n_regionkey = 3 THEN 0.45::DOUBLE ELSE 0.9::DOUBLE END AS weight
 FROM customer JOIN nation ON c_nationkey = n_nationkey""")
 def q_taxonomy_relation(spark, sf_dir):
     c = T.table(spark, sf_dir, "customer").join(T.table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-    lineage = F.array((F.col("c_nationkey") + 1000).cast("bigint"), (F.col("n_regionkey") + 5000).cast("bigint"), F.when(F.col("n_regionkey") < 4, 9001).otherwise(9002).cast("bigint"))
-    relation = evidence.taxonomy_relation(F.col("c_custkey"), lineage, F.lit(7).cast("bigint"), F.expr("map('family', 1003L, 'kingdom', 5002L, 'domain', 9001L)"))
+    # regions 0 to 2 are eukaryotes, 3 bacteria; 4 has no domain
+    domain = F.when(F.col("n_regionkey") < 3, 2759).when(F.col("n_regionkey") == 3, 2).otherwise(131567).cast("bigint")
+    lineage = F.array((F.col("c_nationkey") + 10_000_000).cast("bigint"), (F.col("n_regionkey") + 50_000_000).cast("bigint"), domain)
+    relation = evidence.taxonomy_relation(F.col("c_custkey") + 20_000_000, lineage, F.lit(20_000_007).cast("bigint"), F.expr("map('family', 10000003L, 'kingdom', 50000002L, 'domain', 2759L)"))
     return c.select("c_custkey", relation.alias("relation")).withColumn("weight", evidence.relation_weight(F.col("relation")))
 
 
-@query("""
-SELECT p_partkey, CASE p_size % 4 WHEN 0 THEN 'putative ' || p_name WHEN 1 THEN p_name || ', sulfur' WHEN 2 THEN p_name ELSE 'hypothetical protein' END AS name,
-  CASE p_size % 4 WHEN 0 THEN 'removed_localization_suffix,normalized_uncertainty' WHEN 1 THEN 'replaced_semicolon,american_spelling' WHEN 2 THEN 'removed_partial_term' ELSE 'used_hypothetical_product' END AS actions
-FROM part""")
+#: A name around a part's own, what becomes of it, and the actions; @ stands for the part's name.
+_NAMES = (
+    ("Probable @, mitochondrial", "putative @", "removed_localization_suffix,normalized_uncertainty"),
+    ("@;sulphur", "@-sulfur", "replaced_semicolon,american_spelling"),
+    ('fragment "@".', "@", "removed_partial_term"),
+    ("Unknown protein", "hypothetical protein", "used_hypothetical_product"),
+    ("LOW QUALITY PROTEIN: @ &amp; co", "@ & co", "decoded_html_entity,removed_quality_prefix"),
+    ("@ [Signal transduction mechanisms]", "@", "removed_cog_category"),
+    ("@ proteins and related proteins domain-containing protein", "@ protein family protein", "generalized_related_proteins"),
+    ("@: an acronym for nothing domain-containing protein", "@ domain-containing protein", "removed_explanatory_text"),
+    ("@, contains WD40 repeats domain-containing protein", "WD40 repeat-containing protein", "reduced_contains_description"),
+    ("@ (or alias) kinase", "@ kinase", "removed_alternative_name"),
+    ("@ domain domain-containing protein", "@ domain-containing protein", "removed_repeated_domain_word"),
+    ("@ superfamily domain-containing protein", "@ superfamily protein", "normalized_superfamily_name"),
+    ("@ COG1234", "@", "removed_database_identifier"),
+    ("@ LOC101", "@", "removed_locus_identifier"),
+    ("@ helicase conserved C-terminal domain", "@ helicase C-terminal domain", "removed_conserved_term"),
+    ("likely @ domain-containing protein", "@ domain-containing protein", "removed_redundant_uncertainty"),
+    ("@ golgin candidate", "@ golgin protein", "removed_candidate_term"),
+    ("novel plant SNARE @", "SNARE protein @", "generalized_taxon_specific_name"),
+    ("@ homolog 2", "@-like protein 2", "replaced_evolutionary_term"),
+    ("Kinase of @", "kinase of @", "lowercased_initial"),
+    ("@ -like protein", "@-like protein", "joined_split_hyphen"),
+    ("secreted @", "@", "removed_localization_term"),
+    ("DnaJ homologue subfamily @", "DnaJ subfamily @", "replaced_evolutionary_term"),
+)
+
+
+def _names_sql() -> str:
+    quoted = lambda t: "'" + t.replace("'", "''") + "'"
+    case = lambda k: f"CASE p_partkey % {len(_NAMES)} " + " ".join(f"WHEN {i} THEN {quoted(n[k])}" for i, n in enumerate(_NAMES)) + " END"
+    return f"SELECT p_partkey, replace({case(1)}, '@', p_name) AS name, {case(2)} AS actions FROM part"
+
+
+@query(_names_sql())
 def q_product_rules(spark, sf_dir):
-    n, name = F.col("p_size") % 4, F.col("p_name")
-    raw = F.when(n == 0, F.concat(F.lit("Probable "), name, F.lit(", mitochondrial"))).when(n == 1, F.concat(name, F.lit("; sulphur"))).when(n == 2, F.concat(F.lit('fragment "'), name, F.lit('".'))).otherwise("Unknown protein")
-    return T.table(spark, sf_dir, "part").select("p_partkey", N.standardise(raw).alias("s")).select("p_partkey", "s.name", F.array_join("s.actions", ",").alias("actions"))
+    raw = F.get(F.array(*(F.lit(n[0]) for n in _NAMES)), (F.col("p_partkey") % len(_NAMES)).cast("int"))
+    rows = N.standardise(T.table(spark, sf_dir, "part").select("p_partkey", F.replace(raw, F.lit("@"), F.col("p_name")).alias("raw")), F.col("raw"), "s")
+    return rows.select("p_partkey", "s.name", F.array_join("s.actions", ",").alias("actions"))

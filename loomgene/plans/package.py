@@ -92,5 +92,5 @@ def package(spark: SparkSession, genome: str, table: str, out: str, options: Opt
         head = render.header(spark, options.header)
         body = body.unionByName(head.select(F.lit(0).alias("part"), F.col("line_no").alias("at"), F.lit(0).alias("block"), F.lit(0).alias("line_in_block"), "value"))
     body.orderBy("part", "at", "block", "line_in_block").select("value").write.text(f"{out}/annotation")
-    tables.write_tsv(made["review"].orderBy("entry", "warning", "locus", "detail"), f"{out}/review")
+    tables.write_tsv(made["review"].orderBy("entry", "warning", "locus_tag", "location", "detail"), f"{out}/review")
     made["counts"].orderBy("step").write.json(f"{out}/counts")

@@ -194,7 +194,7 @@ def test_package_runs_all_stages(spark, tmp_path):
     features = read("features")
     assert features[0] == "##gff-version 3" and [x.split("\t")[2] for x in features[1:]] == ["gene", "mRNA", "CDS"] * 2 and features[1].endswith("ID=AB_0001")
     review_rows = read("review")
-    assert "short_cds\tc1\tCDS\tAB_0002\t12" in review_rows
+    assert "short_cds\tc1\tCDS\tAB_0002\t25..36\t12 coding bp; review against the 93 bp threshold" in review_rows
 
 
 def test_locations_and_gaps(spark):
@@ -218,9 +218,18 @@ def test_consensus_and_assignment(spark):
 
 
 def test_taxonomy_relation(spark):
-    df = spark.sql("select * from values (1, array(1L, 7L, 9L)), (2, array(2L, 8L, 9L)), (3, array(3L, 99L)), (null, null) t(s, l)")
-    got = [r[0] for r in df.select(evidence.taxonomy_relation(F.col("s"), F.col("l"), F.lit(1), F.expr("map('genus', 7L, 'kingdom', 70L, 'domain', 9L)"))).collect()]
-    assert got == ["same_species", "cross_kingdom", "cross_domain", "unknown"]
+    df = spark.sql("select * from values (101L, array(7L, 2759L)), (102L, array(8L, 2759L)), (103L, array(2L)), (104L, array(99L)), (null, null), (70L, array(2759L)), (105L, null), (2157L, array(131567L)) t(s, l)")
+    relation = lambda ranks: [r[0] for r in df.select(evidence.taxonomy_relation(F.col("s"), F.col("l"), F.lit(101), F.expr(ranks))).collect()]
+    # without one of NCBI's domains in the lineage, which the subject itself is part of, the relation is unknown
+    assert relation("map('genus', 7L, 'kingdom', 70L, 'domain', 2759L)") == ["same_species", "cross_kingdom", "cross_domain", "unknown", "unknown", "same_kingdom", "unknown", "cross_domain"]
+    assert relation("map('domain', 2759L)") == ["same_species", "same_domain", "cross_domain", "unknown", "unknown", "same_domain", "unknown", "cross_domain"]
+    assert set(relation("map('genus', 8L)")) == {"same_species", "same_genus", "unknown"}
+
+
+def test_best_hit_may_say_nothing(spark):
+    hits = [("a", 1000.0, "hypothetical protein"), ("a", 500.0, "kinase"), ("b", 1000.0, "hypothetical protein"), ("b", 950.0, "kinase"), ("c", 1000.0, ""), ("c", 1000.0, None), ("c", 500.0, "ligase")]
+    df = spark.createDataFrame([(*h, 90.0, 90.0, 90.0, 1e-30) for h in hits], "qseqid string, bitscore double, description string, pident double, qcovhsp double, scovhsp double, evalue double")
+    assert rows(evidence.accepted_hits(df).select("qseqid", "description", "best_bitscore"), "qseqid") == [("b", "kinase", 1000.0), ("c", "ligase", 500.0)]
 
 
 def test_audit(spark):
@@ -263,5 +272,83 @@ def test_order_puts_parents_first(spark):
 def test_domains_and_redundant_mrna(spark):
     d = spark.createDataFrame([("q", "Pkinase", "PF1", 100, 1e-9, 50.0, 1, 90, "Protein kinase domain", 1), ("q", "X", "PF2", 100, 1e-9, 60.0, 1, 90, "coiled coil", 2), ("r", "DUF12", "PF3", 100, 1e-9, 60.0, 1, 20, "DUF12", 3)], "query_id string, name string, accession string, hmm_length bigint, i_evalue double, bitscore double, hmm_from bigint, hmm_to bigint, description string, hit_no bigint")
     assert [(r.qseqid, r["product"]) for r in evidence.domain_assignments(d).collect()] == [("q", "Protein kinase domain-containing protein")]
-    b = spark.createDataFrame([("e", 1, "mRNA", "1..9", "L1"), ("e", 2, "CDS", "1..9", "L1"), ("e", 3, "mRNA", "1..9", "L2"), ("e", 4, "CDS", "2..9", "L2")], "entry string, block_no bigint, feature string, location string, locus string")
-    assert rows(review.redundant_mrna(b), "block_no") == [("e", 1)]
+    q = lambda *pairs: [(i, *p) for i, p in enumerate(pairs)]
+    tag, note = lambda x: ("locus_tag", x), ("note", "n")
+    made = [
+        ("mRNA", "1..9", "L1", q(tag("L1"))), ("CDS", "<1..>9", "L1", q(tag("L1"), ("product", "p"))),  # said by the CDS
+        ("mRNA", "1..9", "L2", q(tag("L2"))), ("CDS", "2..9", "L2", q(tag("L2"))),  # other parts
+        ("mRNA", "1..9", "L3", q(tag("L3"), note)), ("CDS", "1..9", "L3", q(tag("L3"))),  # a qualifier of its own
+        ("mRNA", "1..9", "L4", q(tag("L4"))), ("CDS", "1..9", "L4", q(tag("L4"), ("pseudo", ""))),
+        ("mRNA", "<1..9", "L5", q(tag("L5"))), ("CDS", "1..9", "L5", q(tag("L5"))),
+        ("mRNA", "1..9", "L6", q(tag("L6"))), ("CDS", "1..9", "L6", q(tag("L6"))), ("ncRNA", "1..3", "L6", q(tag("L6"))),
+        ("mRNA", "1..9", "L7", q(tag("L7"))), ("CDS", "1..9", "L7", q(tag("L7"))), ("regulatory", "1..3", "L7", q(tag("L7"))),  # not among the features that count
+        ("mRNA", "order(1..3,5..9)", "L8", q(tag("L8"))), ("CDS", "order(1..3,5..9)", "L8", q(tag("L8"))),
+    ]
+    b = spark.createDataFrame([("e", i, *m) for i, m in enumerate(made)], "entry string, block_no bigint, feature string, location string, locus string, qualifiers array<struct<line_no:bigint,key:string,value:string>>")
+    assert [made[i][2] for _, i in rows(review.redundant_mrna(b), "block_no")] == ["L1", "L7"]
+
+
+def test_review_of_blocks(spark):
+    q = lambda *pairs: [(i, *p) for i, p in enumerate(pairs)]
+    made = [
+        ("CDS", "join(1..30,40..40)", "L1", q(("locus_tag", "L1"))),
+        ("CDS", "complement(join(<1..30,50..200))", "L2", q(("locus_tag", "L2"), ("codon_start", "2"))),
+        ("CDS", "complement(50..200)", "L3", q(("locus_tag", "L3"))),
+        ("CDS", "complement(50..200)", "L4", q(("locus_tag", "L4"))),
+        ("CDS", "order(1..3,7..9)", "L5", q(("locus_tag", "L5"))),
+        ("CDS", "1..300", "L6", q(("locus_tag", "L6"), ("codon_start", "4"))),
+        ("CDS", "5..5", "L7", q(("locus_tag", "L7"), ("pseudogene", "unknown"))),
+        ("misc_feature", "5..5", "L8", q(("locus_tag", "L8"))),
+        ("tRNA", "7..70", "L9", q(("gene", "trnM-CAU"), ("product", "tRNA-Leu"))),
+        ("tRNA", "7..70", "L10", q(("gene", "trnM-CAU"), ("product", "tRNA-Met"))),
+        ("CDS", "<1..20", "L11", q(("locus_tag", "L11"))),
+    ]
+    b = spark.createDataFrame([("e", i, *m) for i, m in enumerate(made)], "entry string, block_no bigint, feature string, location string, locus string, qualifiers array<struct<line_no:bigint,key:string,value:string>>")
+    got = sorted((r.warning, r.locus_tag, r.location, r.detail) for r in review.block_warnings(b).collect())
+    assert got == sorted([
+        ("short_cds", "L1", "join(1..30,40..40)", "31 coding bp; review against the 93 bp threshold"),
+        ("single_base_cds_segment", "L1", "40", "CDS join(1..30,40..40)"),
+        ("short_cds", "L11", "<1..20", "20 coding bp; review against the 93 bp threshold (partial CDS)"),
+        ("shared_cds_segment", "L2,L3,L4", "complement(50..200)", "Exact same-strand segment at distinct loci"),
+        ("unreviewed_cds_location", "L5", "order(1..3,7..9)", "Review the CDS location with the DDBJ validators"),
+        ("unreviewed_codon_start", "L6", "1..300", "Unexpected codon_start=4"),
+        ("trna_gene_product_mismatch", "L9", "7..70", "trnM-CAU indicates tRNA-Met; product=tRNA-Leu"),
+    ])
+
+
+def test_missing_coverage(spark):
+    head = [("COMMON", 1, "DATATYPE", "", "type", "WGS")]
+    data = [("a", 2, "source", "1..9", "organism", "o"), ("b", 3, "source", "1..9", "organism", "o"), ("b", 4, "ST_COMMENT", "", "Genome Coverage", "30x")]
+    table = lambda some: spark.createDataFrame([(i, *x) for i, x in enumerate(some)], "line_no bigint, entry string, block_no bigint, feature string, location string, qualifier string, value string")
+    entries = lambda some: [r.entry for r in review.warnings(table(some)).where("warning = 'missing_genome_coverage'").collect()]
+    assert entries(head + data) == ["a"] and entries(head + data[:2]) == ["COMMON"] and entries(data) == []
+    assert entries([*head, ("COMMON", 9, "ST_COMMENT", "", "Genome Coverage", "30x"), *data]) == []
+
+
+def test_shared_transcript_keeps_the_genes_that_chose_it(spark):
+    """ga chooses the shared transcript, gb its own longer one; ties go to the transcript's own place, not its parts'."""
+    table = [
+        ("gene", 1, 99, "ga", []), ("gene", 1, 99, "gb", []), ("mRNA", 1, 60, "shared", ["ga", "gb"]), ("CDS", 1, 30, None, ["shared"]), ("mRNA", 1, 99, "own", ["gb"]), ("CDS", 1, 60, None, ["own"]),
+        ("gene", 1, 99, "gc", []), ("mRNA", 10, 50, "late", ["gc"]), ("CDS", 12, 20, None, ["late"]), ("mRNA", 5, 60, "early", ["gc"]), ("CDS", 20, 28, None, ["early"]), ("UTR", 1, 60, None, ["late"]),
+    ]
+    text = lambda i, p: ";".join(([f"ID={i}"] if i else []) + ([f"Parent={','.join(p)}"] if p else []))
+    f = spark.createDataFrame([(n, "c", t, a, z, text(i, p), i, p) for n, (t, a, z, i, p) in enumerate(table)], "row_no bigint, seqid string, type string, start bigint, end bigint, attributes_text string, id string, parents array<string>")
+    left = {r.row_no: r for r in stages.one_isoform(f).collect()}
+    assert left[2].parents == ["ga"] and left[2].attributes_text == "ID=shared;Parent=ga" and left[4].parents == ["gb"]
+    assert {r.id for r in left.values() if r.type == "mRNA"} == {"shared", "own", "early"} and 8 not in left and 11 not in left
+
+
+def test_feature_keys_and_classes(spark):
+    kinds = ["siRNA", "misc_RNA", "attenuator", "polyA_signal", "pseudogenic_transcript", "pseudogene", "LINE", "minisatellite", "silencer", "5_prime_UTR", "gene", "start_codon", "primary_transcript", "odd", "D-loop", "exon"]
+    df = spark.createDataFrame([(i, k, {"pseudogene": "Processed"} if k == "pseudogene" else {"ncRNA_class": "other"} if k == "siRNA" else {}) for i, k in enumerate(kinds)], "i int, k string, a map<string,string>")
+    got = [(r.key, r.c.ncRNA_class, r.c.regulatory_class, r.c.pseudogene) for r in df.select("i", render.feature_key(F.col("k")).alias("key"), render.feature_class(F.col("k"), F.col("a")).alias("c")).orderBy("i").collect()]
+    assert [g[0] for g in got] == ["ncRNA", "misc_RNA", "regulatory", "regulatory", "misc_RNA", "misc_feature", "mobile_element", "repeat_region", "regulatory", "5'UTR", None, None, "prim_transcript", "misc_feature", "D-loop", "exon"]
+    assert got[0][1] == "other" and got[3][2] == "polyA_signal_sequence" and got[8][2] == "other" and got[4][3] == "unknown" and got[5][3] == "processed" and got[1][3] is None
+
+
+def test_start_codons_of_the_code(spark):
+    part = "array<struct<start:bigint,end:bigint,phase:string,row_no:bigint>>"
+    m = spark.createDataFrame([(s, "c", "+", [(1, len(s), "0", 1)], s) for s in ("TTGAAATAA", "GTGAAATAA", "ATGAAAAAA")], f"transcript_id string, seqid string, strand string, cds {part}, cds_seq string")
+    lengths = spark.createDataFrame([("c", 99)], "id string, length bigint")
+    found = lambda code: {r.transcript_id: r.completeness for r in models.candidates(m, lengths, code).collect()}
+    assert found(1) == {"TTGAAATAA": 2, "GTGAAATAA": 1, "ATGAAAAAA": 1} and found(11)["GTGAAATAA"] == 2
