@@ -6,7 +6,7 @@ import os
 import duckdb
 import pytest
 
-from loomgene.plans import genes, names, sequences  # noqa: F401
+from loomgene.plans import annotation, genes, names, sequences  # noqa: F401
 from loomgene.plans.registry import QUERIES, SQL
 
 
