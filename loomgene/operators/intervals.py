@@ -2,21 +2,42 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
-def as_of(left: DataFrame, right: DataFrame, by: list[str], on: str, take: list[str]) -> DataFrame:
+def _carried(rows: DataFrame, by: list[str], value: Column) -> DataFrame:
+    """by, __bin and __carry: the last value (not null) of the bins before each one, given a value a row.
+
+    One row a bin goes through the window, so a crowded key costs as many rows as it has bins.
+    """
+    last = rows.groupBy(*by, "__bin").agg(value.alias("__value"))
+    before = W.partitionBy(*by).orderBy("__bin").rowsBetween(W.unboundedPreceding, -1)
+    return last.select(*by, "__bin", F.last("__value", ignorenulls=True).over(before).alias("__carry"))
+
+
+def _joined(rows: DataFrame, carried: DataFrame, by: list[str]) -> DataFrame:
+    return rows.join(carried, [*by, "__bin"])
+
+
+def as_of(left: DataFrame, right: DataFrame, by: list[str], on: str, take: list[str], bin_size: int | None = None) -> DataFrame:
     """left with the `take` columns of the last row of right whose `on` lies strictly before; null if there is none.
 
-    One sort on (by, on) for both sides. Rows of right with equal `on`: the greatest values of `take`.
+    One sort on (by, on) for both sides; with a bin_size (of a number `on`) a sort in each bin, and the last row of the bins
+    before it comes by a join, so a crowded key spreads over tasks. Rows of right with equal `on`: the greatest values of `take`.
     """
     row = F.struct(*left.columns)
-    l = left.select(*by, F.col(on).alias("__at"), F.lit(0).alias("__kind"), row.alias("__row"), F.lit(None).cast(right.select(F.struct(*take).alias("s")).schema["s"].dataType).alias("__take"))
-    r = right.select(*by, F.col(on).alias("__at"), F.lit(1).alias("__kind"), F.lit(None).cast(left.select(row.alias("s")).schema["s"].dataType).alias("__row"), F.struct(*take).alias("__take"))
-    w = W.partitionBy(*by).orderBy("__at", "__kind", "__take").rowsBetween(W.unboundedPreceding, W.currentRow)
-    found = l.unionByName(r).withColumn("__last", F.last("__take", ignorenulls=True).over(w)).where("__kind = 0")
+    bin_ = F.floor(F.col(on) / bin_size) if bin_size else F.lit(0)
+    l = left.select(*by, bin_.alias("__bin"), F.col(on).alias("__at"), F.lit(0).alias("__kind"), row.alias("__row"), F.lit(None).cast(right.select(F.struct(*take).alias("s")).schema["s"].dataType).alias("__take"))
+    r = right.select(*by, bin_.alias("__bin"), F.col(on).alias("__at"), F.lit(1).alias("__kind"), F.lit(None).cast(left.select(row.alias("s")).schema["s"].dataType).alias("__row"), F.struct(*take).alias("__take"))
+    rows = l.unionByName(r)
+    w = W.partitionBy(*by, "__bin").orderBy("__at", "__kind", "__take").rowsBetween(W.unboundedPreceding, W.currentRow)
+    found = rows.withColumn("__last", F.last("__take", ignorenulls=True).over(w)).where("__kind = 0")
+    if bin_size:
+        bins = l.select(*by, "__bin", "__at", "__kind", "__take").unionByName(r.select(*by, "__bin", "__at", "__kind", "__take"))
+        top = F.max(F.when(F.col("__kind") == 1, F.struct("__at", "__take")))["__take"]
+        found = _joined(found, _carried(bins, by, top), by).withColumn("__last", F.coalesce("__last", "__carry"))
     return found.select("__row.*", *(F.col(f"__last.{c}").alias(c) for c in take))
 
 
@@ -31,14 +52,25 @@ def overlaps(left: DataFrame, right: DataFrame, by: list[str], bin_size: int) ->
     return l.join(r, [*by, "__bin"]).where(meet & (F.col("start") <= F.col("r_end")) & (F.col("r_start") <= F.col("end"))).drop("__bin")
 
 
-def outside(children: DataFrame, parents: DataFrame, by: list[str]) -> DataFrame:
-    """Children that lie in no interval of the parent rows of their key, whose bounds are r_start and r_end."""
-    inside = (F.col("c.start") >= F.col("p.r_start")) & (F.col("c.end") <= F.col("p.r_end"))
-    same = [F.col(f"c.{k}") == F.col(f"p.{k}") for k in by]
-    on = inside
-    for k in same:
-        on = on & k
-    return children.alias("c").join(parents.alias("p"), on, "left_anti")
+def outside(children: DataFrame, parents: DataFrame, by: list[str], bin_size: int = 1 << 16) -> DataFrame:
+    """Children that lie in no interval of the parent rows of their key, whose bounds are r_start and r_end.
+
+    An interval holds a child if, of those that begin no later, the one that reaches farthest reaches its end: a running
+    maximum in each bin of positions, and the maximum of the bins before it by a join; no pairs of one key are made.
+    """
+    row = F.struct(*children.columns)
+    kind = children.select(row.alias("s")).schema["s"].dataType
+    bin_ = lambda c: F.floor(F.col(c) / bin_size).alias("__bin")
+    c = children.select(*by, bin_("start"), F.col("start").alias("__at"), F.lit(1).alias("__kind"), F.lit(None).cast("bigint").alias("__reach"), row.alias("__row"))
+    p = parents.select(*by, bin_("r_start"), F.col("r_start").alias("__at"), F.lit(0).alias("__kind"), F.col("r_end").cast("bigint").alias("__reach"), F.lit(None).cast(kind).alias("__row"))
+    rows = c.unionByName(p)
+    w = W.partitionBy(*by, "__bin").orderBy("__at", "__kind").rowsBetween(W.unboundedPreceding, W.currentRow)
+    found = rows.withColumn("__own", F.max("__reach").over(w)).where("__kind = 1")
+    bins = c.select(*by, "__bin", "__reach").unionByName(p.select(*by, "__bin", "__reach")).groupBy(*by, "__bin").agg(F.max("__reach").alias("__reach"))
+    before = W.partitionBy(*by).orderBy("__bin").rowsBetween(W.unboundedPreceding, -1)  # a row a bin
+    found = _joined(found, bins.select(*by, "__bin", F.max("__reach").over(before).alias("__carry")), by)
+    reach = F.greatest(F.col("__own"), F.col("__carry"))
+    return found.where(reach.isNull() | (reach < F.col("__row.end"))).select("__row.*")
 
 
 def merge(df: DataFrame, by: list[str], gap: int = 1) -> DataFrame:
@@ -78,7 +110,7 @@ def shift(positions: DataFrame, edits: DataFrame, by: str) -> DataFrame:
     """
     w = W.partitionBy(by).orderBy("start0").rowsBetween(W.unboundedPreceding, -1)
     moved = edits.withColumn("offset", F.coalesce(F.sum(F.col("new_len") - F.col("old_len")).over(w), F.lit(0))).withColumn("position", F.col("start0"))
-    found = as_of(positions, moved, [by], "position", ["start0", "old_len", "new_len", "offset"])
+    found = as_of(positions, moved, [by], "position", ["start0", "old_len", "new_len", "offset"], 1 << 20)
     place = F.col("position") - F.col("start0")  # from 1 within the run
     begin = F.col("start0") + F.col("offset")
     in_run = F.when(F.col("new_len") == 0, F.when(F.col("kind") == "start", begin + 1).otherwise(begin)).otherwise(begin + F.least(place, F.col("new_len")))

@@ -26,9 +26,13 @@ class Options:
     fix_padding: bool = True
     replace_products: list[str] = field(default_factory=list)
     replace_with: str = "hypothetical protein"
+    gap_policy: str = "misc_feature"
+    least_intron: int = 10
+    infer_boundaries: bool = True
+    mrna: bool = True
     omit_redundant_mrna: bool = False
     header: render.Header | None = None
-    source: list[tuple[str, str]] = field(default_factory=lambda: [("organism", "unknown"), ("mol_type", "genomic DNA")])
+    source: list[tuple[str, str]] = field(default_factory=lambda: render.source("unknown"))
 
 
 def run(sequences: DataFrame, features: DataFrame, options: Options = Options()) -> dict[str, DataFrame]:
@@ -65,7 +69,11 @@ def run(sequences: DataFrame, features: DataFrame, options: Options = Options())
     annotation = stages.replaced_products(stages.annotation_table(features, o.locus_prefix), o.replace_products, o.replace_with)
     gaps = sequences.select(F.col("id").alias("seqid"), S.n_runs(F.col("sequence")).alias("gaps"))
     found = models.spliced(models.cds_models(features), sequences)
-    blocks = render.cds_blocks(found, gaps, annotation.drop("row_no"), o.code).unionByName(render.gap_blocks(gaps, o.gap_feature_least)).unionByName(render.other_blocks(features))
+    coding = render.cds_blocks(found, gaps, annotation.drop("row_no"), o.code, o.infer_boundaries, o.gap_policy, o.least_intron)
+    if o.mrna:  # a CDS has the place of its mRNA, so that it follows it
+        rna = cut(render.mrna_blocks(features, annotation), "mrna")
+        coding = coding.join(rna.select("transcript_id", F.col("at").alias("rna_at")), "transcript_id", "left").withColumn("at", F.coalesce("rna_at", "at")).drop("rna_at").unionByName(rna)
+    blocks = coding.drop("transcript_id").unionByName(render.gap_blocks(gaps, o.gap_feature_least)).unionByName(render.other_blocks(features))
     # written, so that the numbers of blocks are the same wherever they are read
     blocks = cut(review.with_locus(blocks).withColumn("block_no", F.monotonically_increasing_id()), "blocks")
     if o.fix_padding:

@@ -72,7 +72,8 @@ def test_interval_operators_against_brute_force(spark):
     want = sorted((x[1], y[1]) for x, y in itertools.product(left, right) if x[0] == y[0] and x[2] <= y[3] and y[2] <= x[3])
     assert rows(intervals.overlaps(l, r, ["k"], 16).select("i", "j"), "i", "j") == want
     want = sorted(x[1] for x in left if not any(x[0] == y[0] and y[2] <= x[2] and x[3] <= y[3] for y in right))
-    assert [x[0] for x in rows(intervals.outside(l, r, ["k"]).select("i"), "i")] == want
+    for size in (1 << 16, 7):
+        assert [x[0] for x in rows(intervals.outside(l, r, ["k"], size).select("i"), "i")] == want
     covered = {(k, p) for k, _, a, z in left for p in range(a, z + 1)}
     merged = rows(intervals.merge(l, ["k"]).select("k", "start", "end"), "k", "start")
     assert {(k, p) for k, a, z in merged for p in range(a, z + 1)} == covered
@@ -83,6 +84,12 @@ def test_as_of_is_strict(spark):
     l = spark.createDataFrame([("u", 1, 5), ("u", 2, 3), ("v", 3, 9)], "k string, i int, t int")
     r = spark.createDataFrame([("u", 3, "x"), ("u", 4, "y"), ("u", 5, "z")], "k string, t int, s string")
     assert rows(intervals.as_of(l, r, ["k"], "t", ["s"]).select("i", "s"), "i") == [(1, "y"), (2, None), (3, None)]
+    rng = random.Random(5)
+    left, right = [(rng.choice("ab"), i, rng.randint(0, 99)) for i in range(80)], [(rng.choice("ab"), rng.randint(0, 99), i) for i in range(40)]
+    want = [(i, max(((u, j) for m, u, j in right if m == k and u < t), default=(None, None))[1]) for k, i, t in left]
+    l, r = spark.createDataFrame(left, "k string, i int, t int"), spark.createDataFrame(right, "k string, t int, j int")
+    for size in (None, 10, 3):
+        assert rows(intervals.as_of(l, r, ["k"], "t", ["j"], size).select("i", "j"), "i") == want
 
 
 def test_clip_and_shift(spark):
@@ -164,7 +171,8 @@ def test_package(spark, genome, tmp_path):
     made = package.run(*genome, package.Options(locus_prefix="AB", gap_target=9, gap_least=5, gap_most=8, gap_feature_least=5))
     assert {r.id: r.sequence for r in made["sequences"].collect()}["c1"] == "ATGAAATTTGGGNNNNNNNNNCCCAAATAGTTT"
     body = [r.value for r in made["body"].orderBy("seq_no", "block", "line_in_block").collect()]
-    assert body[0] == "c1\tsource\t1..33\torganism\tunknown"
+    assert body[:4] == ["c1\tsource\t1..33\tff_definition\t@@[organism]@@ DNA, @@[submitter_seqid]@@", "\t\t\tmol_type\tgenomic DNA", "\t\t\torganism\tunknown", "\t\t\tsubmitter_seqid\t@@[entry]@@"]
+    assert body[4:8] == ["\tmRNA\tjoin(1..12,22..30)\tlocus_tag\tAB_g1", "\t\t\tnote\ttranscript_id:g1.t1", "\tCDS\tjoin(1..12,22..30)\tlocus_tag\tAB_g1", "\t\t\tnote\ttranscript_id:g1.t1"]
     assert "\tCDS\tjoin(1..12,22..30)\tlocus_tag\tAB_g1" in body and "\t\t\tproduct\tkinase A" in body
     assert "\tassembly_gap\t13..21\testimated_length\tknown" in body and "\ttRNA\t10..15\tproduct\ttRNA-Met" in body
     assert "\tCDS\tcomplement(1..6)\tlocus_tag\tAB_g3" in body
@@ -172,10 +180,10 @@ def test_package(spark, genome, tmp_path):
     p = str(tmp_path / "out")
     made["body"].coalesce(1).orderBy("seq_no", "block", "line_in_block").select("value").write.text(p)
     found = review.blocks(tables.submission_rows(spark, p))
-    assert {r.feature for r in found.collect()} == {"source", "CDS", "assembly_gap", "tRNA"}
+    assert {r.feature for r in found.collect()} == {"source", "mRNA", "CDS", "assembly_gap", "tRNA"}
     assert {r.warning for r in review.warnings(tables.submission_rows(spark, p)).collect()} == {"short_cds"}
     misc = review.stops_to_misc(found, spark.createDataFrame([("AB_g1",)], "locus string")).where("changed").first()
-    assert misc.feature == "misc_feature" and [q.key for q in misc.qualifiers] == ["locus_tag", "note", "note"]
+    assert misc.feature == "misc_feature" and [q.key for q in misc.qualifiers] == ["locus_tag", "note", "note", "artificial_location"]
 
 
 def test_package_runs_all_stages(spark, tmp_path):
@@ -188,9 +196,9 @@ def test_package_runs_all_stages(spark, tmp_path):
     read = lambda name: [r.value for part in sorted((tmp_path / "out" / name).glob("part-*")) for r in spark.read.text(str(part)).collect()]
     body = read("annotation")
     assert body[:2] == ["COMMON\tDATE\t\thold_date\t20270101", "\tDATATYPE\t\ttype\tWGS"] and "\t\t\tGenome Coverage\t30x" in body and "\t\t\tab_name\tC,D." in body
-    at = body.index("c1\tsource\t1..36\torganism\tunknown")
+    at = body.index("c1\tsource\t1..36\tff_definition\t@@[organism]@@ DNA, @@[submitter_seqid]@@")
     assert body[at - 2 : at] == ["\tST_COMMENT\t\ttagset_id\tGenome-Assembly-Data", "\t\t\tGenome Coverage\t30x"]
-    assert [x.split("\t")[1:2] + x.split("\t")[3:] for x in body[at + 2 :]] == [["misc_feature", "locus_tag", "AB_0001"], ["", "note", "transcript_id:AB_0001.t1"], ["", "note", "stop.ped"], ["CDS", "locus_tag", "AB_0002"], ["", "note", "transcript_id:AB_0002.t1"], ["", "product", "hypothetical protein"], ["", "transl_table", "1"], ["", "codon_start", "1"]]
+    assert [x.split("\t")[1:2] + x.split("\t")[3:] for x in body[at + 4 :] if "mRNA" not in x] == [["", "note", "transcript_id:AB_0001.t1"], ["misc_feature", "locus_tag", "AB_0001"], ["", "note", "transcript_id:AB_0001.t1"], ["", "note", "stop.ped"], ["", "note", "transcript_id:AB_0002.t1"], ["CDS", "locus_tag", "AB_0002"], ["", "note", "transcript_id:AB_0002.t1"], ["", "product", "hypothetical protein"], ["", "transl_table", "1"], ["", "codon_start", "1"]]
     features = read("features")
     assert features[0] == "##gff-version 3" and [x.split("\t")[2] for x in features[1:]] == ["gene", "mRNA", "CDS"] * 2 and features[1].endswith("ID=AB_0001")
     review_rows = read("review")
@@ -346,6 +354,23 @@ def test_feature_keys_and_classes(spark):
     assert got[0][1] == "other" and got[3][2] == "polyA_signal_sequence" and got[8][2] == "other" and got[4][3] == "unknown" and got[5][3] == "processed" and got[1][3] is None
 
 
+def test_cds_block_policies(spark):
+    part = "array<struct<start:bigint,end:bigint,phase:string,row_no:bigint>>"
+    made = [("cut", "c", "+", [(1, 30, "0", 1)], "ATG" + "A" * 24 + "TAA"), ("short", "c", "-", [(101, 109, "0", 2), (115, 120, "1", 3)], "GAAAAAAAAAAAAAA"), ("whole", "c", "+", [(201, 206, "0", 4)], "ATGTAA")]
+    m = spark.createDataFrame(made, f"transcript_id string, seqid string, strand string, cds {part}, cds_seq string")
+    gaps = spark.createDataFrame([("c", [(10, 12)])], "seqid string, gaps array<struct<start:bigint,end:bigint>>")
+    a = spark.createDataFrame([(x[0], f"{x[0]} -like kinase", f"L_{x[0]}") for x in made], "ID string, Description string, Locus_tag string")
+    ids = spark.createDataFrame([("whole", "P1")], "transcript_id string, protein_id string")
+    of = lambda policy: {r.transcript_id: (r.feature, r.location, [q.key for q in r.qualifiers]) for r in render.cds_blocks(m, gaps, a, gap_policy=policy, protein_ids=ids).collect()}
+    base = ["locus_tag", "note", "product", "transl_table", "codon_start"]
+    misc, asis = of("misc_feature"), of("asis")
+    assert misc["cut"] == ("misc_feature", "join(1..9,13..30)", base[:2]) and asis["cut"] == ("CDS", "join(1..9,13..30)", [*base, "artificial_location"])
+    assert misc["short"] == ("CDS", "complement(join(<101..109,115..>120))", [*base, "artificial_location"])
+    assert misc["whole"] == ("CDS", "201..206", [*base, "protein_id"])
+    first = render.cds_blocks(m, gaps, a).where("transcript_id = 'whole'").first()
+    assert first.qualifiers[2].value == "whole-like kinase"
+
+
 def test_start_codons_of_the_code(spark):
     part = "array<struct<start:bigint,end:bigint,phase:string,row_no:bigint>>"
     m = spark.createDataFrame([(s, "c", "+", [(1, len(s), "0", 1)], s) for s in ("TTGAAATAA", "GTGAAATAA", "ATGAAAAAA")], f"transcript_id string, seqid string, strand string, cds {part}, cds_seq string")
