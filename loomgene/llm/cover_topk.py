@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from loomgene.llm import store
 
 SAMPLE, LEAVES = 4096, 128
-QUERY_GROUP, DATA_BLOCK = 16_384, 8_192
+QUERY_GROUP, DATA_BLOCK = 16_384, 4_096
 LEAF, FAN = 64, 8
 #: Rows scored at once for a query leaf.
 BATCH = 512

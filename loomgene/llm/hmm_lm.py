@@ -10,8 +10,8 @@ words of a text come by a join.
 
 Baum-Welch runs over all training tokens in every iteration; texts are cut into sequences of
 at most SEQUENCE tokens for that. Scores come from the scaled forward recursion over whole
-texts; one of more than SEGMENT tokens goes through it in segments side by side, from every
-state at once, whose matrices are then multiplied in order. Base scores are add-ALPHA unigrams.
+texts; one of more than LONG tokens goes through it in segments of SEGMENT side by side, from
+every state at once, whose matrices are then multiplied in order. Base scores are add-ALPHA unigrams.
 
 Null text: empty, the end token alone. A null doc_id is not held out. Rows are scored one by
 one, whatever their doc_id. Without training texts every count is 0. A text of 100 MB takes
@@ -37,7 +37,7 @@ OWN_CLASSES, SUFFIX_CLASSES = 4095, 4096
 CLASSES = OWN_CLASSES + SUFFIX_CLASSES + 1
 END = CLASSES - 1
 HEAD_WORDS = 1 << 20
-SEGMENT = 4096
+LONG, SEGMENT = 65_536, 4096
 _SUFFIX_BYTES = 3
 _U = np.uint64
 _CHUNK = 256
@@ -176,34 +176,39 @@ def _sequences(codes: list[bytes], most: int | None) -> tuple[np.ndarray, np.nda
 def _forward(m: Model, obs: np.ndarray, starts: np.ndarray, lengths: np.ndarray, a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The scaled recursion, in step over sequences (longest first), from the states `a` before the first emission: states after the last one, log10 of all scales."""
     active = np.searchsorted(-lengths, -np.arange(1, lengths[0] + 1), side="right").tolist() if len(lengths) else []
-    a, total = a.copy(), np.zeros(len(lengths))
+    ends, a, total = a.copy(), a, np.zeros(len(lengths))
     for t, n in enumerate(active):
-        now = a[:n] @ m.move if t else a[:n]
-        now = now * m.emit[obs[starts[:n] + t]]
-        c = now.sum(1)
-        a[:n] = now / c[:, None]
+        if n < len(a):  # those that ended keep their last states
+            ends[n : len(a)] = a[n:]
+        a = (a[:n] @ m.move if t else a[:n]) * m.emit[obs[starts[:n] + t]]
+        c = a.sum(1)
+        a /= c[:, None]
         total[:n] += np.log10(c)
-    return a, total
+    ends[: len(a)] = a
+    return ends, total
 
 
 def log10_likelihood(m: Model, codes: list[bytes]) -> np.ndarray:
     """log10 of the probability of each whole sequence."""
     sizes = np.array([len(c) // 2 for c in codes], np.int64)
     out, k = np.zeros(len(codes)), len(m.start)
-    short = np.flatnonzero(sizes <= SEGMENT)
+    short, long = np.flatnonzero(sizes <= LONG), np.flatnonzero(sizes > LONG)
     order = short[np.argsort(-sizes[short], kind="stable")]
     obs, starts, lengths = _sequences([codes[i] for i in short], None)
     out[order] = _forward(m, obs, starts, lengths, np.tile(m.start, (len(order), 1)))[1]
-    for i in np.flatnonzero(sizes > SEGMENT):
-        obs, starts, lengths = _sequences([codes[i]], SEGMENT)
-        begin = np.tile(np.eye(k), (len(starts), 1))
-        first = np.repeat(starts == 0, k)
-        begin[~first] = begin[~first] @ m.move
-        ends, logs = _forward(m, obs, np.repeat(starts, k), np.repeat(lengths, k), begin)
-        order = np.argsort(starts, kind="stable")
-        ends, logs = ends.reshape(-1, k, k)[order], logs.reshape(-1, k)[order]
+    if not len(long):
+        return out
+    obs, starts, lengths = _sequences([codes[i] for i in long], SEGMENT)
+    edge = np.append(0, np.cumsum(sizes[long]))
+    begin = np.tile(np.eye(k), (len(starts), 1))
+    later = np.repeat(~np.isin(starts, edge), k)  # segments that don't begin their text
+    begin[later] = begin[later] @ m.move
+    ends, logs = _forward(m, obs, np.repeat(starts, k), np.repeat(lengths, k), begin)
+    order = np.argsort(starts, kind="stable")
+    starts, ends, logs = starts[order], ends.reshape(-1, k, k)[order], logs.reshape(-1, k)[order]
+    for i, first, last in zip(long.tolist(), np.searchsorted(starts, edge[:-1]).tolist(), np.searchsorted(starts, edge[1:]).tolist(), strict=True):
         a = m.start
-        for step, scale in zip(ends, logs, strict=True):  # a row of step for each state at the beginning
+        for step, scale in zip(ends[first:last], logs[first:last], strict=True):  # a row of step for each state at the beginning
             most = scale.max()
             a = (a * 10.0 ** (scale - most)) @ step
             c = a.sum()

@@ -192,6 +192,7 @@ def test_long_sequences_in_segments(monkeypatch):
     m = hmm_lm.first_model(rng.integers(1, 9, hmm_lm.CLASSES).astype(float), 4)
     obs = [rng.integers(0, hmm_lm.CLASSES, n).astype(np.uint16) for n in (3, 700, 64, 65, 1, 129)]
     monkeypatch.setattr(hmm_lm, "SEGMENT", 64)
+    monkeypatch.setattr(hmm_lm, "LONG", 64)
     assert hmm_lm.log10_likelihood(m, [o.tobytes() for o in obs]) == pytest.approx([slow_forward(m, o) for o in obs])
 
 
