@@ -28,11 +28,11 @@ PART = 1 << 20
 _BREAK = re.compile("[A-Za-z](?= [A-Za-z])")
 
 
-def whole_tokens(bpe: tokens.Bpe) -> frozenset[str]:
+def whole_tokens(bpe: tokens.Bpe, split: tokens.Splitter | None = None) -> frozenset[str]:
     """Vocabulary strings that stand alone as one pre-token and encode as exactly one id."""
     if bpe.fast is None:
         return frozenset()
-    to_byte, split, out = tokens.byte_chars(), tokens.Splitter(bpe.library), []
+    to_byte, split, out = tokens.byte_chars(), split or tokens.Splitter(bpe.library), []
     for token in bpe.library.get_vocab():
         try:
             s = bytes(to_byte[c] for c in token).decode()
@@ -72,8 +72,8 @@ def parts(text: str) -> Iterator[str]:
 
 def _count(batches: Iterator[pa.RecordBatch], spec, whole) -> Iterator[pa.RecordBatch]:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    bpe, known = tokens.Bpe(spec.value), whole.value
-    split = tokens.Splitter(bpe.library) if bpe.fast else None
+    bpe, (known, pattern) = tokens.Bpe(spec.value), whole.value
+    split = tokens.Splitter(bpe.library, pattern) if bpe.fast else None
     lengths = _Lengths(known, bpe.fast) if bpe.fast else None
     for b in blocks.slices(batches):
         n, sizes = [], []
@@ -95,5 +95,7 @@ def count_tokens(docs: DataFrame, tokenizer: str) -> DataFrame:
     spark = docs.sparkSession
     store.import_path(spark)
     text = tokens.read_spec(tokenizer)
-    spec, whole = spark.sparkContext.broadcast(text), spark.sparkContext.broadcast(whole_tokens(tokens.Bpe(text)))
+    bpe = tokens.Bpe(text)
+    split = tokens.Splitter(bpe.library) if bpe.fast else None  # what the library says of the characters is asked once
+    spec, whole = spark.sparkContext.broadcast(text), spark.sparkContext.broadcast((whole_tokens(bpe, split), split and split.pattern.pattern))
     return docs.select("doc_id", "text").mapInArrow(lambda it: _count(it, spec, whole), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_bytes bigint, n_tokens bigint")

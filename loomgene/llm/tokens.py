@@ -29,19 +29,22 @@ class Splitter:
     The library splits a few long strings in which each character of the plane stands behind
     a letter, a number and a sign; which one it joins is its kind. From these ranges comes one
     pattern for the re module. Characters beyond the plane are replaced by one of their kind
-    before the text is split; they are asked for one by one.
+    before the text is split; they are asked for one by one. The pattern of another splitter may be given.
     """
 
-    def __init__(self, library):
+    def __init__(self, library, pattern: str | None = None):
         self.split = library.pre_tokenizer.pre_tokenize_str
+        self.kind: dict[int, str] = {}
+        self.pattern = re.compile(pattern or self._pattern())
+
+    def _pattern(self) -> str:
         points = [c for c in range(_TOP) if not 0xD800 <= c < 0xE000]
         kinds = np.full(_TOP, "space", object)
         for kind in ("letter", "number", "sign"):
             kinds[self._joined(points, _KINDS[kind])] = kind
         ranges = {k: _ranges(np.flatnonzero(kinds == k)) for k in ("letter", "number", "space")}
         letter, number, space = ranges["letter"], ranges["number"], ranges["space"]
-        self.pattern = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{letter}]+| ?[{number}]+| ?[^{space}{letter}{number}]+|[{space}]+(?![^{space}])|[{space}]+")
-        self.kind: dict[int, str] = {}
+        return f"'s|'t|'re|'ve|'m|'ll|'d| ?[{letter}]+| ?[{number}]+| ?[^{space}{letter}{number}]+|[{space}]+(?![^{space}])|[{space}]+"
 
     def _joined(self, points: list[int], before: str) -> list[int]:
         """The characters that are one pre-token with this one before them."""
