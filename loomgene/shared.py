@@ -1,4 +1,4 @@
-"""Where iterative operators cut their lineage, and what is small enough to broadcast."""
+"""Where iterative operators cut their lineage, and numbers over sorted rows."""
 
 from __future__ import annotations
 
@@ -9,15 +9,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-#: A side of a join is marked for broadcast only if its rows are counted to be within this.
-BROADCAST_ROWS = 200_000
-
-
 def cut(df: DataFrame, name: str) -> DataFrame:
-    """df written as Parquet below spark.checkpoint.dir (a new local folder where that is unset) and read back."""
+    """df written as Parquet below spark.checkpoint.dir and read back; where that is unset, below a new local folder in local mode, and an error on a cluster."""
     spark = df.sparkSession
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="loomgene-")
         spark.conf.set("spark.checkpoint.dir", root)
     path = f"{root}/{name}-{uuid.uuid4().hex}"
@@ -25,11 +23,6 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def few(df: DataFrame) -> DataFrame:
-    """df, narrow and cheap to count, marked for broadcast if it has at most BROADCAST_ROWS rows."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
-
-
 def numbered(df: DataFrame, order: list[str], name: str) -> DataFrame:
     """df with `name`: 1, 2, 3, ... in this order, which must have no ties.
 
