@@ -153,11 +153,12 @@ def q_stops_to_misc(spark, sf_dir):
 
 
 @query("""
-WITH x AS (SELECT l_orderkey, l_linenumber, l_partkey, CAST(l_quantity AS BIGINT) AS n, CASE WHEN l_linenumber = 1 THEN 0 ELSE l_suppkey % 3 END AS phase FROM lineitem),
-y AS (SELECT *, coalesce(sum(n) OVER w, 0) AS before, first(phase) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey) AS f FROM x WINDOW w AS (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
-SELECT l_orderkey AS id, order_no, phase, CAST((((f - before) % 3) + 3) % 3 AS BIGINT) AS expected FROM (SELECT *, l_linenumber * 1000000 + l_partkey AS order_no FROM y) WHERE phase <> (((f - before) % 3) + 3) % 3""")
+WITH x AS (SELECT l_orderkey, ((CAST(l_linenumber AS BIGINT) * 1000000 + l_partkey) * 100000 + l_suppkey) * 100 + CAST(l_quantity AS BIGINT) AS order_no, CAST(l_quantity AS BIGINT) AS n, CASE WHEN l_linenumber = 1 THEN 0 ELSE l_suppkey % 3 END AS phase FROM lineitem),
+y AS (SELECT *, coalesce(sum(n) OVER w, 0) AS before, first(phase) OVER (PARTITION BY l_orderkey ORDER BY order_no) AS f FROM x WINDOW w AS (PARTITION BY l_orderkey ORDER BY order_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+SELECT l_orderkey AS id, order_no, phase, CAST((((f - before) % 3) + 3) % 3 AS BIGINT) AS expected FROM y WHERE phase <> (((f - before) % 3) + 3) % 3""")
 def q_phase_breaks(spark, sf_dir):
-    c = T.table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("id"), (F.col("l_linenumber") * 1000000 + F.col("l_partkey")).alias("order_no"), F.col("l_quantity").cast("bigint").alias("length"), F.when(F.col("l_linenumber") == 1, F.lit(0)).otherwise(F.col("l_suppkey") % 3).cast("bigint").alias("phase"))
+    order = ((F.col("l_linenumber").cast("bigint") * 1_000_000 + F.col("l_partkey")) * 100_000 + F.col("l_suppkey")) * 100 + F.col("l_quantity").cast("bigint")
+    c = T.table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("id"), order.alias("order_no"), F.col("l_quantity").cast("bigint").alias("length"), F.when(F.col("l_linenumber") == 1, F.lit(0)).otherwise(F.col("l_suppkey") % 3).cast("bigint").alias("phase"))
     return organelles.phase_breaks(c).select("id", "order_no", "phase", F.col("expected").cast("bigint").alias("expected"))
 
 
