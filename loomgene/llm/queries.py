@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomgene.llm import cover_topk, decontaminate, hmm_lm, langid, minmax_dedup, packing, secret_scan, substring_dedup, token_count, url_filter
+from loomgene.llm import collocations, cover_topk, decontaminate, hard_negatives, hmm_lm, langid, line_dedup, minmax_dedup, packing, secret_scan, substring_dedup, token_count, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,6 +65,21 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs.select("doc_id", held_out.alias("held_out"), "text"), model).drop("text")
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return line_dedup.apply(docs, line_dedup.keep_bitmaps(docs), text=False)
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.col("label").cast("bigint")
+    moved = F.when(F.coalesce(F.col("vec_id") % 7 == 0, F.lit(False)), (label + 1) % 10).otherwise(label)
+    return hard_negatives.mine(hard_negatives.participants(_table(spark, sf_dir, "embeddings"), F.col("vec_id"), moved, F.col("embedding")))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.phrases(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -78,6 +93,9 @@ QUERIES = {
         op8_substring_dedup,
         op9_token_counts,
         op10_language_id,
+        op11_line_dedup,
+        op12_hard_negatives,
+        op13_collocations,
     )
 }
 SQL: dict[str, str] = {
@@ -86,4 +104,7 @@ SQL: dict[str, str] = {
     "op5_url_filters": url_filter.sql(),
     "op7_minmax_near_dedup": minmax_dedup.sql(),
     "op8_substring_dedup": substring_dedup.sql(),
+    "op11_line_dedup": line_dedup.sql(),
+    "op12_hard_negatives": hard_negatives.SQL,
+    "op13_collocations": collocations.SQL,
 }
