@@ -1,22 +1,23 @@
 """Phrases by hierarchical pair naming: a frequent k-gram is a pair of frequent (k-1)-grams that overlap.
 
-1. Each task turns the texts of a block into numbers of the block's own distinct words (exact, no
-   hashes), with a break between pieces, and counts them. Spark adds the counts up by language
-   and word and gives the frequent ones global ids.
-2. For k = 2 to 5: ids come back to the blocks that use them (one row for each distinct item of a
-   block), each block replaces its numbers by ids, breaks where an item isn't frequent, and
-   numbers its distinct pairs of adjacent ids. Spark adds these up by pair: a pair that is
-   frequent gets an id and is a k-gram, its two ids are its parents.
+1. Each task turns the texts of a block into numbers of the block's own distinct words, with a
+   break between pieces, and counts them. Words are dealt to buckets by a hash, where the
+   counts of all blocks are added up by language and word (the words themselves are compared) and
+   the frequent ones get global ids.
+2. For k = 2 to 5: ids come back to the blocks that use them, each block replaces its numbers by
+   ids, breaks where an item isn't frequent, and numbers its distinct pairs of adjacent ids.
+   Pairs meet in buckets in the same way: a pair that is frequent over all blocks gets an id and
+   is a k-gram, its two ids are its parents.
 3. The parents are the way back: the left parent of a phrase is the phrase without its last word,
    the right one that without its first, so counts of all prefixes and suffixes (and so all
    cuts) come level by level from joins with the parents, and a phrase lies in a longer one of as
    many occurrences if and only if it is a parent of such a one (counts of phrases in between lie
    in between).
 
-What leaves a block are distinct items with counts; a frequent word costs a row a block. Blocks hold
-about BLOCK bytes; a longer text is divided at breaks between pieces, so no phrase is lost. A
-piece of any length stays whole in its block. Ids are joined by broadcast if their table is
-measured to be small, else by a shuffle, in which Spark splits the rows of frequent items.
+What leaves a block are its distinct items with their counts, packed (about six bytes a pair), so however
+frequent an item is, it costs one entry a block. Blocks hold about BLOCK bytes; a longer text is
+divided at breaks between pieces, so no phrase is lost, and a piece of any length stays whole. There are
+as many buckets as the measured bytes of text ask for (BUCKET_TEXT each). Nothing is broadcast.
 
 Words are `[^\\x20\\x09]+` of the pieces between any of `.,;:!?\\x0A-\\x0D`, A-Z lower-cased. Null or
 empty text has no words; null language is `und`, together with rows that say so. Languages without
@@ -28,6 +29,7 @@ from __future__ import annotations
 
 import re
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,24 +42,30 @@ from pyspark.sql import functions as F
 from loomgene.llm import blocks, store
 
 LEAST, LONGEST, TOP, SHARE = 100, 5, 2000, 100
+#: Text of one block.
 BLOCK = 4 << 20
+#: Text whose items share a bucket.
+BUCKET_TEXT = 32 << 20
 _BREAK = re.compile(rb"[.,;:!?\n-\r]")
 _BREAKS = np.zeros(256, bool)
 _BREAKS[list(b".,;:!?\n\v\f\r")] = True
 _WORD = ~_BREAKS
 _WORD[[0x20, 0x09]] = False
-_BLOCKS = "block bigint, lang string, n bigint, codes binary, words array<string>, counts array<bigint>"
-_STATE = "block bigint, codes binary, lefts array<bigint>, rights array<bigint>, counts array<bigint>"
+_STATE = "block bigint, lang string, n bigint, codes binary, bucket int, first bigint, words array<string>, lefts binary, rights binary, counts binary"
+_STATE_ARROW = pa.schema([("block", pa.int64()), ("lang", pa.string()), ("n", pa.int64()), ("codes", pa.binary()), ("bucket", pa.int32()), ("first", pa.int64()), ("words", pa.list_(pa.string())), ("lefts", pa.binary()), ("rights", pa.binary()), ("counts", pa.binary())])
+_MET = "block bigint, numbers binary, ids binary, lang string, word string, `left` bigint, `right` bigint, a bigint, id bigint"
+_MET_ARROW = pa.schema([("block", pa.int64()), ("numbers", pa.binary()), ("ids", pa.binary()), ("lang", pa.string()), ("word", pa.string()), ("left", pa.int64()), ("right", pa.int64()), ("a", pa.int64()), ("id", pa.int64())])
 
 
-def _packed(codes: np.ndarray) -> bytes:
-    """Numbers from -1; two bytes each where they fit, which the first byte says."""
-    kind = np.int16 if not len(codes) or codes.max() < 1 << 15 else np.int32
-    return bytes([np.dtype(kind).itemsize]) + codes.astype(kind).tobytes()
+def _packed(numbers: np.ndarray) -> bytes:
+    """Numbers from -1 in as few bytes each as they need, which the first byte says."""
+    most = int(numbers.max(initial=0))
+    kind = next(t for t in (np.int8, np.int16, np.int32, np.int64) if most <= np.iinfo(t).max)
+    return bytes([np.dtype(kind).itemsize]) + numbers.astype(kind).tobytes()
 
 
 def _unpacked(raw: bytes) -> np.ndarray:
-    return np.frombuffer(raw, np.int16 if raw[0] == 2 else np.int32, offset=1)
+    return np.frombuffer(raw, {1: np.int8, 2: np.int16, 4: np.int32, 8: np.int64}[raw[0]], offset=1)
 
 
 def _texts(batch: pa.RecordBatch) -> Iterator[tuple[str, bytes]]:
@@ -77,8 +85,8 @@ def _texts(batch: pa.RecordBatch) -> Iterator[tuple[str, bytes]]:
             yield lang, raw[at:] if at else raw
 
 
-def _words(raw: bytes) -> tuple[np.ndarray, pa.Array, np.ndarray]:
-    """Each word's number, with -1 before each piece; the distinct words; their counts."""
+def _words(raw: bytes) -> tuple[np.ndarray, pa.Array]:
+    """Each word's number, with -1 before each piece, and the distinct words."""
     buf = np.frombuffer(raw, np.uint8)
     inside = np.zeros(len(buf) + 2, bool)
     inside[1:-1] = _WORD[buf]
@@ -90,58 +98,89 @@ def _words(raw: bytes) -> tuple[np.ndarray, pa.Array, np.ndarray]:
     codes = found.indices.to_numpy()
     pieces = np.cumsum(_BREAKS[buf], dtype=np.int32)[starts] if len(starts) else starts
     new = np.flatnonzero(np.diff(pieces, prepend=-1))
-    return np.insert(codes, new, -1), found.dictionary.cast(pa.string()), np.bincount(codes, minlength=len(found.dictionary))
+    return np.insert(codes, new, -1), found.dictionary.cast(pa.string())
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _dealt(block: int, codes: np.ndarray, bucket: np.ndarray, counts: np.ndarray, items, **own) -> pa.RecordBatch:
+    """A block's row (its codes) and a row for each bucket that gets some of its items, which are numbered anew by bucket.
+
+    items(order): what says which items these are, as a function of a slice of the order.
+    """
+    order = np.argsort(bucket, kind="stable")
+    number = np.empty(len(order) + 1, np.int64)
+    number[order], number[-1] = np.arange(len(order)), -1
+    full, first = np.unique(bucket[order], return_index=True)
+    rows = [{"block": block, "codes": _packed(number[codes]), "n": int(counts.sum())} | own]
+    for b, x, y in zip(full.tolist(), first.tolist(), [*first[1:].tolist(), len(order)], strict=True):
+        rows.append({"block": block, "bucket": b, "first": x, "counts": _packed(counts[order[x:y]])} | own | items(order[x:y]))
+    return pa.RecordBatch.from_pylist(rows, schema=_STATE_ARROW)
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
     block = TaskContext.get().partitionId() << 32
     for batch in batches:
         for lang, raw in _texts(batch):
-            codes, words, counts = _words(raw)
-            if len(words):
-                row = {"block": pa.array([block]), "lang": pa.array([lang]), "n": pa.array([int(counts.sum())]), "codes": pa.array([_packed(codes)], pa.binary())}
-                lists = {c: pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), v) for c, v in (("words", words), ("counts", pa.array(counts, pa.int64())))}
-                yield pa.RecordBatch.from_pydict(row | lists)
-                block += 1
+            codes, words = _words(raw)
+            if not len(words):
+                continue
+            salt = zlib.crc32(lang.encode())
+            bucket = np.array([zlib.crc32(w.as_buffer(), salt) % buckets for w in words], np.int32)
+            yield _dealt(block, codes, bucket, np.bincount(codes[codes >= 0], minlength=len(words)), lambda at: {"words": words.take(pa.array(at)).to_pylist()}, lang=lang)
+            block += 1
 
 
-def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A block's numbers (column codes), of which those in `named` (number, id) are frequent, as numbers of pairs of adjacent ids."""
+def _pairs(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    """A block's numbers (column codes), of which those in `named` are frequent, as numbers of pairs of adjacent ids."""
     for batch in batches:
-        for i in range(batch.num_rows):
-            codes = _unpacked(batch.column(1)[i].as_py())
-            named = batch.column(2)[i].values
-            number, name = named.field("number").to_numpy(), named.field("id").to_numpy()
+        for block, raw, named in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
+            codes = _unpacked(raw.as_py())
+            number = np.concatenate([_unpacked(x["numbers"].as_py()) for x in named])
+            name = np.concatenate([_unpacked(x["ids"].as_py()) for x in named]).astype(np.int64)
+            name, number = (x[np.argsort(name)] for x in (name, number))  # so pairs come by their left id
             own = np.full(int(max(codes.max(initial=0), number.max(initial=0))) + 2, -1, np.int64)  # the last stands for breaks
             own[number] = np.arange(len(number))
             at = own[codes]
             at = at[(at >= 0) | np.concatenate([at[:1] >= 0, at[:-1] >= 0])]  # one break in a row is enough
             both = (at[:-1] >= 0) & (at[1:] >= 0)
             key, which, n = np.unique(at[:-1][both] * len(number) + at[1:][both], return_inverse=True, return_counts=True)
-            if not len(key):
-                continue
-            out = np.full(len(both), -1, np.int64)
-            out[both] = which
-            lists = (name[key // len(number)], name[key % len(number)], n)
-            columns = [pa.ListArray.from_arrays(pa.array([0, len(key)], pa.int32()), pa.array(x, pa.int64())) for x in lists]
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, 1), pa.array([_packed(out)], pa.binary()), *columns], names=["block", "codes", "lefts", "rights", "counts"])
-
-
-def _items(state: DataFrame, plain: list[str], arrays: list[str]) -> DataFrame:
-    """block, number, the columns (one element of each of the arrays) and n: a row an item of a block."""
-    each = state.select("block", *plain, F.posexplode(F.arrays_zip(*arrays, "counts")).alias("number", "x"))
-    return each.select("block", *plain, "number", *(F.col(f"x.{c}").alias(c) for c in arrays), F.col("x.counts").alias("n"))
-
-
-def _frequent(items: DataFrame, by: list[str], least: int, name: str) -> DataFrame:
-    """by, a and id of the items that occur `least` times or more."""
-    return store.cut(items.groupBy(*by).agg(F.sum("n").alias("a")).where(F.col("a") >= least).withColumn("id", F.monotonically_increasing_id()), name)
-
-
-def _named(items: DataFrame, frequent: DataFrame, by: list[str], row_bytes: int | str) -> DataFrame:
-    """block and the (number, id) of its frequent items."""
-    found = items.join(store.small(frequent.select(*by, "id"), row_bytes), by)
-    return found.groupBy("block").agg(F.collect_list(F.struct("number", "id")).alias("named"))
+            if len(key):
+                out = np.full(len(both), -1, np.int64)
+                out[both] = which
+                left, right = name[key // len(number)], name[key % len(number)]
+                mixed = blocks.mix(left.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + right.astype(np.uint64))
+                bucket = (mixed % np.uint64(buckets)).astype(np.int32)
+                yield _dealt(block, out, bucket, n, lambda at: {"lefts": _packed(np.diff(left[at], prepend=0)), "rights": _packed(right[at])})  # noqa: B023
+
+
+def _meet(table: pa.Table, least: int, buckets: int) -> pa.Table:
+    """Of one bucket: the items that are frequent over all blocks, with new ids, and for each block the numbers of those it holds."""
+    counts = [_unpacked(c) for c in table.column("counts").to_pylist()]
+    n = np.concatenate(counts).astype(np.int64)
+    sizes = [len(c) for c in counts]
+    if table.column("words").null_count:
+        left = np.concatenate([np.cumsum(_unpacked(x).astype(np.int64)) for x in table.column("lefts").to_pylist()])
+        right = np.concatenate([_unpacked(x).astype(np.int64) for x in table.column("rights").to_pylist()])
+        (ls, x), (rs, y) = (np.unique(v, return_inverse=True) for v in (left, right))
+        says = lambda k: {"left": ls[k // len(rs)].tolist(), "right": rs[k % len(rs)].tolist()}
+    else:
+        langs = table.column("lang").combine_chunks().dictionary_encode()
+        words = pa.concat_arrays([c.flatten() for c in table.column("words").chunks]).dictionary_encode()
+        x, y, rs = np.repeat(langs.indices.to_numpy(), sizes), words.indices.to_numpy(), words.dictionary
+        says = lambda k: {"lang": langs.dictionary.take(pa.array(k // len(rs))).to_pylist(), "word": rs.take(pa.array(k % len(rs))).to_pylist()}
+    key, which = np.unique(x.astype(np.int64) * len(rs) + y, return_inverse=True)
+    total = np.bincount(which, n, len(key)).astype(np.int64)  # sums below 2**53 are exact
+    often = np.flatnonzero(total >= least)
+    name = np.full(len(key), -1, np.int64)
+    name[often] = np.arange(len(often)) * buckets + table.column("bucket")[0].as_py()  # close to dense, so ids stay short
+    found = {"a": total[often].tolist(), "id": name[often].tolist()} | says(key[often])
+    rows = [dict(zip(found, values, strict=True)) for values in zip(*found.values(), strict=True)]
+    ids, at = name[which], 0
+    for block, first, size in zip(table.column("block").to_pylist(), table.column("first").to_pylist(), sizes, strict=True):
+        own = ids[at : at + size]
+        if (own >= 0).any():
+            rows.append({"block": block, "numbers": _packed(np.flatnonzero(own >= 0) + first), "ids": _packed(own[own >= 0])})
+        at += size
+    return pa.Table.from_pylist(rows, schema=_MET_ARROW)
 
 
 def _heavy(df: DataFrame, name: str) -> DataFrame:
@@ -156,21 +195,22 @@ def ngrams(docs: DataFrame, least: int = LEAST, longest: int = LONGEST) -> tuple
 
     Of length 1: lang, word, a, id; of length k: left, right (ids of the phrases of k - 1 words that begin and end it), a, id.
     """
-    store.import_path(docs.sparkSession)
+    spark = docs.sparkSession
+    store.import_path(spark)
     texts = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
-    found = _heavy(texts.mapInArrow(_blocks, _BLOCKS), "blocks")
-    totals = found.groupBy("lang").agg(F.sum("n").alias("n"))
-    items, by, width = _items(found, ["lang"], ["words"]).withColumnRenamed("words", "word"), ["lang", "word"], "40 + octet_length(lang) + octet_length(word)"
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_TEXT))
+    found = _heavy(texts.mapInArrow(lambda it: _blocks(it, buckets), _STATE), "words")
+    totals = found.where("codes is not null").groupBy("lang").agg(F.sum("n").alias("n"))
     levels = []
     for k in range(1, longest + 1):
-        frequent = _frequent(items, by, least, f"grams{k}")
-        levels.append(frequent)
-        if k == longest:
-            break
-        named = _named(items, frequent, by, width)
-        state = found.select("block", "codes").join(named, "block").select("block", "codes", "named")
-        found = _heavy(state.mapInArrow(_pairs, _STATE), f"pairs{k + 1}")
-        items, by, width = _items(found, [], ["lefts", "rights"]).withColumnsRenamed({"lefts": "left", "rights": "right"}), ["left", "right"], 40
+        items = found.where("bucket is not null").select("bucket", "block", "lang", "first", "words", "lefts", "rights", "counts")
+        met = store.cut(items.groupBy("bucket").applyInArrow(lambda t: _meet(t, least, buckets), _MET), f"grams{k}")
+        levels.append(met.where("id is not null").select(*(["lang", "word"] if k == 1 else ["left", "right"]), "a", "id"))
+        if k < longest:
+            named = met.where("block is not null").groupBy("block").agg(F.collect_list(F.struct("numbers", "ids")).alias("named"))
+            state = found.where("codes is not null").select("block", "codes").join(named, "block").select("block", "codes", "named")
+            found = _heavy(state.mapInArrow(lambda it: _pairs(it, buckets), _STATE), f"pairs{k + 1}")
     return totals, levels
 
 
