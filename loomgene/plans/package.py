@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomgene.functions import sequence as S
-from loomgene.operators import models, render, review, stages
+from loomgene.operators import models, render, review, stages, traversal
 from loomgene.shared import cut, numbered
 from loomgene.sources import fasta, gff3, tables
 
@@ -31,12 +31,14 @@ class Options:
     infer_boundaries: bool = True
     mrna: bool = True
     omit_redundant_mrna: bool = False
+    retain_utrs: bool = False
+    protein_ids: DataFrame | None = None
     header: render.Header | None = None
     source: list[tuple[str, str]] = field(default_factory=lambda: render.source("unknown"))
 
 
 def run(sequences: DataFrame, features: DataFrame, options: Options = Options()) -> dict[str, DataFrame]:
-    """sequences, features, annotation, body lines, review and the count of each stage that may drop rows, as DataFrames; stages cut their lineage.
+    """sequences, features, annotation, body lines, review, the count of each stage that may drop rows and the events of the rendering, as DataFrames; stages cut their lineage.
 
     features come in the order of row_no, which puts parents before children. CDS that hold stops whatever the padding become misc_feature.
     """
@@ -68,12 +70,14 @@ def run(sequences: DataFrame, features: DataFrame, options: Options = Options())
     features = cut(placed.withColumn("row_no", F.col("place").cast("bigint")).select(features.columns), "ordered")
     annotation = stages.replaced_products(stages.annotation_table(features, o.locus_prefix), o.replace_products, o.replace_with)
     gaps = sequences.select(F.col("id").alias("seqid"), S.n_runs(F.col("sequence")).alias("gaps"))
-    found = models.spliced(models.cds_models(features), sequences)
-    coding = render.cds_blocks(found, gaps, annotation.drop("row_no"), o.code, o.infer_boundaries, o.gap_policy, o.least_intron)
-    if o.mrna:  # a CDS has the place of its mRNA, so that it follows it
-        rna = cut(render.mrna_blocks(features, annotation), "mrna")
-        coding = coding.join(rna.select("transcript_id", F.col("at").alias("rna_at")), "transcript_id", "left").withColumn("at", F.coalesce("rna_at", "at")).drop("rna_at").unionByName(rna)
-    blocks = coding.drop("transcript_id").unionByName(render.gap_blocks(gaps, o.gap_feature_least)).unionByName(render.other_blocks(features))
+    runs = cut(sequences.select(F.col("id").alias("seqid"), F.explode(S.n_runs(F.col("sequence"))).alias("g")).select("seqid", F.col("g.start").alias("r_start"), F.col("g.end").alias("r_end")), "runs")
+    others, named = traversal.blocks(features, sequences, runs, annotation.drop("row_no"), o.locus_prefix + "_", o.code, o.gap_policy, o.retain_utrs)
+    coding = traversal.coding(named, sequences, runs, annotation.drop("row_no"), table=o.code, infer=o.infer_boundaries, gap_policy=o.gap_policy, least_intron=o.least_intron, protein_ids=o.protein_ids)
+    made = cut(others.unionByName(coding), "made_blocks")
+    events = traversal.event_counts(made, named)
+    gaps = render.gap_blocks(sequences.select(F.col("id").alias("seqid"), S.n_runs(F.col("sequence")).alias("gaps")), o.gap_feature_least)
+    blocks = (made if o.mrna else made.where("feature <> 'mRNA'")).drop("row_no", "events", "locus")
+    blocks = blocks.unionByName(gaps.withColumn("visit", F.lit(None).cast(blocks.schema["visit"].dataType)))
     # written, so that the numbers of blocks are the same wherever they are read
     blocks = cut(review.with_locus(blocks).withColumn("block_no", F.monotonically_increasing_id()), "blocks")
     if o.fix_padding:
@@ -86,7 +90,7 @@ def run(sequences: DataFrame, features: DataFrame, options: Options = Options())
     totals = counts[0]
     for c in counts[1:]:
         totals = totals.unionByName(c)
-    return {"sequences": sequences, "features": features, "annotation": annotation, "body": body, "review": review.block_warnings(blocks), "counts": totals}
+    return {"sequences": sequences, "features": features, "annotation": annotation, "body": body, "review": review.block_warnings(blocks), "counts": totals, "events": events}
 
 
 def package(spark: SparkSession, genome: str, table: str, out: str, options: Options = Options()) -> None:
@@ -102,3 +106,4 @@ def package(spark: SparkSession, genome: str, table: str, out: str, options: Opt
     body.orderBy("part", "at", "block", "line_in_block").select("value").write.text(f"{out}/annotation")
     tables.write_tsv(made["review"].orderBy("entry", "warning", "locus_tag", "location", "detail"), f"{out}/review")
     made["counts"].orderBy("step").write.json(f"{out}/counts")
+    made["events"].orderBy("entry", "event").write.json(f"{out}/events")

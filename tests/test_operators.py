@@ -172,9 +172,10 @@ def test_package(spark, genome, tmp_path):
     assert {r.id: r.sequence for r in made["sequences"].collect()}["c1"] == "ATGAAATTTGGGNNNNNNNNNCCCAAATAGTTT"
     body = [r.value for r in made["body"].orderBy("seq_no", "block", "line_in_block").collect()]
     assert body[:4] == ["c1\tsource\t1..33\tff_definition\t@@[organism]@@ DNA, @@[submitter_seqid]@@", "\t\t\tmol_type\tgenomic DNA", "\t\t\torganism\tunknown", "\t\t\tsubmitter_seqid\t@@[entry]@@"]
-    assert body[4:8] == ["\tmRNA\tjoin(1..12,22..30)\tlocus_tag\tAB_g1", "\t\t\tnote\ttranscript_id:g1.t1", "\tCDS\tjoin(1..12,22..30)\tlocus_tag\tAB_g1", "\t\t\tnote\ttranscript_id:g1.t1"]
+    assert body[4] == "\tassembly_gap\t13..21\testimated_length\tknown"
+    assert body[7:11] == ["\tmRNA\tjoin(1..12,22..30)\tlocus_tag\tAB_g1", "\t\t\tnote\ttranscript_id:g1.t1", "\tCDS\tjoin(1..12,22..30)\tlocus_tag\tAB_g1", "\t\t\tnote\ttranscript_id:g1.t1"]
     assert "\tCDS\tjoin(1..12,22..30)\tlocus_tag\tAB_g1" in body and "\t\t\tproduct\tkinase A" in body
-    assert "\tassembly_gap\t13..21\testimated_length\tknown" in body and "\ttRNA\t10..15\tproduct\ttRNA-Met" in body
+    assert "\tassembly_gap\t13..21\testimated_length\tknown" in body and "\ttRNA\t10..15\tlocus_tag\tAB_000000300" in body and "\t\t\tproduct\ttRNA-Met" in body
     assert "\tCDS\tcomplement(1..6)\tlocus_tag\tAB_g3" in body
     assert [(r.stage, r.genes) for r in made["counts"].orderBy("step").collect()] == [("input", 3), ("trim_bounds", 3), ("normalise_gaps", 3), ("drop_duplicates", 2), ("one_isoform", 2), ("into_frame", 2), ("padding", 2)]
     p = str(tmp_path / "out")
