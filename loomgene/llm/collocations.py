@@ -58,14 +58,18 @@ _MET_ARROW = pa.schema([("block", pa.int64()), ("numbers", pa.binary()), ("ids",
 
 
 def _packed(numbers: np.ndarray) -> bytes:
-    """Numbers from -1 in as few bytes each as they need, which the first byte says."""
+    """Numbers from -1 in as few bytes each as they need, compressed byte by byte: all first bytes, then all second ones."""
     most = int(numbers.max(initial=0))
     kind = next(t for t in (np.int8, np.int16, np.int32, np.int64) if most <= np.iinfo(t).max)
-    return bytes([np.dtype(kind).itemsize]) + numbers.astype(kind).tobytes()
+    size = np.dtype(kind).itemsize
+    planes = np.ascontiguousarray(numbers.astype(kind).view(np.uint8).reshape(-1, size).T)
+    return bytes([size]) + len(numbers).to_bytes(8, "little") + pa.compress(planes, codec="zstd", asbytes=True)
 
 
 def _unpacked(raw: bytes) -> np.ndarray:
-    return np.frombuffer(raw, {1: np.int8, 2: np.int16, 4: np.int32, 8: np.int64}[raw[0]], offset=1)
+    size, n = raw[0], int.from_bytes(raw[1:9], "little")
+    planes = np.frombuffer(pa.decompress(raw[9:], size * n, codec="zstd"), np.uint8).reshape(size, n)
+    return np.ascontiguousarray(planes.T).view({1: np.int8, 2: np.int16, 4: np.int32, 8: np.int64}[size]).ravel()
 
 
 def _texts(batch: pa.RecordBatch) -> Iterator[tuple[str, bytes]]:
