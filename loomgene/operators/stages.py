@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomgene.functions import attributes as A
-from loomgene.operators import graph, intervals, models, ranking
+from loomgene.operators import graph, intervals, models, ranking, terminal, traversal
 from loomgene.shared import cut
 
 UTRS = ("UTR", "five_prime_UTR", "three_prime_UTR", "5UTR", "3UTR")
@@ -96,7 +96,7 @@ def with_cds(features: DataFrame, changed: DataFrame) -> DataFrame:
     moved = moved.groupBy("row_no").agg(F.min("n_start").alias("n_start"), F.max("n_end").alias("n_end"), F.max("n_phase").alias("n_phase"))
     rows = features.join(moved.withColumn("moved", F.lit(True)), "row_no", "left").where("moved is null or n_start is not null")
     rows = rows.withColumns({"start": F.coalesce("n_start", "start"), "end": F.coalesce("n_end", "end"), "phase": F.coalesce("n_phase", "phase")})
-    return synchronise(rows.select(features.columns))
+    return terminal.rebuilt(synchronise(rows.select(features.columns)), changed.select(F.col("transcript_id").alias("id")))
 
 
 def _bounds(features: DataFrame, parts: DataFrame) -> DataFrame:
@@ -106,14 +106,15 @@ def _bounds(features: DataFrame, parts: DataFrame) -> DataFrame:
 
 
 def synchronise(features: DataFrame) -> DataFrame:
-    """Transcripts get the extent of their exons, else of CDS and UTR; genes that of their transcripts; other parts are cut to their transcript."""
+    """Transcripts get the extent of their exons, else of CDS and UTR; genes that of their transcripts; other parts but codons and introns are cut to their transcript."""
     kinds = ["CDS", "exon", *UTRS]
+    own = ["gene", "CDS", "exon", "pseudogenic_exon", "intron", *models.TRANSCRIPTS, *traversal.CODONS]
     parts = features.where(F.col("type").isin(*kinds)).select(F.explode("parents").alias("id"), "type", "start", "end")
     out = _bounds(features, parts)
     transcripts = out.where(F.col("type").isin(*models.TRANSCRIPTS))
     out = _bounds(out, transcripts.select(F.explode("parents").alias("id"), F.lit("transcript").alias("type"), "start", "end"))
     bound = transcripts.groupBy("id").agg(F.min("start").alias("t_start"), F.max("end").alias("t_end"))
-    limit = out.where(~F.col("type").isin("gene", *models.TRANSCRIPTS, *kinds)).select("row_no", F.explode("parents").alias("id")).join(bound, "id").groupBy("row_no").agg(F.min("t_start").alias("t_start"), F.max("t_end").alias("t_end"))
+    limit = out.where(~F.col("type").isin(*own)).select("row_no", F.explode("parents").alias("id")).join(bound, "id").groupBy("row_no").agg(F.min("t_start").alias("t_start"), F.max("t_end").alias("t_end"))
     cut_rows = out.join(limit, "row_no", "left").withColumns({"start": F.greatest("start", F.coalesce("t_start", "start")), "end": F.least("end", F.coalesce("t_end", "end"))})
     return cut_rows.where("start <= end").select(features.columns)
 
@@ -174,20 +175,19 @@ def containment_issues(features: DataFrame) -> DataFrame:
 
 
 def hierarchical_order(features: DataFrame) -> DataFrame:
-    """Adds order_key: seqid, start, depth in the hierarchy, row_no; parents come before children that begin at the same base."""
-    top = features.where("id is not null").select(F.col("id").alias("child"), F.explode("parents").alias("parent"))
-    depth = features.where("id is not null and size(parents) = 0").select("id", F.lit(0).alias("depth")).distinct()
-    found, level = depth, 0
-    edges = cut(top.distinct(), "edges")
-    while True:
-        nxt = edges.join(depth.select(F.col("id").alias("parent")), "parent", "left_semi").select(F.col("child").alias("id")).distinct().join(found, "id", "left_anti")
-        level += 1
-        depth = cut(nxt.select("id", F.lit(level).alias("depth")), "depth")
-        if depth.isEmpty():
-            break
-        found = cut(found.unionByName(depth), "found")
-    own = features.select("row_no", F.explode_outer("parents").alias("id")).join(found, "id", "left").groupBy("row_no").agg(F.coalesce(F.max("depth") + 1, F.lit(0)).alias("depth"))
-    return features.join(own, "row_no").orderBy("seqid", "start", "depth", "row_no").select(*features.columns, "depth")
+    """Adds depth and visit, which order the rows that begin at one base of a sequence: rows of one depth follow their parents' order.
+
+    Parents are those that begin at the same base; the order is that of a queue which begins with the rows without such parents, in the
+    order of row_no, and takes in a row's children when it is served. A row of several parents follows the last of them in row_no.
+    """
+    rows = features.select("row_no", "seqid", "start", "id", "parents")
+    parent = rows.where("id is not null").select("seqid", "start", F.col("id").alias("parent"), F.col("row_no").alias("p_row"))
+    up = rows.select("row_no", "seqid", "start", F.explode("parents").alias("parent")).join(parent, ["seqid", "start", "parent"]).where("row_no <> p_row").groupBy("row_no").agg(F.max("p_row").alias("up"))
+    placed = graph.tours(rows.select(F.col("row_no").alias("id"), F.col("row_no").alias("key")).join(up.withColumnRenamed("row_no", "id"), "id", "left"))
+    # of rows of one depth, trees by their roots and then depth-first numbers give the order of a queue
+    known = features.join(placed.select(F.col("id").alias("row_no"), "depth", F.struct("root", "nth").alias("visit")), "row_no", "left")
+    last = F.struct(F.col("row_no").alias("root"), F.lit(0).cast("bigint").alias("nth"))  # rows on a cycle come last
+    return known.withColumns({"depth": F.coalesce("depth", F.lit(1 << 40)), "visit": F.coalesce("visit", last)}).select(*features.columns, "depth", "visit")
 
 
 def annotation_table(features: DataFrame, prefix: str = "", default: str = "hypothetical protein") -> DataFrame:

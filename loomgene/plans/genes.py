@@ -75,6 +75,37 @@ def q_descendant_removal(spark, sf_dir):
     return graph.removed(edges, T.table(spark, sf_dir, "nation").where("n_regionkey = 1").select(of("n", "n_nationkey").alias("id")))
 
 
+_TREE = """WITH e AS MATERIALIZED (
+  SELECT 'r' || r_regionkey AS id, NULL AS up, NULL AS nation, NULL AS customer FROM region UNION ALL SELECT 'n' || n_nationkey, 'r' || n_regionkey, NULL, NULL FROM nation
+  UNION ALL SELECT 'c' || c_custkey, 'n' || c_nationkey, 'n' || c_nationkey, NULL FROM customer UNION ALL SELECT 'o' || o_orderkey, 'c' || o_custkey, 'n' || c_nationkey, 'c' || o_custkey FROM orders JOIN customer ON o_custkey = c_custkey),
+a AS MATERIALIZED (SELECT e.id, CASE left(e.id, 1) WHEN 'r' THEN e.id WHEN 'n' THEN e.up ELSE 'r' || n_regionkey END AS root, CASE left(e.id, 1) WHEN 'r' THEN '' WHEN 'n' THEN e.id ELSE nation END AS p1,
+    CASE left(e.id, 1) WHEN 'c' THEN e.id WHEN 'o' THEN customer ELSE '' END AS p2, CASE WHEN left(e.id, 1) = 'o' THEN e.id ELSE '' END AS p3, CASE left(e.id, 1) WHEN 'r' THEN 0 WHEN 'n' THEN 1 WHEN 'c' THEN 2 ELSE 3 END AS depth
+  FROM e LEFT JOIN nation ON 'n' || n_nationkey = nation)"""
+
+
+def _tree(spark, sf_dir):
+    """Regions, their nations, customers and orders (of known customers) as a forest."""
+    node = lambda name, id_, up: T.table(spark, sf_dir, name).select(id_.alias("id"), up.alias("up"))
+    of = lambda letter, col: F.concat(F.lit(letter), col)
+    orders = T.table(spark, sf_dir, "orders").join(T.table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"), "left_semi").select(of("o", "o_orderkey").alias("id"), of("c", "o_custkey").alias("up"))
+    out = node("region", of("r", "r_regionkey"), F.lit(None).cast("string")).unionByName(node("nation", of("n", "n_nationkey"), of("r", "n_regionkey")))
+    return out.unionByName(node("customer", of("c", "c_custkey"), of("n", "c_nationkey"))).unionByName(orders).withColumn("key", F.col("id"))
+
+
+@query(_TREE + """,
+t AS (SELECT *, row_number() OVER (PARTITION BY root ORDER BY p1, p2, p3) - 1 AS nth FROM a)
+SELECT t.id, root, nth, depth, CASE depth WHEN 0 THEN count(*) OVER (PARTITION BY root) WHEN 1 THEN count(*) OVER (PARTITION BY root, p1) WHEN 2 THEN count(*) OVER (PARTITION BY root, p1, p2) ELSE 1 END AS size FROM t""")
+def q_tour(spark, sf_dir):
+    return graph.tours(_tree(spark, sf_dir))
+
+
+@query(_TREE + """
+SELECT p1 AS ancestor, id FROM a WHERE depth > 1 UNION ALL SELECT p2, id FROM a WHERE depth = 3""")
+def q_descendants(spark, sf_dir):
+    tour = graph.tours(_tree(spark, sf_dir))
+    return graph.descendants(tour, tour.where("depth in (1, 2)").select("id"))
+
+
 @query("""
 SELECT 'o' || o_orderkey AS child, 'r' || n_regionkey AS top FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
 UNION ALL SELECT 'c' || c_custkey, 'r' || n_regionkey FROM customer JOIN nation ON c_nationkey = n_nationkey

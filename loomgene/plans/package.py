@@ -65,7 +65,7 @@ def run(sequences: DataFrame, features: DataFrame, options: Options = Options())
     if o.fix_padding:
         features, stops = stages.padded_and_stops(features, sequences, o.code)
         features = stage("padding", features)
-    order = ["seqid", "start", "depth", "row_no"]
+    order = ["seqid", "start", "depth", "visit", "row_no"]
     placed = numbered(stages.hierarchical_order(features), order, "place")
     features = cut(placed.withColumn("row_no", F.col("place").cast("bigint")).select(features.columns), "ordered")
     annotation = stages.replaced_products(stages.annotation_table(features, o.locus_prefix), o.replace_products, o.replace_with)

@@ -275,7 +275,7 @@ def test_semicolons_of_lines(spark):
 
 def test_order_puts_parents_first(spark):
     f = spark.createDataFrame([(1, "c", 1, "e", ["t"]), (2, "c", 1, "t", ["g"]), (3, "c", 1, "g", []), (4, "b", 9, None, [])], "row_no bigint, seqid string, start bigint, id string, parents array<string>")
-    assert [(r.row_no, r.depth) for r in stages.hierarchical_order(f).collect()] == [(4, 0), (3, 0), (2, 1), (1, 2)]
+    assert [(r.row_no, r.depth) for r in stages.hierarchical_order(f).orderBy("seqid", "start", "depth", "visit").collect()] == [(4, 0), (3, 0), (2, 1), (1, 2)]
 
 
 def test_domains_and_redundant_mrna(spark):

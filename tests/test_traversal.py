@@ -164,3 +164,67 @@ def test_structure_that_says_no_more_than_the_cds_is_left_out(spark):
 def test_no_rows(spark):
     empty = spark.createDataFrame([], COLUMNS)
     assert traversal.fates(empty).count() == 0
+
+
+def test_tours_of_random_forests(spark):
+    rng = random.Random(8)
+    up = {i: rng.choice([*range(max(0, i - 6), i), None]) if i else None for i in range(300)} | {i: i - 1 for i in range(301, 700)} | {300: None, 900: 901, 901: 900, 950: 7777}
+    key = {i: rng.random() for i in up}
+    nodes = spark.createDataFrame([(i, u, key[i]) for i, u in up.items()], "id bigint, up bigint, key double")
+    got = {r.id: (r.root, r.nth, r.size, r.depth) for r in graph.tours(nodes).collect()}
+    kids = {}
+    for i, u in up.items():
+        kids.setdefault(u if u in up else None, []).append(i)
+    want = {}
+
+    def down(i, root, depth, n):
+        mine, stack, count = n, [], 1
+        for k in sorted(kids.get(i, []), key=key.get):
+            count += down(k, root, depth + 1, n + count)
+        want[i] = (root, mine, count, depth)
+        return count
+
+    import sys
+
+    sys.setrecursionlimit(5000)
+    for r in kids[None]:
+        down(r, r, 0, 0)
+    assert got == want  # 900 and 901 are a cycle
+    pairs = {(r.ancestor, r.id) for r in graph.descendants(graph.tours(nodes), spark.createDataFrame([(0,), (1,), (5,), (690,)], "id bigint")).collect()}
+    chain = lambda i: [] if up.get(i) not in up else [up[i], *chain(up[i])]
+    assert pairs == {(a, i) for i in want for a in chain(i) if a in (0, 1, 5, 690)}
+
+
+def test_rows_of_one_start_come_as_a_queue_serves_them(spark):
+    from loomgene.operators import stages
+
+    rng = random.Random(3)
+    rows = []
+    for i in range(200):
+        parents = [f"x{rng.randrange(200)}"] if rng.random() < 0.7 else []
+        rows.append(("gene", rng.randrange(1, 4), 9, "+", f"x{i}", parents if parents != [f"x{i}"] else [], {}))
+    out = stages.hierarchical_order(table(spark, rows)).orderBy("seqid", "start", "depth", "visit", "row_no")
+    want = []
+    for start in (1, 2, 3):
+        own = [i for i, r in enumerate(rows) if r[1] == start]
+        index = {rows[i][4]: i for i in own}
+        queue = [i for i in own if not rows[i][5] or rows[i][5][0] not in index]
+        for i in queue:
+            queue += [k for k in own if rows[k][5] == [rows[i][4]]]
+        want += queue + [i for i in own if i not in queue]
+    assert [r.row_no - 1 for r in out.collect()] == want
+
+
+def test_removal_on_long_chains_and_several_parents(spark):
+    rng = random.Random(6)
+    for _ in range(2):
+        edges = {(i, rng.randrange(max(0, i - 4), i)) for i in range(1, 150)} | {(i, rng.randrange(0, i)) for i in rng.sample(range(1, 150), 40)} | {(i, i - 1) for i in range(201, 500)} | {(600, 601), (601, 600)}
+        seeds = {3, 200, 350, 777}
+        gone = set(seeds)
+        while True:
+            more = {c for c, _ in edges if c not in gone and all(p in gone for x, p in edges if x == c)}
+            if not more:
+                break
+            gone |= more
+        got = [r.id for r in graph.removed(spark.createDataFrame(list(edges), "child bigint, parent bigint"), spark.createDataFrame([(s,) for s in seeds], "id bigint")).collect()]
+        assert sorted(got) == sorted(gone)
