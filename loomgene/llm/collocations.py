@@ -105,18 +105,24 @@ def _words(raw: bytes) -> tuple[np.ndarray, pa.Array]:
     return np.insert(codes, new, -1), found.dictionary.cast(pa.string())
 
 
-def _dealt(block: int, codes: np.ndarray, bucket: np.ndarray, counts: np.ndarray, items, **own) -> pa.RecordBatch:
-    """A block's row (its codes) and a row for each bucket that gets some of its items, which are numbered anew by bucket.
+def _by_bucket(bucket: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Items in the order of their buckets, and the number that each gets by it."""
+    order = np.argsort(bucket, kind="stable")
+    number = np.empty(len(order), np.int64)
+    number[order] = np.arange(len(order))
+    return order, number
+
+
+def _dealt(block: int, own: dict, bucket: np.ndarray, counts: np.ndarray, items, **shared) -> pa.RecordBatch:
+    """A block's own row, and a row for each bucket that gets some of its items, in the order of their numbers.
 
     items(order): what says which items these are, as a function of a slice of the order.
     """
-    order = np.argsort(bucket, kind="stable")
-    number = np.empty(len(order) + 1, np.int64)
-    number[order], number[-1] = np.arange(len(order)), -1
+    order, _ = _by_bucket(bucket)
     full, first = np.unique(bucket[order], return_index=True)
-    rows = [{"block": block, "codes": _packed(number[codes]), "n": int(counts.sum())} | own]
+    rows = [{"block": block, "n": int(counts.sum())} | own | shared]
     for b, x, y in zip(full.tolist(), first.tolist(), [*first[1:].tolist(), len(order)], strict=True):
-        rows.append({"block": block, "bucket": b, "first": x, "counts": _packed(counts[order[x:y]])} | own | items(order[x:y]))
+        rows.append({"block": block, "bucket": b, "first": x, "counts": _packed(counts[order[x:y]])} | shared | items(order[x:y]))
     return pa.RecordBatch.from_pylist(rows, schema=_STATE_ARROW)
 
 
@@ -129,15 +135,32 @@ def _blocks(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Reco
                 continue
             salt = zlib.crc32(lang.encode())
             bucket = np.array([zlib.crc32(w.as_buffer(), salt) % buckets for w in words], np.int32)
-            yield _dealt(block, codes, bucket, np.bincount(codes[codes >= 0], minlength=len(words)), lambda at: {"words": words.take(pa.array(at)).to_pylist()}, lang=lang)
+            number = np.append(_by_bucket(bucket)[1], -1)  # the last stands for breaks
+            counts = np.bincount(codes[codes >= 0], minlength=len(words))
+            yield _dealt(block, {"codes": _packed(number[codes])}, bucket, counts, lambda at: {"words": words.take(pa.array(at)).to_pylist()}, lang=lang)
             block += 1
 
 
+def _adjacent(at: np.ndarray, name: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of a sequence of items (-1: a break) with the ids `name`: where pairs begin, which pair it is there, how often each occurs, its key and its bucket."""
+    both = (at[:-1] >= 0) & (at[1:] >= 0)
+    key, which, n = np.unique(at[:-1][both].astype(np.int64) * len(name) + at[1:][both], return_inverse=True, return_counts=True)
+    mixed = blocks.mix(name[key // len(name)].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + name[key % len(name)].astype(np.uint64))
+    return both, which, n, key, (mixed % np.uint64(buckets)).astype(np.int32)
+
+
 def _pairs(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
-    """A block's numbers (column codes), of which those in `named` are frequent, as numbers of pairs of adjacent ids."""
+    """From a block's sequence and the ids of its frequent items (`named`) to the sequence of these, and its pairs of adjacent ones.
+
+    The sequence is that of words where `lefts` is null, else of the items whose ids these are, the pairs of which are meant.
+    """
     for batch in batches:
-        for block, raw, named in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
+        for block, raw, ids, named in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), batch.column(3), strict=True):
             codes = _unpacked(raw.as_py())
+            if ids.is_valid:  # numbers of pairs as they were dealt: derived again, as the shorter sequence travels
+                both, which, _, _, bucket = _adjacent(codes, np.cumsum(_unpacked(ids.as_py()).astype(np.int64)), buckets)
+                codes = np.full(len(both), -1, np.int64)
+                codes[both] = _by_bucket(bucket)[1][which]
             number = np.concatenate([_unpacked(x["numbers"].as_py()) for x in named])
             name = np.concatenate([_unpacked(x["ids"].as_py()) for x in named]).astype(np.int64)
             name, number = (x[np.argsort(name)] for x in (name, number))  # so pairs come by their left id
@@ -145,15 +168,11 @@ def _pairs(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Recor
             own[number] = np.arange(len(number))
             at = own[codes]
             at = at[(at >= 0) | np.concatenate([at[:1] >= 0, at[:-1] >= 0])]  # one break in a row is enough
-            both = (at[:-1] >= 0) & (at[1:] >= 0)
-            key, which, n = np.unique(at[:-1][both] * len(number) + at[1:][both], return_inverse=True, return_counts=True)
+            _, _, n, key, bucket = _adjacent(at, name, buckets)
             if len(key):
-                out = np.full(len(both), -1, np.int64)
-                out[both] = which
-                left, right = name[key // len(number)], name[key % len(number)]
-                mixed = blocks.mix(left.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + right.astype(np.uint64))
-                bucket = (mixed % np.uint64(buckets)).astype(np.int32)
-                yield _dealt(block, out, bucket, n, lambda at: {"lefts": _packed(np.diff(left[at], prepend=0)), "rights": _packed(right[at])})  # noqa: B023
+                left, right = name[key // len(name)], name[key % len(name)]
+                state = {"codes": _packed(at), "lefts": _packed(np.diff(name, prepend=0))}
+                yield _dealt(block, state, bucket, n, lambda at: {"lefts": _packed(np.diff(left[at], prepend=0)), "rights": _packed(right[at])})  # noqa: B023
 
 
 def _meet(table: pa.Table, least: int, buckets: int) -> pa.Table:
@@ -213,7 +232,7 @@ def ngrams(docs: DataFrame, least: int = LEAST, longest: int = LONGEST) -> tuple
         levels.append(met.where("id is not null").select(*(["lang", "word"] if k == 1 else ["left", "right"]), "a", "id"))
         if k < longest:
             named = met.where("block is not null").groupBy("block").agg(F.collect_list(F.struct("numbers", "ids")).alias("named"))
-            state = found.where("codes is not null").select("block", "codes").join(named, "block").select("block", "codes", "named")
+            state = found.where("codes is not null").select("block", "codes", "lefts").join(named, "block").select("block", "codes", "lefts", "named")
             found = _heavy(state.mapInArrow(lambda it: _pairs(it, buckets), _STATE), f"pairs{k + 1}")
     return totals, levels
 
