@@ -134,7 +134,8 @@ def _tokenize(batches: Iterator[pa.RecordBatch], spec, capacity: int, end_id: in
     end = np.array([end_id], "<u4")
     for b in blocks.slices(batches):
         out = []
-        for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+        for doc, value in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+            text = value.as_py()
             ids = np.concatenate([bpe.ids(text), end]) if text else end
             n = len(ids)
             cuts = [0, *range(n % capacity or capacity, n + 1, capacity)]

@@ -4,28 +4,26 @@ Offline, on the driver, every vocabulary string that is one pre-token is encoded
 the library; those that come back as one id are proven to be whole tokens. In tasks, each
 text of whatever script is split into pre-tokens; one found among them counts as one at once;
 only the rest is merged, and each distinct rest is merged once and remembered (at most
-REMEMBERED of them, then the memory is emptied). Only texts that hold a special token's
-string are counted by the library, which treats such strings as its default does.
+REMEMBERED of them, then the memory is emptied). A special token's string counts as one, as
+the library's default has it, and is cut out first.
 
-Null text: empty, no bytes, no tokens. Every row is counted by itself, whatever its doc_id.
-A long text is split in parts of PART characters that end before a space between two letters,
-where a pre-token always ends; so one of 100 MB costs little more than itself.
+Null text: empty, no bytes, no tokens. Empty table: no rows. Every row is counted by itself, whatever its doc_id;
+further columns, whatever their names, are not read. A long text of any script is walked in the
+parts of tokens.parts, so one of 100 MB costs little more than itself.
 """
 
 from __future__ import annotations
 
 import os
-import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from loomgene.llm import blocks, store, tokens
 
 REMEMBERED = 400_000
-PART = 1 << 20
-_BREAK = re.compile("[A-Za-z](?= [A-Za-z])")
 
 
 def whole_tokens(bpe: tokens.Bpe, split: tokens.Splitter | None = None) -> frozenset[str]:
@@ -58,36 +56,25 @@ class _Lengths(dict):
         return n
 
 
-def parts(text: str) -> Iterator[str]:
-    """The text in parts of about PART characters whose pre-tokens are those of the text."""
-    at = 0
-    while len(text) - at > PART:
-        cut = _BREAK.search(text, at + PART)
-        if cut is None:
-            break
-        yield text[at : cut.end()]
-        at = cut.end()
-    yield text[at:] if at else text
-
-
 def _count(batches: Iterator[pa.RecordBatch], spec, whole) -> Iterator[pa.RecordBatch]:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     bpe, (known, pattern) = tokens.Bpe(spec.value), whole.value
     split = tokens.Splitter(bpe.library, pattern) if bpe.fast else None
     lengths = _Lengths(known, bpe.fast) if bpe.fast else None
     for b in blocks.slices(batches):
-        n, sizes = [], []
-        for text in b.column(1).to_pylist():
+        n = []
+        for value in b.column(1):
+            text = value.as_py()
             if not text:
                 n.append(0)
-            elif bpe.fast is not None and not any(s in text for s in bpe.special):
-                n.append(sum(sum(map(lengths.__getitem__, split(part))) for part in parts(text)))
+            elif bpe.walks:
+                n.append(sum(1 if isinstance(part, int) else sum(map(lengths.__getitem__, split(part))) for part in bpe.segments(text)))
             else:
                 n.append(len(bpe.library.encode(text, add_special_tokens=False).ids))
-            sizes.append(len((text or "").encode()))
+        sizes = blocks.offsets_of(b.column(1).fill_null(""))
         if lengths is not None and len(lengths) >= lengths.room:
             lengths = _Lengths(known, bpe.fast)
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes, pa.int64()), pa.array(n, pa.int64())], names=["doc_id", "n_bytes", "n_tokens"])
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.diff(sizes), pa.int64()), pa.array(n, pa.int64())], names=["doc_id", "n_bytes", "n_tokens"])
 
 
 def count_tokens(docs: DataFrame, tokenizer: str) -> DataFrame:
