@@ -24,15 +24,19 @@ alphabet is the hypothesis of three tests:
 Their p-values are combined by three times the smallest; a random token has a large one.
 
 Control. What is reported has a bounded expected share of ordinary text. How ordinary text
-scores is learnt from the corpus: each document gives decoys for a third of the alphabets, of the
-length class and from the place that its hash picks as well: prose there, without candidates and
+scores is learnt from the corpus: each document gives a decoy for every alphabet, of the
+length class and from the place that its hash picks: prose there, without candidates and
 without characters outside the alphabet, run together. Under that null of its alphabet and
 length class a candidate has the p-value (1 + decoys that look as random) / (1 + decoys);
 within each length class the Benjamini-Hochberg procedure at FALSE_DISCOVERY picks what is
 reported, as spans of the kind `random`, if its p is LEAST_P or more. All is counted on a fixed grid of p (GRID steps a
-decade), so the corpus is summed up in a table of bounded size. Where there are fewer than
-LEAST_NULL decoys there is no null to learn, and candidates of p >= UNCONTROLLED are reported.
-Spans of the method that touch a pattern's span are left out.
+decade), so the corpus is summed up in a table of bounded size. A null of fewer than LEAST_NULL
+decoys takes in those of the next shorter length class, and so on: shorter prose looks more random,
+so p-values only grow. The rule is the same at every size: a corpus with few decoys has large p-values and
+reports little beyond the patterns, one without any nothing. `limits` of a larger corpus (thresholds)
+may be given instead. Spans of the method that touch a pattern's span are left out.
+
+The texts are scanned once: spans, p-values and decoys are written, what is reported is chosen from them.
 
 Null text: empty, no spans. Every row is scanned by itself; only the table of p-values
 looks at all rows. A column with the name of the new one is replaced. Matches of a text are
@@ -44,8 +48,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loomgene.llm import store
+
 FALSE_DISCOVERY = 0.05
-LEAST_NULL, UNCONTROLLED = 100, 0.05
+LEAST_NULL = 100
 LEAST_P = 0.002  # below it a token isn't random at all, however much worse ordinary text does
 GRID = 20
 CHUNK = 256
@@ -179,7 +185,7 @@ def _found(docs: DataFrame, text: str, name: str) -> DataFrame:
 
 
 def _decoys(text: str) -> str:
-    """SQL: (null_no, length, p) of the decoys of one text, for a third of the nulls, where its prose is long enough."""
+    """SQL: (null_no, length, p) of the decoys of one text, one for each null for which its prose is long enough."""
     out = []
     for i, (alphabet, case) in enumerate(_NULLS):
         outside = _quote("[^" + alphabet.replace("-", "\\-") + "]")
@@ -188,8 +194,7 @@ def _decoys(text: str) -> str:
         prose = f"regexp_replace(regexp_replace(substring({text}, {place}, 24 * d.n), {_quote('^' + chr(92) + 'S+|' + chr(92) + 'S+$')}, ''), {_quote(_CANDIDATE)}, '')"
         token = f"substring(regexp_replace({case}({prose}), {outside}, ''), 1, d.n)"
         row = f"named_struct('null_no', {i}, 'length', d.n, 'p', if(length(d.t) = d.n, {_battery('d.t', _quote(alphabet))}, cast(null as double)))"
-        mine = f"pmod(xxhash64({text}, 'alphabets'), 3) = {i % 3}"
-        out.append(f"if({mine}, " + _let(_let(row, f"named_struct('n', d.n, 't', {token})", "d"), f"named_struct('n', {size})", "d") + ", null)")
+        out.append(_let(_let(row, f"named_struct('n', d.n, 't', {token})", "d"), f"named_struct('n', {size})", "d"))
     return f"filter(array({', '.join(out)}), d -> d.p is not null)"
 
 
@@ -197,22 +202,38 @@ def _step(p: str) -> str:
     return f"least({GRID * _DECADES}, cast(floor(-{GRID} * log10(greatest({p}, 1e-{_DECADES}))) as int))"
 
 
+def _scored(docs: DataFrame, text: str, name: str) -> DataFrame:
+    """_found with the decoys of each text."""
+    none = "cast(array() as array<struct<null_no:int,length:int,p:double>>)"
+    return _found(docs, text, name).withColumn(f"{name}_decoys", F.expr(f"coalesce({_decoys(f'`{text}`')}, {none})"))
+
+
 def thresholds(docs: DataFrame, text: str = "text", false_discovery: float = FALSE_DISCOVERY) -> dict[tuple[int, int], int]:
     """For each length class and null the last step of the grid that is reported, over all of docs (-1: none)."""
-    found = _found(docs.select(text), text, "__s")
-    tested = f"transform(__s_tested, m -> named_struct('decoy', false, 'null_no', m.t.null_no, 'length_class', {_length_class('m.stop - m.start')}, 'step', {_step('m.t.p')}))"
-    decoys = f"transform({_decoys(f'`{text}`')}, d -> named_struct('decoy', true, 'null_no', d.null_no, 'length_class', {_length_class('d.length')}, 'step', {_step('d.p')}))"
-    table = found.selectExpr(f"inline(concat({tested}, coalesce({decoys}, array())))").groupBy("decoy", "null_no", "length_class", "step").count().collect()  # at most 2 x 6 x 5 x 241 rows
+    return _thresholds(_scored(docs.select(text), text, "__s"), "__s", false_discovery)
+
+
+def _thresholds(scored: DataFrame, name: str, false_discovery: float) -> dict[tuple[int, int], int]:
+    tested = f"transform({name}_tested, m -> named_struct('decoy', false, 'null_no', m.t.null_no, 'length_class', {_length_class('m.stop - m.start')}, 'step', {_step('m.t.p')}))"
+    decoys = f"transform({name}_decoys, d -> named_struct('decoy', true, 'null_no', d.null_no, 'length_class', {_length_class('d.length')}, 'step', {_step('d.p')}))"
+    table = scored.selectExpr(f"inline(concat({tested}, {decoys}))").groupBy("decoy", "null_no", "length_class", "step").count().collect()  # at most 2 x 6 x 5 x 241 rows
     counts = {(r[0], r[1], r[2], r[3]): r[4] for r in table}
+    steps = range(GRID * _DECADES + 1)
+
+    def null_of(i: int, c: int) -> list[int]:
+        total = [0] * len(steps)
+        for k in range(c, -1, -1):
+            total = [n + counts.get((True, i, k, step), 0) for step, n in zip(steps, total, strict=True)]
+            if sum(total) >= LEAST_NULL:
+                break
+        return total
+
     out = {}
     for c in range(len(_LENGTHS)):
         rows = []  # (p-value under the null, candidates, null, step)
         for i in range(len(_NULLS)):
-            null = [counts.get((True, i, c, k), 0) for k in range(GRID * _DECADES + 1)]
-            own = [counts.get((False, i, c, k), 0) for k in range(GRID * _DECADES + 1)]
-            if sum(null) < LEAST_NULL:
-                out[c, i] = max((k for k in range(len(own)) if 10 ** (-(k + 1) / GRID) >= UNCONTROLLED), default=-1)
-                continue
+            null = null_of(i, c)
+            own = [counts.get((False, i, c, k), 0) for k in steps]
             out[c, i], seen = -1, 0
             for k, n in enumerate(own):  # small steps hold large p-values of the battery
                 seen += null[k]
@@ -230,16 +251,23 @@ def thresholds(docs: DataFrame, text: str = "text", false_discovery: float = FAL
     return out
 
 
-def scan(docs: DataFrame, text: str = "text", name: str = "secret", false_discovery: float = FALSE_DISCOVERY) -> DataFrame:
-    """docs with a column `name`: array of (start, stop, kind number, match), by start, then kind as in KINDS."""
-    docs = docs.drop(name, f"{name}_base", f"{name}_tested")
-    limit = {k: v for k, v in thresholds(docs, text, false_discovery).items() if v >= 0}
+def _chosen(docs: DataFrame, text: str, name: str, false_discovery: float, limits: dict | None, keep: list[str]) -> DataFrame:
+    """The columns `keep` of docs and `name`, the spans that are reported."""
+    scored = _scored(docs, text, name).select(*(F.col(f"`{c}`") for c in keep), f"{name}_base", f"{name}_tested", f"{name}_decoys")
+    scored = store.cut(scored, "secrets")
+    limit = {k: v for k, v in (_thresholds(scored, name, false_discovery) if limits is None else limits).items() if v >= 0}
     at = "CASE " + " ".join(f"WHEN {_length_class('m.stop - m.start')} = {c} AND m.t.null_no = {i} THEN {v}" for (c, i), v in sorted(limit.items())) + " ELSE -1 END" if limit else "-1"
     kept = f"filter({name}_tested, m -> {_step('m.t.p')} <= {at})"
     outer = f"element_at(transform(array({kept}), k -> filter(k, m -> not exists(k, o -> o.start <= m.start and o.stop >= m.stop and o.stop - o.start > m.stop - m.start))), 1)"
     random = f"transform({outer}, m -> named_struct('start', m.start, 'stop', m.stop, 'kind', m.kind, 'match', m.match))"
-    out = _found(docs, text, name)
-    return out.withColumn(name, F.expr(f"array_sort(concat({name}_base, {random}), (a, b) -> CASE WHEN a.start <> b.start THEN a.start - b.start ELSE a.kind - b.kind END)")).drop(f"{name}_base", f"{name}_tested")
+    spans = F.expr(f"array_sort(concat({name}_base, {random}), (a, b) -> CASE WHEN a.start <> b.start THEN a.start - b.start ELSE a.kind - b.kind END)")
+    return scored.select(*(F.col(f"`{c}`") for c in keep), spans.alias(name))
+
+
+def scan(docs: DataFrame, text: str = "text", name: str = "secret", false_discovery: float = FALSE_DISCOVERY, limits: dict | None = None) -> DataFrame:
+    """docs with a column `name`: array of (start, stop, kind number, match), by start, then kind as in KINDS. limits: thresholds() of another corpus."""
+    docs = docs.drop(name, f"{name}_base", f"{name}_tested", f"{name}_decoys")
+    return _chosen(docs, text, name, false_discovery, limits, docs.columns)
 
 
 def written(spans: str) -> str:
@@ -255,15 +283,15 @@ def p_values(spans: str) -> str:
 
 def report(docs: DataFrame) -> DataFrame:
     """doc_id, spans found of each pattern, the digest of the patterns' spans, all spans, and the battery's p-value of each span."""
-    out = scan(docs.select("doc_id", "text"), name="s")
+    out = _chosen(docs.select("doc_id", "text"), "text", "s", FALSE_DISCOVERY, None, ["doc_id"])
     count = lambda k: F.expr(f"cast(size(filter(s, x -> x.kind = {k})) as bigint)")
     return out.select("doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"), F.expr(f"sha2({written('filter(s, x -> x.kind < 3)')}, 256)").alias("base_sha256"), F.expr(written("s")).alias("spans"), F.expr(p_values("s")).alias("p_values"))
 
 
-def redact(docs: DataFrame, mark: str = "<secret>") -> DataFrame:
+def redact(docs: DataFrame, mark: str = "<secret>", limits: dict | None = None) -> DataFrame:
     """docs with every span of `text` replaced by a mark (and n_chars, if there is one, of the new text)."""
     s = "__secret"
-    out = scan(docs, name=s)
+    out = scan(docs, name=s, limits=limits)
     # overlapping spans are joined: a span begins a cut only where those before it have ended; pieces are put together CHUNK by CHUNK
     piece = f"concat(substring(text, a.at + 1, x.start - a.at), {_quote(mark)})"
     cut = f"""aggregate({s}, named_struct('at', 0, 'chunk', '', 'n', 0, 'done', cast(array() as array<string>)), (a, x) -> CASE

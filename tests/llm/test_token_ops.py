@@ -57,12 +57,30 @@ def test_splitter_is_the_library_s(library):
         assert sum(map(lengths.__getitem__, split(t))) == len(ids_of(library, t)), ascii(t)
 
 
-def test_counts_in_parts(monkeypatch, library):
-    monkeypatch.setattr(token_count, "PART", 7)
-    split = tokens.Splitter(library)
-    for t in [*TEXTS, "it's a  b c\n d e f", "aa bb  cc dd ee ff gg"]:
+def test_counts_in_parts(library):
+    split, rnd = tokens.Splitter(library), random.Random(14)
+    pools = ["abc XYZ's  \n", "кот ДВА, 12", "日本語テキスト、。12ab", "한국어 !?", " \t\u3000\x1c\u00a0", "\"'…²"]
+    made = ["".join(rnd.choice(rnd.choice(pools)) for _ in range(rnd.randint(1, 60))) for _ in range(2000)]
+    cut = 0
+    for t in [*TEXTS, "it's a  b c\n d e f", "aa bb  cc dd ee ff gg", *made]:
         if t:
-            assert [x for p in token_count.parts(t) for x in split(p)] == split(t)
+            own = list(tokens.parts(t, 5))
+            cut += len(own) > 1
+            assert [x for p in own for x in split(p)] == split(t), ascii(t)
+    assert cut > 1000
+
+
+@pytest.mark.parametrize("sample", ["Кот спит на окне, а дождь идёт. ", "日本語のテキストは空白なしで続く。", "한국어 문장, ", "plain words <|endoftext|> and more é 字 ", "aB3dE6"])
+def test_long_texts_of_any_script(spark, library, sample):
+    """3 MB in one text: ids, counts and pieces are the library's of the whole text, and the library never gets much at once."""
+    text = sample * (3_000_000 // len(sample.encode()))
+    bpe = tokens.Bpe(tokens.read_spec(FILE))
+    assert max(len(x) for x in bpe.segments(text) if isinstance(x, str)) <= 2 * tokens.PART
+    want = ids_of(library, text)
+    assert bpe.ids(text).tolist() == want
+    docs = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
+    assert tuple(token_count.count_tokens(docs, FILE).first()) == (1, len(text.encode()), len(want))
+    assert packing.pack(docs, FILE).agg({"length": "sum"}).first()[0] == len(want) + 1
 
 
 def test_whole_tokens_are_proven(library):
@@ -293,11 +311,16 @@ def test_secret_random_spans(spark):
     rnd = random.Random(2)
     b62 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
     blob = lambda n: "".join(rnd.choice(b62) for _ in range(n))
-    docs = spark.createDataFrame([(i, f"é🙂 {blob(40)} and {blob(64)}== end", 7) for i in range(40)], "doc_id bigint, text string, n_chars int")
+    texts = [f"é🙂 {blob(40)} and {blob(64)}== end" for _ in range(40)] + prose(rnd, 1500)  # which the null is learnt from
+    docs = spark.createDataFrame([(i, t, 7) for i, t in enumerate(texts)], "doc_id bigint, text string, n_chars int").repartition(8)
     found = [r["spans"].split(",") for r in secret_scan.report(docs).collect()]
+    # without prose there is nothing to compare with, and nothing is reported; limits of a larger corpus may be given
+    few = docs.where("doc_id < 40")
+    assert {r["spans"] for r in secret_scan.report(few).collect()} == {""}
+    assert sum("<secret>" in r["text"] for r in secret_scan.redact(few, limits=secret_scan.thresholds(docs)).collect()) >= 36
     assert {s for x in found for s in x if s} == {"random:3:43", "random:48:114"}
     assert sum(len(x) for x in found if x != [""]) >= 0.9 * 80  # the tests are right about random text but for the rate of false discoveries
-    redacted = secret_scan.redact(docs).collect()
+    redacted = [r for r in secret_scan.redact(docs).collect() if r["doc_id"] < 40]
     assert sum(r["text"] == "é🙂 <secret> and <secret> end" for r in redacted) >= 32 and all(r["n_chars"] in (7, len(r["text"])) for r in redacted)
 
 
@@ -314,7 +337,7 @@ def test_secret_random_parts(spark):
         "uuid": lambda: ("", uuid(), ""), "uuid_prefix": lambda: ("req_id-", uuid(), ""), "upper": lambda: ("", "A1" + "-".join(blob(b36.upper(), n) for n in (3, 5, 5, 5, 5, 5)), ""),
     }
     made = [(k, *f()) for k, f in kinds.items() for _ in range(40)]
-    docs = spark.createDataFrame([(i, f"é🙂 {a}{b}{c} end") for i, (_, a, b, c) in enumerate(made)] + [(10_000, "snake_case_names_of_several_words and a-long-slug/of-words/in-a-path-of-pages")], "doc_id bigint, text string")
+    docs = spark.createDataFrame([(i, f"é🙂 {a}{b}{c} end") for i, (_, a, b, c) in enumerate(made)] + [(10_000, "snake_case_names_of_several_words and a-long-slug/of-words/in-a-path-of-pages")] + [(20_000 + i, t) for i, t in enumerate(prose(rnd, 3000))], "doc_id bigint, text string").repartition(8)
     spans = {r["doc_id"]: [tuple(map(int, x.split(":")[1:])) for x in r["spans"].split(",") if x] for r in secret_scan.report(docs).collect()}
     hits = {k: 0 for k in kinds}
     for i, (k, a, b, _) in enumerate(made):
