@@ -117,7 +117,7 @@ class Bpe:
         plain = not any(t.get(k) for t in added for k in ("lstrip", "rstrip", "single_word"))
         longest = sorted(self.special, key=len, reverse=True)
         #: What cuts special tokens out of a text; None if they take more than their own string.
-        self.cuts = re.compile("(" + "|".join(map(re.escape, longest)) + ")" if longest else "(?!)()") if plain else None
+        self.cuts = re.compile("|".join(map(re.escape, longest)) if longest else "(?!)") if plain else None
         self.fast = self._tiktoken(data)
 
     def _tiktoken(self, data: dict):
@@ -136,11 +136,15 @@ class Bpe:
 
     def segments(self, text: str) -> Iterator[str | int]:
         """What lies between special tokens, in parts, and the ids of these. Only for a byte-level tokenizer (fast)."""
-        for i, s in enumerate(self.cuts.split(text) if self.special and any(x in text for x in self.special) else [text]):
-            if i % 2:
-                yield self.special[s]
-            elif s:
-                yield from parts(s)
+        at = 0
+        if any(x in text for x in self.special):
+            for m in self.cuts.finditer(text):
+                if m.start() > at:
+                    yield from parts(text[at : m.start()])
+                yield self.special[m[0]]
+                at = m.end()
+        if at < len(text):
+            yield from parts(text[at:] if at else text)
 
     @property
     def walks(self) -> bool:
@@ -150,7 +154,10 @@ class Bpe:
     def ids(self, text: str) -> np.ndarray:
         if not self.walks:
             return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype="<u4")
-        return np.concatenate([np.zeros(0, "<u4"), *(np.array([x] if isinstance(x, int) else self._part(x), dtype="<u4") for x in self.segments(text))])
+        out = bytearray()
+        for x in self.segments(text):
+            out += np.array([x] if isinstance(x, int) else self._part(x), dtype="<u4").data
+        return np.frombuffer(out, "<u4")
 
     def _part(self, text: str):
         if _ODD.search(text):
