@@ -53,6 +53,8 @@ COG_WORDS = (
 SUFFIX = rf"(?i)(?:,\s*|\s+)(?:{COMPARTMENTS})(?:/(?:{COMPARTMENTS}))*(?:-like)?$"
 _HOMOLOG = "(?:homolog|homologue|ortholog|orthologue|paralog|paralogue)"
 _DOMAIN = r"\s+domain-containing protein"
+#: Ahead: " family" in what stands before "and related proteins".
+_FAMILY = r"(?=(?:(?!\s+and (?:related|similar) proteins).)*? family)"
 # Fixed values: (action, pattern, replacement) in the order in which they apply; a pattern between ^ and $ is of the whole name.
 FIRST_RULES = (
     ("removed_quality_prefix", r"(?i)^LOW QUALITY PROTEIN:\s*", ""),
@@ -68,8 +70,8 @@ DESCRIPTION_RULES = (
     ("normalized_domain_architecture", r"(?i)^(.+?\bdomain):\s*superfamily domain-containing protein$", "$1-containing protein"),
     ("removed_explanatory_text", rf"(?i)^(.+?\bdomain)\s+found in\b.*?{_DOMAIN}$", "$1-containing protein"),
     ("removed_explanatory_text", rf"(?i)^(.+?\bfamily)\s+found in\b.*?{_DOMAIN}$", "$1 protein"),
-    ("generalized_related_proteins", rf"(?i)^(?=.+? family)(.+?(?:ase|protein))s\s+and (?:related|similar) proteins(?:\s+with\b.*?)?{_DOMAIN}$", "$1 protein"),
-    ("generalized_related_proteins", rf"(?i)^(?=.+? family.*? and (?:related|similar) proteins)(.+?)\s+and (?:related|similar) proteins(?:\s+with\b.*?)?{_DOMAIN}$", "$1 protein"),
+    ("generalized_related_proteins", rf"(?i)^{_FAMILY}(.+?(?:ase|protein))s\s+and (?:related|similar) proteins(?:\s+with\b.*?)?{_DOMAIN}$", "$1 protein"),
+    ("generalized_related_proteins", rf"(?i)^{_FAMILY}(.+?)\s+and (?:related|similar) proteins(?:\s+with\b.*?)?{_DOMAIN}$", "$1 protein"),
     ("generalized_related_proteins", rf"(?i)^(.+?(?:ase|protein))s\s+and (?:related|similar) proteins(?:\s+with\b.*?)?{_DOMAIN}$", "$1 family protein"),
     ("generalized_related_proteins", rf"(?i)^(.+?)\s+and (?:related|similar) proteins(?:\s+with\b.*?)?{_DOMAIN}$", "$1 family protein"),
     ("removed_explanatory_text", r"(?i)^found in\s+(.+?)\s+protein family protein$", "$1 family protein"),
@@ -109,7 +111,8 @@ LATER_RULES = (
     ("removed_partial_term", r"(?i)^(?:fragment|partial)\s+", ""),
     ("removed_partial_term", r"(?i)^(?!.*\btruncated hemoglobin\b)truncated\s+", ""),
     ("removed_redundant_uncertainty", r"(?i)^(?:candidate|likely|possible|potential|predicted|probable)\s+(?=.*domain-containing protein)", ""),
-    ("normalized_uncertainty", r"(?i)^(?:candidate|likely|possible|potential|predicted|probable)\s+", "putative "),
+    # one word at most: a name that still holds the domain has lost its own
+    ("normalized_uncertainty", r"(?i)^(?!.*domain-containing protein)(?:candidate|likely|possible|potential|predicted|probable)\s+", "putative "),
     ("removed_candidate_term", r"(?i)\bmesoderm development candidate\b", "mesoderm development protein"),
     ("removed_candidate_term", r"(?i)\bgolgin candidate\b", "golgin protein"),
     ("generalized_phenotype_name", r"(?i)^protein CANDIDATE G PROTEIN-COUPLED RECEPTOR\s*", "G protein-coupled receptor-like protein "),

@@ -19,9 +19,12 @@ def trna_amino_acids(gene: Column, product: Column) -> Column:
 
 
 def genome_coverage(text: Column) -> Column:
-    """`<number>x`, or Unknown."""
-    number = F.regexp_extract(text, r"(?i)^\s*([0-9]+(?:\.[0-9]+)?)\s*x?\s*$", 1)
-    return F.when(number != "", F.concat(number, F.lit("x"))).otherwise("Unknown")
+    """`<number>x` of a positive number with x, Unknown where the text says so, empty of no text; anything else is an error."""
+    plain = F.trim(text)
+    number = F.regexp_extract(plain, r"^([0-9]+(?:\.[0-9]+)?)[xX]$", 1)
+    wrong = F.raise_error(F.concat(F.lit("genome coverage is neither a positive number with x nor Unknown: "), text)).cast("string")
+    known = F.when(number.try_cast("double") > 0, F.concat(number, F.lit("x"))).otherwise(wrong)
+    return F.when(F.coalesce(text, F.lit("")) == "", "").when(F.lower(plain) == "unknown", "Unknown").otherwise(known)
 
 
 def phase_breaks(cds: DataFrame) -> DataFrame:

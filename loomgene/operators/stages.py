@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from loomgene.functions import attributes as A
 from loomgene.operators import graph, intervals, models, ranking, terminal, traversal
-from loomgene.shared import cut
+from loomgene.shared import cut, refuse
 
 UTRS = ("UTR", "five_prime_UTR", "three_prime_UTR", "5UTR", "3UTR")
 
@@ -135,10 +135,15 @@ def padded(features: DataFrame, sequences: DataFrame, code: int = 1) -> DataFram
     return padded_and_stops(features, sequences, code)[0]
 
 
-def padded_loci(features: DataFrame, prefix: str, width: int) -> DataFrame:
-    """Features whose identifiers PREFIX_<n> have numbers of at least `width` digits."""
-    text = A.pad_loci(F.col("attributes_text"), prefix, width)
-    rows = features.withColumn("attributes_text", text)
+def padded_loci(features: DataFrame, prefix: str, width: int, label: str = "") -> DataFrame:
+    """Features whose identifiers PREFIX_<n> (with a label also LABEL<n>) have numbers of at least `width` digits.
+
+    With a label, two ids that become one are an error, which names up to ten.
+    """
+    if label:
+        ids = features.where("id is not null").select("id", A.pad_number(F.col("id"), prefix, width, label).alias("padded"))
+        refuse(ids.groupBy("padded").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a <> b").select(F.concat_ws(" ", "padded", F.lit("from"), "a", F.lit("and"), "b").alias("name")), "padding makes one id of two")
+    rows = features.withColumn("attributes_text", A.pad_loci(F.col("attributes_text"), prefix, width, label))
     text = F.col("attributes_text")
     return rows.withColumns({"attributes": A.parse(text), "id": A.percent_decode(A.raw_value(text, "ID")), "parents": A.parents(text)}).select(features.columns)
 

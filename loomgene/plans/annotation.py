@@ -163,10 +163,10 @@ def q_phase_breaks(spark, sf_dir):
 
 
 @query("""
-SELECT p_partkey, CASE p_size % 3 WHEN 0 THEN p_size || 'x' WHEN 1 THEN p_size || '.5x' ELSE 'Unknown' END AS coverage, CASE WHEN p_size % 2 = 0 THEN 'Met' END AS gene, CASE WHEN p_size % 5 < 4 THEN 'Leu' END AS product FROM part""")
+SELECT p_partkey, CASE WHEN p_size % 5 = 4 THEN '' WHEN p_size % 3 = 0 THEN p_size || 'x' WHEN p_size % 3 = 1 THEN p_size || '.5x' ELSE 'Unknown' END AS coverage, CASE WHEN p_size % 2 = 0 THEN 'Met' END AS gene, CASE WHEN p_size % 5 < 4 THEN 'Leu' END AS product FROM part""")
 def q_rna_and_coverage(spark, sf_dir):
     n = F.col("p_size")
-    text = F.when(n % 3 == 0, n.cast("string")).when(n % 3 == 1, F.concat(F.lit(" "), n, F.lit(".5X"))).otherwise(F.concat(F.lit("about "), n))
+    text = F.when(n % 5 == 4, "").when(n % 3 == 0, F.concat(n, F.lit("x"))).when(n % 3 == 1, F.concat(F.lit(" "), n, F.lit(".5X"))).otherwise(" unknown")
     aa = organelles.trna_amino_acids(F.when(n % 2 == 0, "trnM-CAU").otherwise("rrn16"), F.when(n % 5 < 4, "tRNA-Leu").otherwise("16S"))
     return T.table(spark, sf_dir, "part").select("p_partkey", organelles.genome_coverage(text).alias("coverage"), aa.alias("aa")).select("p_partkey", "coverage", "aa.gene", "aa.product")
 

@@ -211,10 +211,13 @@ def q_locus_tags(spark, sf_dir):
 
 
 @query("""
-SELECT o_orderkey, CASE WHEN length(CAST(o_orderkey AS VARCHAR)) >= 4 THEN 'ID=AB_' || o_orderkey ELSE 'ID=AB_' || printf('%04d', o_orderkey) END || ';Note=AB_' || o_orderkey AS attributes FROM orders""")
+SELECT o_orderkey, 'ID=AB_' || p || '-AB_' || p || ';Parent=AB_' || p || ',AB_' || o_orderkey || 'x;locus_tag=AB_' || p || ';Note=AB_' || o_orderkey AS attributes
+FROM (SELECT o_orderkey, CASE WHEN length(CAST(o_orderkey AS VARCHAR)) >= 6 THEN CAST(o_orderkey AS VARCHAR) ELSE printf('%06d', o_orderkey) END AS p FROM orders)""")
 def q_prefix_pad(spark, sf_dir):
-    text = F.concat(F.lit("ID=AB_"), F.col("o_orderkey"), F.lit(";Note=AB_"), F.col("o_orderkey"))
-    return T.table(spark, sf_dir, "orders").select("o_orderkey", A.pad_loci(text, "AB", 4).alias("attributes"))
+    """Two numbers in an id, surplus zeros, a number before a letter, and a note, which is no identifier."""
+    o = F.col("o_orderkey")
+    text = F.concat(F.lit("ID=AB_"), o, F.lit("-AB_"), o, F.lit(";Parent=AB_000000"), o, F.lit(",AB_"), o, F.lit("x;locus_tag=AB_0"), o, F.lit(";Note=AB_"), o)
+    return T.table(spark, sf_dir, "orders").select("o_orderkey", A.pad_loci(text, "AB", 6).alias("attributes"))
 
 
 @query("""

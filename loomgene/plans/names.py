@@ -206,6 +206,10 @@ _NAMES = (
     ("Kinase of @", "kinase of @", "lowercased_initial"),
     ("@ -like protein", "@-like protein", "joined_split_hyphen"),
     ("secreted @", "@", "removed_localization_term"),
+    ("@ases and related proteins with a family of repeats domain-containing protein", "@ase family protein", "generalized_related_proteins"),
+    ("@ family kinases and similar proteins domain-containing protein", "@ family kinase protein", "generalized_related_proteins"),
+    ("possible probable @ domain-containing protein", "probable @ domain-containing protein", "removed_redundant_uncertainty"),
+    ("probable possible @", "putative possible @", "normalized_uncertainty"),
     ("DnaJ homologue subfamily @", "DnaJ subfamily @", "replaced_evolutionary_term"),
 )
 
@@ -221,3 +225,29 @@ def q_product_rules(spark, sf_dir):
     raw = F.get(F.array(*(F.lit(n[0]) for n in _NAMES)), (F.col("p_partkey") % len(_NAMES)).cast("int"))
     rows = N.standardise(T.table(spark, sf_dir, "part").select("p_partkey", F.replace(raw, F.lit("@"), F.col("p_name")).alias("raw")), F.col("raw"), "s")
     return rows.select("p_partkey", "s.name", F.array_join("s.actions", ",").alias("actions"))
+
+
+# Names with what is known of their source and target: name, source, evidence, organism, domain of the target, standard name, actions.
+_CONTEXT = (
+    ("Mus musculus @", "swissprot", "", "Mus musculus", "Eukaryota", "@", "removed_organism_name"),
+    ("bacterial PH domain-containing protein", "pfam", "PF00169.1", "", "Eukaryota", "PH domain-containing protein", "generalized_cross_domain_name"),
+    ("membrane lipoprotein", "cdd", "", "", "Eukaryota", "hypothetical protein", "rejected_cross_domain_name,used_hypothetical_product"),
+    ("membrane lipoprotein", "cdd", "", "", "Bacteria", "membrane lipoprotein", ""),
+    ("@ of unknown function domain-containing protein", "pfam", "PF12345.7", "", "", "PF12345 domain-containing protein", "used_stable_model_identifier"),
+    ("@ of unknown function domain-containing protein", "swissprot", "PF12345.7", "", "", "@ of unknown function domain-containing protein", ""),
+)
+
+
+def _context_sql() -> str:
+    quoted = lambda t: "'" + t.replace("'", "''") + "'"
+    case = lambda k: f"CASE p_partkey % {len(_CONTEXT)} " + " ".join(f"WHEN {i} THEN {quoted(n[k])}" for i, n in enumerate(_CONTEXT)) + " END"
+    return f"SELECT p_partkey, replace({case(5)}, '@', p_name) AS name, {case(6)} AS actions FROM part"
+
+
+@query(_context_sql())
+def q_product_context(spark, sf_dir):
+    """Rules that look at the organism, the target's domain and the kind of evidence."""
+    pick = lambda k: F.get(F.array(*(F.lit(n[k]) for n in _CONTEXT)), (F.col("p_partkey") % len(_CONTEXT)).cast("int"))
+    rows = T.table(spark, sf_dir, "part").select("p_partkey", F.replace(pick(0), F.lit("@"), F.col("p_name")).alias("name"), *(pick(k + 1).alias(c) for k, c in enumerate(("source", "evidence", "organism", "domain"))))
+    out = N.standardise(rows, F.col("name"), source=F.col("source"), evidence_id=F.col("evidence"), organism=F.col("organism"), domain=F.col("domain"))
+    return out.select("p_partkey", F.col("std.name").alias("name"), F.array_join("std.actions", ",").alias("actions"))

@@ -33,3 +33,18 @@ def numbered(df: DataFrame, order: list[str], name: str) -> DataFrame:
     before = counts.select("__range", F.coalesce(F.sum("__n").over(W.orderBy("__range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("__before"))
     own = F.row_number().over(W.partitionBy("__range").orderBy(*order))
     return placed.join(F.broadcast(before), "__range").withColumn(name, own + F.col("__before")).drop("__range", "__before")
+
+
+def refuse(wrong: DataFrame, what: str) -> None:
+    """An error if `wrong` (column name) has rows: it gives their number and the first ten names."""
+    n = wrong.count()
+    if n:
+        first = [str(r[0]) for r in wrong.select("name").orderBy("name").limit(10).collect()]
+        raise ValueError(f"{what} ({n}): {', '.join(first)}")
+
+
+def same_ids(left: DataFrame, right: DataFrame, key: str, what: str) -> None:
+    """An error unless both tables have the same set of ids; it gives the first ten that are in one of them alone."""
+    ids = lambda df, side: df.select(F.col(key).alias("id"), F.lit(side).alias("side"))
+    sides = ids(left, 1).unionByName(ids(right, 2)).groupBy("id").agg(F.min("side").alias("a"), F.max("side").alias("b")).where("a = b")
+    refuse(sides.select(F.concat(F.when(F.col("a") == 1, "+").otherwise("-"), F.col("id").cast("string")).alias("name")), what)

@@ -1,4 +1,5 @@
 """Reports and organelle checks on small examples."""
+import pytest
 from pyspark.sql import functions as F
 
 from loomgene.operators import organelles
@@ -22,9 +23,12 @@ def test_logs_and_summaries(spark, tmp_path):
 
 
 def test_organelle_checks(spark):
-    df = spark.createDataFrame([("trnM-CAU", "tRNA-Met", "30 x"), ("trnfM", "tRNA-Xyz", "deep"), ("trnK", None, "12.5X")], "g string, p string, c string")
+    df = spark.createDataFrame([("trnM-CAU", "tRNA-Met", " 30x"), ("trnfM", "tRNA-Xyz", "UNKNOWN"), ("trnK", None, "12.5X"), ("x", None, ""), ("x", None, None)], "g string, p string, c string")
     got = [(r.t.gene, r.t["product"], r.c) for r in df.select(organelles.trna_amino_acids(F.col("g"), F.col("p")).alias("t"), organelles.genome_coverage(F.col("c")).alias("c")).collect()]
-    assert got == [("Met", "Met", "30x"), (None, None, "Unknown"), ("Lys", None, "12.5x")]
+    assert got == [("Met", "Met", "30x"), (None, None, "Unknown"), ("Lys", None, "12.5x"), (None, None, ""), (None, None, "")]
+    for bad in ("30", "0x", "about 5", "30 x"):
+        with pytest.raises(Exception, match="genome coverage"):
+            spark.createDataFrame([(bad,)], "c string").select(organelles.genome_coverage(F.col("c"))).collect()
     cds = spark.createDataFrame([("a", 1, 10, 0), ("a", 2, 5, 2), ("a", 3, 6, 1)], "id string, order_no int, length bigint, phase int")
     assert [(r.order_no, r.expected) for r in organelles.phase_breaks(cds).collect()] == [(3, 0)]
     g = spark.createDataFrame([("m", "core", "complete"), ("m", "core", "partial"), ("m", "rna", "not_evaluated")], "record string, category string, state string")

@@ -2,7 +2,8 @@
 import pytest
 
 from loomgene.operators import stages, terminal
-from tests.test_traversal import table
+from loomgene.shared import same_ids
+from tests.test_traversal import COLUMNS, table
 
 
 def places(df, kind):
@@ -50,3 +51,18 @@ def test_into_frame_moves_codons(spark):
     rows = [("gene", 1, 8, "+", "g", [], {}), ("mRNA", 1, 8, "+", "t", ["g"], {}), ("exon", 1, 8, "+", None, ["t"], {}), ("CDS", 1, 8, "+", None, ["t"], {}, "c", "1"), ("start_codon", 1, 3, "+", None, ["t"], {}), ("stop_codon", 6, 8, "+", None, ["t"], {}), ("polyA_site", 8, 8, "+", None, ["t"], {})]
     out = stages.into_frame(table(spark, rows))
     assert [(r.type, r.start, r.end) for r in out.orderBy("row_no").collect()] == [("gene", 2, 7), ("mRNA", 2, 7), ("exon", 2, 7), ("CDS", 2, 7), ("start_codon", 2, 4), ("stop_codon", 5, 7)]
+
+
+def test_padding_that_makes_one_id_of_two_is_refused(spark):
+    rows = [(i, "c", "s", "gene", 1, 2, ".", "+", ".", f"ID={x}", {"ID": x}, x, []) for i, x in enumerate(("g7", "AB_g007", "g8"))]
+    features = spark.createDataFrame(rows, COLUMNS)
+    assert [r.id for r in stages.padded_loci(features.where("row_no <> 1"), "AB", 3, "g").orderBy("row_no").collect()] == ["AB_g007", "AB_g008"]
+    with pytest.raises(ValueError, match="AB_g007 from AB_g007 and g7"):
+        stages.padded_loci(features, "AB", 3, "g")
+
+
+def test_sets_of_ids_must_agree(spark):
+    ids = lambda *x: spark.createDataFrame([(i,) for i in x], "id string")
+    same_ids(ids("a", "b", "a"), ids("b", "a"), "id", "tables")
+    with pytest.raises(ValueError, match=r"tables \(12\): \+a, -b0, -b1, -b10, "):
+        same_ids(ids("a", "c"), ids("c", *(f"b{i}" for i in range(11))), "id", "tables")
