@@ -129,7 +129,9 @@ def _battery(token: str, alphabet: str) -> str:
     """SQL: the combined p-value of a token (without padding) of two or more characters under an alphabet."""
     ranks = f"transform(filter(split({token}, ''), c -> c <> ''), c -> instr({alphabet}, c) - 1)"
     n, k = "cast(size(v.r) as double)", f"cast(length({alphabet}) as double)"
-    chi = f"({k} / {n} * aggregate(transform(array_distinct(v.r), x -> size(filter(v.r, y -> y = x))), 0D, (s, c) -> s + cast(c as double) * c) - {n})"
+    # the sum of squared counts from one walk over the sorted ranks: a run's c-th member adds 2 c - 1
+    squares = "aggregate(sort_array(v.r), named_struct('p', -1, 'c', 0, 's', 0D), (a, x) -> named_struct('p', x, 'c', if(x = a.p, a.c + 1, 1), 's', a.s + if(x = a.p, 2 * a.c + 1, 1)), a -> a.s)"
+    chi = f"({k} / {n} * {squares} - {n})"
     z_chi = f"(({chi} - ({k} - 1)) / sqrt(2 * ({k} - 1) * ({n} - 1) / {n}))"
     high = f"cast(size(filter(v.r, x -> 2 * x >= {k})) as double)"
     runs = f"(1 + size(filter(sequence(1, size(v.r) - 1), i -> (2 * v.r[i] >= {k}) <> (2 * v.r[i - 1] >= {k}))))"
