@@ -12,8 +12,13 @@ more: neighbouring grams depend on each other, and the plain product over a line
 would call every guess certain. One more hypothesis, with the weight NO_LANGUAGE, has all
 buckets equally likely: a text whose grams no language knows scores near 0.
 
+The model has BUCKETS numbers a language. It learns the MOST_LANGUAGES labels of the most rows (ties:
+the name that sorts first), so a column of labels that has gone wrong can't make it grow; which
+labels these are is a matter of the labelled rows alone.
+
 Null texts, and texts without any letter, are `und` with score 0, as are all if nothing is
-labelled. Rows with a null or repeated doc_id are judged one by one.
+labelled. Rows with a null or repeated doc_id are judged one by one. Empty tables give no rows, and a
+model without languages. Columns with the names of the new ones are replaced.
 """
 
 from __future__ import annotations
@@ -29,6 +34,7 @@ from pyspark.sql import functions as F
 from loomgene.llm import blocks, store
 
 BUCKETS = 1 << 16
+MOST_LANGUAGES = 256
 UNDETERMINED = "und"
 EVIDENCE, NO_LANGUAGE = 32, 0.01
 PART = 1 << 20
@@ -117,9 +123,10 @@ class Model:
 
 
 def train(rows: DataFrame) -> Model:
-    """Learns from the columns text and lang of all rows that have a lang; the model has BUCKETS numbers a language."""
+    """Learns from the columns text and lang of all rows that have one of the MOST_LANGUAGES most frequent labels."""
     store.import_path(rows.sparkSession)
-    parts = rows.where("lang is not null").select("text", "lang").mapInArrow(_learn, "lang string, chunk int, task int, counts binary")
+    labels = [r[0] for r in rows.where("lang is not null").groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()]
+    parts = rows.where(F.col("lang").isin(labels)).select("text", "lang").mapInArrow(_learn, "lang string, chunk int, task int, counts binary")
     got = store.summed(parts, ["lang", "chunk"], np.int64).toArrow()  # of the size of the model
     langs = sorted(set(got.column("lang").to_pylist()))
     counts = np.zeros((len(langs), BUCKETS + 1), np.int64)
@@ -159,8 +166,9 @@ def _predict(batches: Iterator[pa.RecordBatch], model, text: str, names: tuple[s
 
 
 def predict(docs: DataFrame, model: Model, text: str = "text", names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
-    """docs with two more columns, the predicted language and its posterior probability."""
+    """docs with two more columns, the predicted language and its posterior probability; columns of their names are replaced."""
     store.import_path(docs.sparkSession)
+    docs = docs.select(*(F.col(f"`{c}`") for c in docs.columns if c.lower() not in {n.lower() for n in names} or c == text))
     shared = docs.sparkSession.sparkContext.broadcast(model)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     return docs.mapInArrow(lambda it: _predict(it, shared, text, names), f"{schema}, `{names[0]}` string, `{names[1]}` double")

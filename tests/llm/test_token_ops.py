@@ -208,6 +208,30 @@ def test_language_odd(spark, odd):
     assert langid.keep_identified(labelled).dtypes == labelled.dtypes
 
 
+def test_language_clashes_and_many_labels(spark, monkeypatch):
+    """Columns of the predictions' names are replaced; labels beyond the most frequent ones aren't learnt."""
+    rows = [("the cat and the dog", "en"), ("the dog and the cat", "en"), ("der hund und die katze", "de"), ("die katze und der hund", "de"), ("le chat et le chien", "fr")]
+    monkeypatch.setattr(langid, "MOST_LANGUAGES", 2)
+    model = langid.train(spark.createDataFrame(rows, "text string, lang string"))
+    assert model.langs == ["de", "en"]
+    docs = spark.createDataFrame([("the cat", 5, "x", 1)], "text string, Lang_Pred int, score string, other int")
+    out = langid.predict(docs, model)
+    assert out.columns == ["text", "other", "lang_pred", "score"] and out.first()["lang_pred"] == "en"
+    assert langid.predict(docs.limit(0), langid.train(docs.limit(0).selectExpr("text", "score lang"))).count() == 0
+
+
+def test_language_query_against_brute_force(spark, tmp_path, sf):
+    """The whole path on Spark: split by the id, training in parts, the summed model, prediction."""
+    docs = [(r["doc_id"], r["text"], r["lang"]) for r in spark.read.parquet(f"{sf}/documents.parquet").limit(60).collect()] + [(900, None, "en"), (901, "12 !", "de"), (None, "the house", None)]
+    docs = [(d, (t or "")[:400] if t is not None else None, lang) for d, t, lang in docs]  # the plain version is slow
+    spark.createDataFrame(docs, "doc_id bigint, text string, lang string").write.parquet(str(tmp_path / "documents.parquet"))
+    part = lambda d: None if d is None else zlib.crc32(str(d).encode()) % 4
+    want = brute_language([(t, lang) for d, t, lang in docs if part(d) != 2], [t for _, t, _ in docs])
+    got = {r["doc_id"]: r for r in queries.op10_language_id(spark, str(tmp_path)).collect()}
+    for (d, _, _), (lang, score) in zip(docs, want, strict=True):
+        assert (got[d]["lang_pred"], got[d]["held_out"]) == (lang, part(d) == 2) and got[d]["score"] == pytest.approx(score, abs=1e-4), d
+
+
 def brute_language(train, texts):
     """Naive Bayes over lower-cased grams in dictionaries; grams meet where their buckets do."""
     from collections import Counter
