@@ -8,6 +8,7 @@ from loomgene.functions import names as N
 from loomgene.operators import audit, evidence, graph
 from loomgene.plans import adapters as T
 from loomgene.plans.registry import query
+from loomgene.shared import cut
 
 _STOP = ", ".join(f"'{w}'" for w in N.STOPWORDS)
 _CONSENSUS = f"""WITH {T.HITS},
@@ -162,6 +163,27 @@ def q_tier_summary(spark, sf_dir):
     return audit.tier_summary(_families(spark, sf_dir).withColumn("tier", F.lit("near_identical"))).withColumns(rates)
 
 
+@query(_families_sql() + f""",
+rep AS (SELECT root, name AS product FROM r40 JOIN named USING (id) WHERE source <> 'none' QUALIFY row_number() OVER (PARTITION BY root ORDER BY {_ORDER.format('source')}, name, id) = 1),
+safe AS (SELECT m.id, rep.product FROM r40 m JOIN families ON m.root = first_member JOIN rep ON rep.root = m.root JOIN named n ON n.id = m.id
+  WHERE status IN ('exact', 'canonical_equivalent') AND review + compatible_granularity + canonical_equivalent + exact > 0 AND n.source <> 'none'),
+ae AS (SELECT a AS id, source_a AS own, source_b AS other, name_b AS product FROM near WHERE relation = 'review' UNION ALL SELECT b, source_b, source_a, name_a FROM near WHERE relation = 'review'),
+af AS (SELECT id, {_ORDER.format('other')} AS level, product FROM ae WHERE {_ORDER.format('other')} < {_ORDER.format('own')}),
+ag AS (SELECT * FROM af QUALIFY level = min(level) OVER (PARTITION BY id)),
+auto AS (SELECT id, min(product) AS product FROM ag GROUP BY id HAVING count(DISTINCT product) = 1)
+SELECT n.id AS "ID", coalesce(safe.product, auto.product, n.name) AS "Description", 'AB_' || n.id AS "Locus_tag", coalesce(safe.product, auto.product, n.name) <> n.name AS changed
+FROM named n LEFT JOIN safe USING (id) LEFT JOIN auto USING (id)""")
+def q_harmonised(spark, sf_dir):
+    """The table of products after the audit: nearly identical families in one form, conflicts decided by better sources."""
+    near, genes = _near(spark, sf_dir), T.named(spark, sf_dir)
+    members = cut(graph.families(genes.select("id"), near.select("a", "b"), "NID"), "members")
+    none = F.lit(None).cast("double")
+    products = audit.representative(members.join(genes, "id").withColumns({"confidence": F.lit(""), "score": none, "bitscore": none}))
+    safe = audit.harmonised(genes, audit.family_rows(near, members, genes), members, products)
+    annotation = genes.select(F.col("id").alias("ID"), F.col("name").alias("Description"), F.concat(F.lit("AB_"), "id").alias("Locus_tag"))
+    return audit.updated(annotation, genes, audit.resolved_products(audit.auto_resolved(near, genes), safe))
+
+
 @query(_PAIRS + f""", e AS (SELECT a AS id, relation FROM pairs WHERE pident >= 70 AND qcov >= 80 AND scov >= 80 UNION ALL SELECT b, relation FROM pairs WHERE pident >= 70 AND qcov >= 80 AND scov >= 80),
 g AS (SELECT id, bool_or(relation = 'review') AS r, bool_or(relation <> 'not_evaluable') AS c FROM e GROUP BY 1)
 SELECT named.id, CASE WHEN source = 'none' THEN 'unannotated' WHEN r THEN 'review' WHEN c THEN 'consistent' ELSE 'no_close_family_peer' END AS status FROM named LEFT JOIN g ON named.id = g.id""")
