@@ -131,7 +131,7 @@ def test_blocks_of_cases(made):
     assert by[10] == [("exon", "complement(400..430)", [("locus_tag", "AB_000000200")])]
     assert by[12] == [("misc_feature", "600..700", [("locus_tag", "AB_000000300"), ("gene", "lone"), ("note", "GFF3 feature type: gene")])]
     assert by[13][0][0] == "misc_feature" and ("pseudogene", "processed") in by[13][0][2]
-    assert by[14] == [("misc_RNA", "800..900", [("locus_tag", "AB_000000400"), ("pseudogene", "processed"), ("note", "transcript_id:t4")])]
+    assert by[14] == [("misc_RNA", "800..850", [("locus_tag", "AB_000000400"), ("pseudogene", "processed"), ("note", "transcript_id:t4")])]
     assert by[17] == [("CDS", "join(1000..1020,1050..1100)", [("locus_tag", "AB_000000500"), ("note", "transcript_id:g5"), ("product", "of the gene"), ("transl_table", "1"), ("codon_start", "2")])]
     assert by[19] == [("rRNA", "1200..1300", [("locus_tag", "AB_000000800"), ("product", "16S rRNA"), ("note", "transcript_id:r6")])]
     assert by[20] == [("repeat_region", "complement(join(1400..1403,1410..1450))", [("rpt_type", "tandem"), low])]
