@@ -22,7 +22,7 @@ Neither side is collected: each row travels once for each group or block it may
 Components become floor(256 x). Vectors that are null, empty, or hold null or non-finite
 components take no part, nor do rows without a vec_id; shorter vectors count as if filled up
 with zeros. Repeated rows (same id, same vector) count once; other rows that share the
-query's vec_id are no candidates. Ties go to the smaller vec_id. Scores are exact up to 2**53.
+query's vec_id are no candidates. Ties go to the smaller vec_id. Empty table, or one without queries: no rows. Further columns are not read. Scores are exact up to 2**53.
 """
 
 from __future__ import annotations

@@ -13,7 +13,7 @@ at most SEQUENCE tokens for that. Scores come from the scaled forward recursion
 texts; one of more than LONG tokens goes through it in segments of SEGMENT side by side, from
 every state at once, whose matrices are then multiplied in order. Base scores are add-ALPHA unigrams.
 
-Null text: empty, the end token alone. A null doc_id is not held out. Rows are scored one by
+Empty table: no rows. Only the columns doc_id, held_out and text are read. Null text: empty, the end token alone. A null doc_id is not held out. Rows are scored one by
 one, whatever their doc_id. Without training texts every count is 0. A text of 100 MB takes
 about five bytes a byte while its words are hashed, and two bytes and 6 * 8 bytes / SEGMENT a token to score.
 """

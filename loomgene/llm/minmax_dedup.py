@@ -21,7 +21,7 @@ at least one of 20 with 1 - 4e-7.
 A set of fewer than three words is that whole sequence. Null and empty texts: n_shingles 0,
 linked with nothing. A null doc_id takes part in no group: component_id null, kept. Rows
 that share a doc_id are linked by their own texts only. Ties: the smallest doc_id stays, in
-all of its rows if there are several. A text of 100 MB is sketched by itself and takes about
+all of its rows if there are several. Empty table: no rows. Further columns are not read by near_duplicates and kept by dedup. A text of 100 MB is sketched by itself and takes about
 ten bytes a byte.
 """
 

@@ -14,7 +14,9 @@ task numbers its pieces of each length; with the counts of the tasks before it t
 the rank of a piece, and the rank its place. No piece list reaches the driver or one task.
 
 Null text: empty, one piece with the end id alone. Rows with equal or null doc_id are packed
-one by one.
+one by one. Empty table: no rows. Pieces of equal length are interchangeable; their ranks, and so
+their sequences, follow their tasks. A very long text of any script is tokenized in the parts of
+tokens.parts (one of 99 MB took 0.6 GB). Further columns, whatever their names, are not read.
 """
 
 from __future__ import annotations

@@ -38,7 +38,7 @@ may be given instead. Spans of the method that touch a pattern's span are left o
 
 The texts are scanned once: spans, p-values and decoys are written, what is reported is chosen from them.
 
-Null text: empty, no spans. Every row is scanned by itself; only the table of p-values
+Null text: empty, no spans. Empty table: no rows. Every row is scanned by itself; only the table of p-values
 looks at all rows. A column with the name of the new one is replaced. Matches of a text are
 gathered CHUNK by CHUNK, so a text with very many of them takes no square of their number.
 """

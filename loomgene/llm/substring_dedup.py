@@ -14,7 +14,7 @@
 Windows are equal if their 64-bit hashes are: at 30 GB (about 5e9 windows) 0.7 false pairs are
 expected, and they grow with the square of the text. A text of 100 MB is a block of its own and takes about twelve bytes a byte. Null or empty text: no words. Rows without a
 doc_id lose nothing and take nothing. Rows that share a doc_id count as one document: a
-window does not repeat through another row of the same doc_id. Documents may have any further columns.
+window does not repeat through another row of the same doc_id. Documents may have any further columns. Empty table: no rows.
 """
 
 from __future__ import annotations
