@@ -15,7 +15,7 @@ TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without letters or without a language of a posterior of 0.5."""
+    """Drops documents without letters or without a language of a score of 0.6 or more."""
     return langid.keep_identified(docs)
 
 
