@@ -6,7 +6,7 @@ import os
 import duckdb
 import pytest
 
-from loomgene.plans import annotation, functional, genes, names, rendering, sequences  # noqa: F401
+from loomgene.plans import annotation, flows, functional, genes, names, rendering, sequences  # noqa: F401
 from loomgene.plans.registry import QUERIES, SQL
 
 
