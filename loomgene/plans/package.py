@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomgene.functions import sequence as S
-from loomgene.operators import models, render, review, stages, traversal
+from loomgene.operators import flow, models, render, review, stages, traversal
 from loomgene.shared import cut, numbered
 from loomgene.sources import fasta, gff3, tables
 
@@ -37,8 +37,26 @@ class Options:
     source: list[tuple[str, str]] = field(default_factory=lambda: render.source("unknown"))
 
 
+def _set(name: str, genes: DataFrame) -> DataFrame:
+    """Members of a set of genes, which go by the rows of the table that are theirs, as padding renames loci."""
+    return genes.select(F.lit(name).alias("set"), "id")
+
+
+def _moved(before: DataFrame, after: DataFrame) -> DataFrame:
+    """transcript_id of transcripts with CDS rows that moved, changed their phase or went. Both tables hold the ids of `before`."""
+    rows = lambda df: df.where("type = 'CDS'").select("row_no", "start", "end", "phase", F.explode("parents").alias("transcript_id"))
+    return rows(before).exceptAll(rows(after)).select("transcript_id").distinct()
+
+
+def _genes_of(features: DataFrame, transcripts: DataFrame) -> DataFrame:
+    """id (row_no of the gene) and transcript_id of the genes of these transcripts."""
+    of = features.where(F.col("type").isin(*models.TRANSCRIPTS)).select(F.col("id").alias("transcript_id"), F.explode("parents").alias("gene")).join(transcripts, "transcript_id", "left_semi")
+    return of.join(features.where("type = 'gene'").select(F.col("id").alias("gene"), F.col("row_no").alias("id")), "gene").select("id", "transcript_id").distinct()
+
+
 def run(sequences: DataFrame, features: DataFrame, options: Options = Options()) -> dict[str, DataFrame]:
-    """sequences, features, annotation, body lines, review, the count of each stage that may drop rows and the events of the rendering, as DataFrames; stages cut their lineage.
+    """sequences, features, annotation, body lines, review, the count of each stage that may drop rows, the events of the rendering, and of the run its 19 counts (metrics), what
+    changed genes (changes) and how many genes are in just which sets (patterns), as DataFrames; stages cut their lineage.
 
     features come in the order of row_no, which puts parents before children. CDS that hold stops whatever the padding become misc_feature.
     """
@@ -57,14 +75,25 @@ def run(sequences: DataFrame, features: DataFrame, options: Options = Options())
         edits = sequences.select(F.col("id").alias("seqid"), F.explode(S.gap_edits(F.col("sequence"), *limits)).alias("e")).select("seqid", "e.*")
         features = stage("normalise_gaps", stages.shift_gaps(features, edits))
         sequences = cut(sequences.withColumn("sequence", S.normalise_gaps(F.col("sequence"), *limits)), "normalised")
+    links = features.where(F.col("type").isin(*models.TRANSCRIPTS)).select(F.explode("parents").alias("id")).groupBy("id").agg(F.count("*").alias("mrnas"))
+    genes = cut(features.where("type = 'gene'").select("id", F.col("row_no").alias("gene")).join(links, "id", "left").select(F.col("gene").alias("id"), "mrnas"), "genes")
     features = stage("drop_duplicates", stages.drop_coordinate_duplicates(features, sequences, o.code))
+    kept = features.where("type = 'gene'").select(F.col("row_no").alias("id"))
+    sets = _set("duplicate_removed_genes", genes.join(kept, "id", "left_anti"))
+    sets = sets.unionByName(_set("transcript_changed_genes", genes.where("mrnas > 1").join(kept, "id", "left_semi")))
     features = stage("one_isoform", stages.one_isoform(features))
     features = cut(stages.padded_loci(features, o.locus_prefix, o.locus_digits), "padded_loci")
     if o.fix_frame:
-        features = stage("into_frame", stages.into_frame(features))
+        before, features = features, stage("into_frame", stages.into_frame(features))
+        sets = sets.unionByName(_set("inframe_updated_genes", _genes_of(before, _moved(before, features))))
+    held = None
     if o.fix_padding:
+        before = features
         features, stops = stages.padded_and_stops(features, sequences, o.code)
         features = stage("padding", features)
+        sets = sets.unionByName(_set("padding_updated_genes", _genes_of(before, _moved(before, features))))
+        held = cut(_genes_of(before, stops), "genes_with_stops")
+        sets = sets.unionByName(_set("genes_with_stops", held))
     order = ["seqid", "start", "depth", "visit", "row_no"]
     placed = numbered(stages.hierarchical_order(features), order, "place")
     features = cut(placed.withColumn("row_no", F.col("place").cast("bigint")).select(features.columns), "ordered")
@@ -82,7 +111,16 @@ def run(sequences: DataFrame, features: DataFrame, options: Options = Options())
     blocks = cut(review.with_locus(blocks).withColumn("block_no", F.monotonically_increasing_id()), "blocks")
     if o.fix_padding:
         loci = annotation.join(stops.withColumnRenamed("transcript_id", "ID"), "ID", "left_semi").select(F.col("Locus_tag").alias("locus"))
-        blocks = review.stops_to_misc(blocks, loci).drop("changed")
+        blocks = cut(review.stops_to_misc(blocks, loci), "converted")
+        tags = annotation.select(F.col("ID").alias("transcript_id"), F.col("Locus_tag").alias("locus"))
+        converted = held.join(tags, "transcript_id").join(blocks.where("changed"), "locus", "left_semi")
+        sets = sets.unionByName(_set("converted_to_misc_genes", converted))
+    else:
+        blocks = blocks.withColumn("changed", F.lit(False))
+    kinds = blocks.select(F.when(F.col("changed"), "CDS").otherwise(F.col("feature")).alias("before"), F.col("feature").alias("after"))
+    maps = flow.bitmaps(genes, sets)
+    moved = cut(flow.metrics(maps, kinds), "metrics")
+    blocks = blocks.drop("changed")
     if o.omit_redundant_mrna:
         blocks = blocks.join(review.redundant_mrna(blocks), ["entry", "block_no"], "left_anti")
     blocks = cut(blocks, "final_blocks")
@@ -90,7 +128,7 @@ def run(sequences: DataFrame, features: DataFrame, options: Options = Options())
     totals = counts[0]
     for c in counts[1:]:
         totals = totals.unionByName(c)
-    return {"sequences": sequences, "features": features, "annotation": annotation, "body": body, "review": review.block_warnings(blocks), "counts": totals, "events": events}
+    return {"sequences": sequences, "features": features, "annotation": annotation, "body": body, "review": review.block_warnings(blocks), "counts": totals, "events": events, "metrics": flow.summary(moved), "changes": flow.event_table(moved), "patterns": flow.patterns(maps)}
 
 
 def package(spark: SparkSession, genome: str, table: str, out: str, options: Options = Options()) -> None:
@@ -107,3 +145,5 @@ def package(spark: SparkSession, genome: str, table: str, out: str, options: Opt
     tables.write_tsv(made["review"].orderBy("entry", "warning", "locus_tag", "location", "detail"), f"{out}/review")
     made["counts"].orderBy("step").write.json(f"{out}/counts")
     made["events"].orderBy("entry", "event").write.json(f"{out}/events")
+    for name in ("metrics", "changes"):
+        tables.write_tsv(made[name].orderBy("nth").drop("nth"), f"{out}/{name}")

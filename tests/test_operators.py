@@ -178,6 +178,8 @@ def test_package(spark, genome, tmp_path):
     assert "\tassembly_gap\t13..21\testimated_length\tknown" in body and "\ttRNA\t10..15\tlocus_tag\tAB_000000300" in body and "\t\t\tproduct\ttRNA-Met" in body
     assert "\tCDS\tcomplement(1..6)\tlocus_tag\tAB_g3" in body
     assert [(r.stage, r.genes) for r in made["counts"].orderBy("step").collect()] == [("input", 3), ("trim_bounds", 3), ("normalise_gaps", 3), ("drop_duplicates", 2), ("one_isoform", 2), ("into_frame", 2), ("padding", 2)]
+    assert [r.value for r in made["metrics"].orderBy("nth").collect()] == [3, 1, 2, 1, 1, 1, 2, 0, 2, 2, 0, 0, 2, 2, 0, 2, 2, 2, 0]
+    assert {(r.pattern, r.genes) for r in made["patterns"].collect()} == {("", 1), ("duplicate_removed_genes", 1), ("transcript_changed_genes", 1)}
     p = str(tmp_path / "out")
     made["body"].coalesce(1).orderBy("seq_no", "block", "line_in_block").select("value").write.text(p)
     found = review.blocks(tables.submission_rows(spark, p))
@@ -203,6 +205,8 @@ def test_package_runs_all_stages(spark, tmp_path):
     features = read("features")
     assert features[0] == "##gff-version 3" and [x.split("\t")[2] for x in features[1:]] == ["gene", "mRNA", "CDS"] * 2 and features[1].endswith("ID=AB_0001")
     review_rows = read("review")
+    assert read("metrics")[:2] == ["metric\tvalue\tunit", "initial_genes\t2\tgenes"] and read("metrics")[-4:] == ["final_cds_genes\t1\tgenes", "total_cds_input\t2\tfeatures", "total_cds_output\t1\tfeatures", "misc_feature_output\t1\tfeatures"]
+    assert read("changes")[-2:] == ["genes_with_stops\tGenes with stops\t1\tgenes", "converted_to_misc_genes\tGenes converted to misc_feature\t1\tgenes"]
     assert "short_cds\tc1\tCDS\tAB_0002\t25..36\t12 coding bp; review against the 93 bp threshold" in review_rows
 
 
