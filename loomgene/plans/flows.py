@@ -1,10 +1,10 @@
-"""Queries on the flow of genes through the stages and on the target's taxonomy, each beside its SQL."""
+"""Queries on the flow of genes through the stages, the target's taxonomy and organelles, each beside its SQL."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from loomgene.operators import flow, taxonomy
+from loomgene.operators import flow, organelles, taxonomy
 from loomgene.plans import adapters as T
 from loomgene.plans.registry import query
 from loomgene.shared import cut
@@ -102,3 +102,42 @@ SELECT sample, CAST(nth AS INTEGER) AS nth, query, CAST(lineage_tax_id AS BIGINT
 def q_lineage_checks(spark, sf_dir):
     """Whether each dataset's taxon lies on the lineage of its sample's target, and where the two part."""
     return _taxonomy(spark, sf_dir)[1].select("sample", "nth", "query", "lineage_tax_id", "concordance", "shared_tax_id")
+
+
+@query("""WITH f AS (
+  SELECT o_custkey AS record, o_orderkey * 10000000 AS gene_no, ((l_orderkey * 8 + l_linenumber) * 100000 + l_partkey) * 64 + CAST(l_quantity AS BIGINT) AS feature_no, o_orderkey % 3 = 0 AS has_tag, 'T' || o_orderkey AS tag, l_returnflag AS flag,
+    l_tax < 0.08 AND l_linenumber + l_quantity <= 50 AS within, (l_linenumber + CAST(l_partkey AS BIGINT)) % 2 = 0 AS plain FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+g AS (SELECT DISTINCT record, gene_no, -feature_no AS feature_no, has_tag, tag, flag, CASE WHEN flag = 'N' THEN has_tag OR within WHEN flag = 'A' THEN plain AND within ELSE within END AS held FROM f)
+SELECT record, feature_no, CASE WHEN held THEN gene_no END AS gene_no, 'kept' AS fate, CASE WHEN flag = 'N' OR held AND has_tag THEN tag ELSE '' END AS locus_tag FROM g
+UNION ALL SELECT o_custkey, o_orderkey * 10000000, NULL, CASE WHEN o_orderkey * 10000000 IN (SELECT gene_no FROM g WHERE held) THEN 'represented' ELSE 'misc_feature' END, CASE WHEN o_orderkey % 3 = 0 THEN 'T' || o_orderkey ELSE '' END FROM orders""")
+def q_organelle_parent(spark, sf_dir):
+    """Orders as genes of their customers' records, lines as CDS: the gene of each by its tag, else by name and place; and the tags that they inherit."""
+    pair = lambda k, v, c: F.when(c, F.struct(F.lit(k).alias("key"), v.alias("value")))
+    orders = T.table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", F.concat(F.lit("T"), "o_orderkey").alias("tag"), F.concat(F.lit("g"), "o_orderkey").alias("name"))
+    spot = lambda a, z, strand: F.array(F.struct(a.cast("bigint").alias("start"), z.cast("bigint").alias("end"), strand.alias("strand")))
+    genes = orders.select(F.col("o_custkey").alias("record"), (F.col("o_orderkey").cast("bigint") * 10000000).alias("feature_no"), F.lit("gene").alias("type"),
+        F.array_compact(F.array(pair("gene", F.col("name"), F.lit(True)), pair("locus_tag", F.col("tag"), F.col("o_orderkey") % 3 == 0))).alias("qualifiers"), spot(F.col("o_orderkey") * 100, F.col("o_orderkey") * 100 + 50, F.lit("+")).alias("parts"))
+    flag, odd = F.col("l_returnflag"), (F.col("l_linenumber") + F.col("l_partkey")) % 2 != 0
+    number = ((F.col("l_orderkey").cast("bigint") * 8 + F.col("l_linenumber")) * 100000 + F.col("l_partkey")) * 64 + F.col("l_quantity").cast("bigint")
+    start = F.col("l_orderkey") * 100 + F.col("l_linenumber")
+    lines = T.table(spark, sf_dir, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    lines = lines.select(F.col("o_custkey").alias("record"), (-number).alias("feature_no"), F.lit("CDS").alias("type"),
+        F.array_compact(F.array(pair("gene", F.col("name"), flag == "R"), pair("gene", F.lit("x"), (flag == "A") & odd), pair("locus_tag", F.col("tag"), flag == "N"))).alias("qualifiers"),
+        spot(start, start + F.col("l_quantity"), F.when(F.col("l_tax") < 0.08, "+").otherwise("-")).alias("parts")).distinct()
+    rows = cut(genes.unionByName(lines), "organelle_features")
+    done = organelles.with_genes(rows, cut(organelles.gene_parents(rows), "parents"))
+    return done.select("record", "feature_no", "gene_no", "fate", F.array_join(F.transform(F.filter("qualifiers", lambda q: q["key"] == "locus_tag"), lambda q: q["value"]), ",").alias("locus_tag"))
+
+
+@query("""WITH w AS (SELECT o_orderstatus AS item, o_orderkey AS identity, row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey) AS k FROM orders),
+b AS (SELECT item, coalesce(sum(n) OVER (ORDER BY item ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM (SELECT item, count(*) AS n FROM w GROUP BY item)),
+u AS (SELECT DISTINCT l_partkey AS n FROM lineitem WHERE l_returnflag = 'R'),
+f AS (SELECT item, n, row_number() OVER (PARTITION BY item ORDER BY n) AS k FROM b, (SELECT unnest(range(1, (SELECT count(*) FROM orders) + (SELECT count(*) FROM u) + 1)) AS n) WHERE n > before AND n NOT IN (SELECT n FROM u))
+SELECT item, CAST(identity AS VARCHAR) AS identity, 'AB_' || item || lpad(CAST(n AS VARCHAR), 6, '0') AS locus_tag FROM w JOIN f USING (item, k)""")
+def q_organelle_tags(spark, sf_dir):
+    """New tags of orders, their states as organelles, past the numbers that returned parts have taken in each."""
+    items = F.array_position(F.array(F.lit("F"), F.lit("O"), F.lit("P")), F.col("o_orderstatus"))
+    wanted = T.table(spark, sf_dir, "orders").select(F.col("o_orderstatus").alias("item"), items.alias("item_no"), F.col("o_orderkey").cast("string").alias("identity"), F.col("o_orderkey").alias("place"))
+    parts = T.table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'").select("l_partkey").distinct()
+    reserved = parts.select(F.explode(F.array(*(F.concat(F.lit(f"AB_{i}"), F.lpad(F.col("l_partkey").cast("string"), 6, "0")) for i in "FOP"))).alias("locus_tag"))
+    return organelles.assigned_tags(wanted, reserved, "AB")
