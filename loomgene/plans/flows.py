@@ -115,18 +115,22 @@ def q_organelle_parent(spark, sf_dir):
     pair = lambda k, v, c: F.when(c, F.struct(F.lit(k).alias("key"), v.alias("value")))
     orders = T.table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", F.concat(F.lit("T"), "o_orderkey").alias("tag"), F.concat(F.lit("g"), "o_orderkey").alias("name"))
     spot = lambda a, z, strand: F.array(F.struct(a.cast("bigint").alias("start"), z.cast("bigint").alias("end"), strand.alias("strand")))
-    genes = orders.select(F.col("o_custkey").alias("record"), (F.col("o_orderkey").cast("bigint") * 10000000).alias("feature_no"), F.lit("gene").alias("type"),
+    # lines may have equal numbers, as of a part key from 100000 on: a feature is its number and what else tells it from others
+    feature = lambda number, line, kind, strand: F.struct(number.alias("number"), F.col("o_orderkey").alias("order"), line.alias("line"), kind.alias("flag"), strand.alias("strand")).alias("feature_no")
+    genes = orders.select(F.col("o_custkey").alias("record"), feature(F.col("o_orderkey").cast("bigint") * 10000000, F.lit(0), F.lit("gene"), F.lit("+")), F.lit("gene").alias("type"),
         F.array_compact(F.array(pair("gene", F.col("name"), F.lit(True)), pair("locus_tag", F.col("tag"), F.col("o_orderkey") % 3 == 0))).alias("qualifiers"), spot(F.col("o_orderkey") * 100, F.col("o_orderkey") * 100 + 50, F.lit("+")).alias("parts"))
     flag, odd = F.col("l_returnflag"), (F.col("l_linenumber") + F.col("l_partkey")) % 2 != 0
     number = ((F.col("l_orderkey").cast("bigint") * 8 + F.col("l_linenumber")) * 100000 + F.col("l_partkey")) * 64 + F.col("l_quantity").cast("bigint")
-    start = F.col("l_orderkey") * 100 + F.col("l_linenumber")
+    start, strand = F.col("l_orderkey") * 100 + F.col("l_linenumber"), F.when(F.col("l_tax") < 0.08, "+").otherwise("-")
     lines = T.table(spark, sf_dir, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    lines = lines.select(F.col("o_custkey").alias("record"), (-number).alias("feature_no"), F.lit("CDS").alias("type"),
+    lines = lines.select(F.col("o_custkey").alias("record"), feature(-number, F.col("l_linenumber"), flag, strand), F.lit("CDS").alias("type"),
         F.array_compact(F.array(pair("gene", F.col("name"), flag == "R"), pair("gene", F.lit("x"), (flag == "A") & odd), pair("locus_tag", F.col("tag"), flag == "N"))).alias("qualifiers"),
-        spot(start, start + F.col("l_quantity"), F.when(F.col("l_tax") < 0.08, "+").otherwise("-")).alias("parts")).distinct()
+        spot(start, start + F.col("l_quantity"), strand).alias("parts")).distinct()
     rows = cut(genes.unionByName(lines), "organelle_features")
     done = organelles.with_genes(rows, cut(organelles.gene_parents(rows), "parents"))
-    return done.select("record", "feature_no", "gene_no", "fate", F.array_join(F.transform(F.filter("qualifiers", lambda q: q["key"] == "locus_tag"), lambda q: q["value"]), ",").alias("locus_tag"))
+    tag = F.array_join(F.transform(F.filter("qualifiers", lambda q: q["key"] == "locus_tag"), lambda q: q["value"]), ",").alias("locus_tag")
+    told = done.select("record", "feature_no.order", "feature_no.flag", F.col("feature_no.number").alias("feature_no"), F.col("gene_no.number").alias("gene_no"), "fate", tag).distinct()
+    return told.select("record", "feature_no", "gene_no", "fate", "locus_tag")
 
 
 @query("""WITH w AS (SELECT o_orderstatus AS item, o_orderkey AS identity, row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey) AS k FROM orders),
