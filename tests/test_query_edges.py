@@ -1,7 +1,10 @@
 """Queries against their SQL on small tables of what large ones hold."""
 import duckdb
+import pytest
 
+from loomgene.operators import traversal
 from tests.test_queries import compare
+from tests.test_traversal import table
 
 
 def tables(tmp_path, **selects):
@@ -24,3 +27,22 @@ def test_organelle_features_of_equal_numbers(spark, tmp_path):
     rows += [(1, 200001, 7, 5, 0.01, "R"), (2, 1, 1, 5, 0.01, "R"), (5, 7, 3, 5, 0.08, "A"), (5, 7, 3, 5, 0.01, "A"), (5, 7, 3, 5, 0.01, "A"), (5, 7, 3, 5, 0.08, "R"), (5, 100007, 2, 5, 0.08, "A")]
     sf = tables(tmp_path, lineitem=lines(*rows), orders="SELECT range AS o_orderkey, 1::BIGINT AS o_custkey FROM range(8)")
     assert compare(spark, sf, "q_organelle_parent") == 17
+
+
+@pytest.mark.parametrize("name", ["q_event_summary", "q_rna_blocks"])
+def test_features_where_an_exon_has_a_run(spark, tmp_path, name):
+    """RNAs, their exons, and a CDS without a transcript lie where an exon of their order has its run of N."""
+    rows = [(1, 0, 2, 40), (1, 10000, 5, 20), (1, 10001, 3, 30), (4, 0, 1, 9), (4, 0, 2, 40), (4, 9000, 5, 20), (4, 10003, 6, 10), (7, 5, 2, 40), (10, 0, 2, 30), (10, 10001, 5, 9), (10, 20000, 7, 5), (12, 3, 1, 5), (12, 3, 4, 5)]
+    sf = tables(tmp_path, lineitem=lines(*((*r, 0.0, "N") for r in rows)), orders="SELECT range AS o_orderkey FROM range(1, 14)")
+    assert compare(spark, sf, name) > 1
+
+
+def test_runs_cut_what_lies_there(spark):
+    """What the tables above would give with their runs: the operator cuts an RNA, and makes a CDS without a transcript misc_feature."""
+    rows = [("gene", 1, 90, "+", "g1", [], {}), ("tRNA", 10, 40, "+", "r1", ["g1"], {}), ("CDS", 20, 60, "+", "c1", ["g1"], {}), ("exon", 15, 55, "+", "e1", ["t1"], {})]
+    sequences = spark.createDataFrame([("c", 1)], "id string, seq_no int")
+    runs = spark.createDataFrame([("c", 25, 27)], "seqid string, r_start bigint, r_end bigint")
+    found, named = traversal.blocks(table(spark, rows), sequences, runs, spark.createDataFrame([], "ID string, Description string, Locus_tag string"), "AB_")
+    got = {r.feature: (r.location, "artificial_location" in [q.key for q in r.qualifiers]) for r in found.where("feature <> 'exon'").collect()}
+    assert got == {"tRNA": ("join(10..24,28..40)", True), "misc_feature": ("join(20..24,28..60)", False)}
+    assert "gap_misc_feature" in {r.event for r in traversal.event_counts(found, named).collect()}
