@@ -143,5 +143,5 @@ def q_organelle_tags(spark, sf_dir):
     items = F.array_position(F.array(F.lit("F"), F.lit("O"), F.lit("P")), F.col("o_orderstatus"))
     wanted = T.table(spark, sf_dir, "orders").select(F.col("o_orderstatus").alias("item"), items.alias("item_no"), F.col("o_orderkey").cast("string").alias("identity"), F.col("o_orderkey").alias("place"))
     parts = T.table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'").select("l_partkey").distinct()
-    reserved = parts.select(F.explode(F.array(*(F.concat(F.lit(f"AB_{i}"), F.lpad(F.col("l_partkey").cast("string"), 6, "0")) for i in "FOP"))).alias("locus_tag"))
+    reserved = parts.select(F.explode(F.array(*(F.concat(F.lit(f"AB_{i}"), F.format_string("%06d", "l_partkey")) for i in "FOP"))).alias("locus_tag"))
     return organelles.assigned_tags(wanted, reserved, "AB")

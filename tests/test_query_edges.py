@@ -2,7 +2,7 @@
 import duckdb
 import pytest
 
-from loomgene.operators import traversal
+from loomgene.operators import organelles, traversal
 from tests.test_queries import compare
 from tests.test_traversal import table
 
@@ -46,3 +46,16 @@ def test_runs_cut_what_lies_there(spark):
     got = {r.feature: (r.location, "artificial_location" in [q.key for q in r.qualifiers]) for r in found.where("feature <> 'exon'").collect()}
     assert got == {"tRNA": ("join(10..24,28..40)", True), "misc_feature": ("join(20..24,28..60)", False)}
     assert "gap_misc_feature" in {r.event for r in traversal.event_counts(found, named).collect()}
+
+
+def test_tags_in_use_of_seven_digits(spark, tmp_path):
+    """A part key of 1000001 takes that number alone, not the one of its first six digits."""
+    sf = tables(tmp_path, lineitem=lines(*((1, p, 1, 1, 0.0, flag) for p, flag in ((1000001, "R"), (3, "R"), (100002, "R"), (7, "A")))), orders="SELECT range AS o_orderkey, CASE WHEN range < 100005 THEN 'F' ELSE 'P' END AS o_orderstatus FROM range(100010)")
+    assert compare(spark, sf, "q_organelle_tags") == 100010
+
+
+def test_tags_of_more_than_six_digits_stay_whole(spark):
+    """Longer numbers are not cut, which would give one tag to several genes."""
+    wanted = spark.range(2).selectExpr("'F' AS item", "1 AS item_no", "CAST(id AS STRING) AS identity", "id AS place")
+    reserved = spark.range(1, 1000001).selectExpr("format_string('AB_F%06d', id) AS locus_tag")
+    assert {r.locus_tag for r in organelles.assigned_tags(wanted, reserved, "AB").collect()} == {"AB_F1000001", "AB_F1000002"}
