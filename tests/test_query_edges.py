@@ -59,3 +59,9 @@ def test_tags_of_more_than_six_digits_stay_whole(spark):
     wanted = spark.range(2).selectExpr("'F' AS item", "1 AS item_no", "CAST(id AS STRING) AS identity", "id AS place")
     reserved = spark.range(1, 1000001).selectExpr("format_string('AB_F%06d', id) AS locus_tag")
     assert {r.locus_tag for r in organelles.assigned_tags(wanted, reserved, "AB").collect()} == {"AB_F1000001", "AB_F1000002"}
+
+
+def test_loci_of_more_than_nine_digits_stay_whole(spark):
+    rows = traversal.fates(table(spark, [("gene", 1, 90, "+", "g1", [], {}), ("gene", 100, 190, "+", "g2", [], {})]))
+    sequences = spark.createDataFrame([("c", 1)], "id string, seq_no int")
+    assert {r.row_no: r.locus for r in traversal.loci(rows, sequences, "AB_", step=500000050).collect()} == {1: "AB_500000050", 2: "AB_1000000100"}
